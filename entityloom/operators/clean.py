@@ -71,9 +71,13 @@ def fill_number(df: DataFrame, value: float = 0, protect: Sequence[str] = ()) ->
     return _project(df, changed)
 
 
-def column_means(df: DataFrame, columns: Sequence[str]) -> Column:
-    """A struct with the mean of each column, as a scalar subquery."""
-    return df.agg(F.struct(*[F.avg(quoted(c)).alias(c) for c in columns]).alias("means")).scalar()
+def with_global(df: DataFrame, name: str, aggregates: Sequence[Column], source: DataFrame | None = None) -> DataFrame:
+    """A struct column ``name`` with aggregates over all rows (of ``source``).
+
+    It is one scalar subquery in one projection of its own. Written into every
+    expression that needs a value of it, it would be planned once for each.
+    """
+    return df.withColumn(name, (source or df).agg(F.struct(*aggregates).alias(name)).scalar())
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str] | None = None, protect: Sequence[str] = ()) -> DataFrame:
@@ -81,8 +85,9 @@ def fill_mean(df: DataFrame, columns: Sequence[str] | None = None, protect: Sequ
     chosen = [c for c in (columns or numeric_columns(df)) if c not in protect]
     if not chosen:
         return df
-    means = column_means(df, chosen)
-    return _project(df, {c: F.coalesce(F.col(quoted(c)).cast("double"), means.getField(c)) for c in chosen})
+    known = with_global(df, "__means", [F.avg(quoted(c)).alias(c) for c in chosen])
+    filled = {c: F.coalesce(F.col(quoted(c)).cast("double"), F.col("__means").getField(c)) for c in chosen}
+    return known.select(*[filled.get(c, F.col(quoted(c))).alias(c) for c in df.columns])
 
 
 def clean(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entityloom.operators.clean import with_global
 from entityloom.operators.quantile import GATHER_ROWS, exact_percentiles
 from entityloom.schema import numeric_columns, quoted
 
@@ -67,19 +68,16 @@ def is_empty(df: DataFrame) -> bool:
 
 def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns brought to [0, 1]; a constant column becomes 0."""
-    ends = df.agg(
-        F.struct(
-            *[F.min(F.col(quoted(c)).cast("double")).alias(f"{c}_min") for c in columns],
-            *[F.max(F.col(quoted(c)).cast("double")).alias(f"{c}_max") for c in columns],
-        ).alias("ends")
-    ).scalar()
+    values = {c: F.col(quoted(c)).cast("double") for c in columns}
+    ends = [f(v).alias(f"{n}_{c}") for c, v in values.items() for n, f in (("min", F.min), ("max", F.max))]
 
     def scaled(c: str):
-        low, high = ends.getField(f"{c}_min"), ends.getField(f"{c}_max")
-        value = F.col(quoted(c)).cast("double")
-        return F.when(high == low, value - low).otherwise((value - low) / F.nullif(high - low, F.lit(0.0)))
+        low, high = F.col("__ends").getField(f"min_{c}"), F.col("__ends").getField(f"max_{c}")
+        return F.try_divide(values[c] - low, F.when(high == low, F.lit(1.0)).otherwise(high - low))
 
-    return df.select(*[scaled(c).alias(c) if c in columns else F.col(quoted(c)) for c in df.columns])
+    return with_global(df, "__ends", ends).select(
+        *[scaled(c).alias(c) if c in columns else F.col(quoted(c)) for c in df.columns]
+    )
 
 
 def low_variance(df: DataFrame, columns: Sequence[str], threshold: float = 0.0) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityloom.functions.scalars import finite_or_null
+from entityloom.operators.clean import with_global
 from entityloom.operators.encode import indicator_columns
 from entityloom.operators.joins import join_with_suffixes
 from entityloom.operators.skew import HOT_ROWS, attach_by_key
@@ -91,30 +92,36 @@ def rollup_general(
     name: str,
     columns: Sequence[str] | None = None,
     stats: Sequence[str] = ROLLUP_STATS,
+    parents: DataFrame | None = None,
     functional: bool = False,
 ) -> DataFrame:
     """All statistics of all columns per ``key``, with each ``parent`` it occurs under.
 
     One row per ``(key, parent)`` and ``n_rows``, the child rows it stands for;
     columns are named ``{column}_{name}_{stat}``. Rows without a key stay, with
-    missing statistics. ``functional`` says that a key has only one parent;
-    then one aggregation does it all. Otherwise the statistics of a key are
-    made over all its parents and joined to the pairs.
+    missing statistics.
+
+    - ``functional`` says that a key has one parent only; then one aggregation
+      does it all. Otherwise the statistics of a key are made over all its
+      parents and joined to the pairs.
+    - ``parents`` holds the parent of each key when the child table does not
+      carry it; the child table is reduced per key before it is joined.
     """
     chosen = list(columns) if columns is not None else numeric_columns(df, [key, parent])
-    aggregates = [
-        _stat(s, F.col(quoted(c))).alias(f"{c}_{name}_{s}") for c in chosen for s in stats
-    ]
+    named = {f"{c}_{name}_{s}": _stat(s, F.col(quoted(c))) for c in chosen for s in stats}
+    aggregates = [a.alias(n) for n, a in named.items()]
     size = F.count(F.lit(1)).alias("n_rows")
-    names = [f"{c}_{name}_{s}" for c in chosen for s in stats]
+    output = [F.col(quoted(key)), F.col(quoted(parent)), F.col("n_rows"), *[F.col(quoted(n)) for n in named]]
+    if parents is not None:
+        grouped = with_key(df, key).groupBy(key).agg(size, *aggregates)
+        return grouped.join(parents.select(key, parent), key, "inner").select(*output)
     if functional:
         grouped = df.groupBy(key, parent).agg(size, *aggregates)
-        kept = [F.when(F.col(key).isNotNull(), F.col(quoted(n))).alias(n) for n in names]
-        return grouped.select(key, parent, "n_rows", *kept)
+        kept = [F.when(F.col(quoted(key)).isNotNull(), F.col(quoted(n))).alias(n) for n in named]
+        return grouped.select(*output[:3], *kept)
     pairs = df.groupBy(key, parent).agg(size)
-    return pairs.join(with_key(df, key).groupBy(key).agg(*aggregates), key, "left").select(
-        key, parent, "n_rows", *[F.col(quoted(n)) for n in names]
-    )
+    facts = with_key(df, key).groupBy(key).agg(F.count(F.lit(1)).alias("__key_rows"), *aggregates)
+    return attach_by_key(pairs, facts, [key], "__key_rows", "left").select(*output)
 
 
 def weighted_means(df: DataFrame, key: str, weight: str, columns: Sequence[str]) -> DataFrame:
@@ -141,24 +148,9 @@ def rollup_two_level(
     parents: DataFrame | None = None,
     functional: bool = False,
 ) -> DataFrame:
-    """Statistics per ``key``, then their mean per ``parent`` weighted by child rows.
-
-    ``parents`` gives the parent of each key when the child table does not
-    carry it; the table is then reduced per key before it is joined.
-    """
-    chosen = list(columns) if columns is not None else numeric_columns(df, [key, parent])
-    names = [f"{c}_{name}_{s}" for c in chosen for s in stats]
-    if parents is None:
-        level = rollup_general(df, key, parent, name, chosen, stats, functional)
-    else:
-        aggregates = [_stat(s, F.col(quoted(c))).alias(f"{c}_{name}_{s}") for c in chosen for s in stats]
-        level = (
-            with_key(df, key)
-            .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n_rows"), *aggregates)
-            .join(parents.select(key, parent), key, "inner")
-        )
-    return weighted_means(level, parent, "n_rows", names)
+    """Statistics per ``key``, then their mean per ``parent`` weighted by child rows."""
+    level = rollup_general(df, key, parent, name, columns, stats, parents, functional)
+    return weighted_means(level, parent, "n_rows", [c for c in level.columns if c not in (key, parent, "n_rows")])
 
 
 def rollup_hierarchy(
@@ -253,7 +245,7 @@ def feature_block(
             statistic = finite_or_null(F.col(quoted(f"{c}_{s}")))
             weight = F.sum(F.when(statistic.isNotNull(), n))
             fills.append(F.try_divide(F.sum(statistic * n), weight).alias(f"{c}_{s}"))
-    fill = grouped.agg(F.struct(*fills).alias("fill")).scalar()
+    fill = F.col("__fill")
     for c in chosen:
         known, total = F.col(quoted(f"__n_{c}")), F.coalesce(F.col(quoted(f"__sum_{c}")), F.lit(0.0))
         missing = F.when(n > known, (n - known) * fill.getField(c)).otherwise(F.lit(0.0))
@@ -261,7 +253,7 @@ def feature_block(
         for s in ("mean", "min", "max"):
             statistic = finite_or_null(F.col(quoted(f"{c}_{s}")))
             out.append(F.coalesce(statistic, fill.getField(f"{c}_{s}")).alias(f"{c}_{s}"))
-    return grouped.select(*out)
+    return with_global(grouped, "__fill", fills).select(*out)
 
 
 def reduce_to_key(

@@ -41,3 +41,30 @@ def attach_by_key(
     warm = rows.join(hot, keys, "inner").select(*out)
     cold = rows.join(hot.select(*keys), keys, "left_anti").join(facts, keys, how).select(*out)
     return warm.unionAll(cold)
+
+
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``rows`` with the columns of ``lookup``, which has one row per key.
+
+    For joins whose result is grouped by the same key again. There, adaptive
+    execution leaves a hot partition alone, as splitting it would cost the
+    grouping a shuffle.
+    """
+    known = rows.filter(F.col(quoted(key)).isNotNull())
+    sizes = known.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    facts = lookup.join(sizes, key, "inner")
+    return attach_by_key(rows, facts, [key], "__rows", how, hot_rows).drop("__rows")
+
+
+def expand_left(base: DataFrame, children: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``base`` left joined to its children: one row per child, or one without any.
+
+    Built from the children's side, so that the hot keys of the children are
+    looked up and not shuffled.
+    """
+    columns = [F.col(quoted(c)) for c in [*base.columns, *[c for c in children.columns if c != key]]]
+    with_child = lookup_join(children, base, key, "inner", hot_rows).select(*columns)
+    alone = base.join(children.select(key).distinct(), key, "left_anti")
+    return with_child.unionByName(alone, allowMissingColumns=True)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from entityloom.functions.registry import SEARCH_FUNCTIONS
 from entityloom.operators.clean import clean
+from entityloom.operators.skew import expand_left
 from entityloom.plans.replay import FeatureSpec, apply_specs, prepare
 from entityloom.plans.scoring import SEARCH_TREES, BoostingParams, train_boosted
 from entityloom.session import checkpointed
@@ -122,6 +123,6 @@ def explore_tables(
     found = {}
     for name, child in children.items():
         clash = {c: f"{c}_{name}" for c in child.columns if c in base.columns and c != key}
-        joined = base.join(child.withColumnsRenamed(clash), key, "left")
+        joined = expand_left(base, child.withColumnsRenamed(clash), key)
         found[name] = explore(joined, key, label, name, **options)
     return found
