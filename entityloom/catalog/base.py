@@ -44,7 +44,7 @@ def stable(c: Column | str) -> Column:
 
 
 def stable_columns(df: DataFrame, *names: str) -> DataFrame:
-    return df.select(*[stable(c).alias(c) if c in names else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"double(float(`{c}`)) AS `{c}`" if c in names else f"`{c}`" for c in df.columns])
 
 
 def all_stable(df: DataFrame) -> DataFrame:

@@ -85,5 +85,5 @@ def as_number(c: Column) -> Column:
 
 
 def finite_or_null(c: Column) -> Column:
-    """The value where it is finite, missing for infinity and NaN."""
-    return F.when(~(F.isnan(c) | (F.abs(c) == INF)), c)
+    """The value where it is finite, missing for infinity and NaN (which sorts above infinity)."""
+    return F.when(F.abs(c) < INF, c)

@@ -2,43 +2,65 @@
 
 Only the column means need a second look at the data; they enter the plan as
 one scalar subquery, so nothing is collected and nothing is cross joined.
+Expressions are SQL text: wide tables get hundreds of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.functions.scalars import finite_or_null
-from entityloom.schema import floating_columns, is_floating, is_numeric, is_text, numeric_columns, quoted, text_columns
+from entityloom.schema import (
+    floating_columns,
+    is_floating,
+    is_numeric,
+    is_text,
+    numeric_columns,
+    quoted,
+    sql_literal,
+    text_columns,
+)
 
 # Marks for "unknown" in the loan tables.
 TEXT_SENTINELS = ("XNA/XAP", "XNA")
 NUMBER_SENTINELS = (365243,)
 
+FINITE = "abs({0}) < double('Infinity')"  # also false for NaN, which sorts above infinity
 
-def _project(df: DataFrame, changed: dict[str, Column]) -> DataFrame:
-    return df.select(*[changed.get(c, F.col(quoted(c))).alias(c) for c in df.columns])
+
+def project(df: DataFrame, changed: Mapping[str, str]) -> DataFrame:
+    """All columns in their order, some of them replaced by SQL expressions."""
+    return df.selectExpr(*[f"{changed.get(c, quoted(c))} AS {quoted(c)}" for c in df.columns])
+
+
+def _cleaned(
+    name: str, data_type, nonfinite: bool, texts: Sequence[str], numbers: Sequence[float], text_fill: str | None
+) -> str:
+    """One cell without its non-finite and sentinel values."""
+    c = quoted(name)
+    if is_text(data_type):
+        out = c
+        if texts:
+            out = f"CASE WHEN {c} IN ({', '.join(map(sql_literal, texts))}) THEN '' ELSE {c} END"
+        return out if text_fill is None else f"coalesce({out}, {sql_literal(text_fill)})"
+    keep = []
+    if nonfinite and is_floating(data_type):
+        keep.append(FINITE.format(c))
+    if numbers and is_numeric(data_type) and data_type.typeName() != "boolean":
+        keep.append(f"{c} NOT IN ({', '.join(map(sql_literal, numbers))})")
+    return f"CASE WHEN {' AND '.join(keep)} THEN {c} END" if keep else c
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every floating column (the form all operators expect)."""
-    return _project(df, {c: F.when(~F.isnan(quoted(c)), F.col(quoted(c))) for c in floating_columns(df)})
+    return project(df, {c: f"nanvl({quoted(c)}, NULL)" for c in floating_columns(df)})
 
 
 def nullify_nonfinite(df: DataFrame, protect: Sequence[str] = ()) -> DataFrame:
     """Infinity and NaN become NULL."""
-    return _project(df, {c: finite_or_null(F.col(quoted(c))) for c in floating_columns(df, protect)})
-
-
-def _without_sentinel(c: Column, data_type, texts: Iterable[str], numbers: Iterable[float]) -> Column:
-    if is_text(data_type) and texts:
-        return F.when(c.isin(*texts), F.lit("")).otherwise(c)
-    if is_numeric(data_type) and numbers and data_type.typeName() != "boolean":
-        return F.when(~c.isin(*numbers), c)
-    return c
+    return clean(df, protect, texts=(), numbers=(), text_fill=None, impute=None)
 
 
 def nullify_sentinels(
@@ -48,36 +70,32 @@ def nullify_sentinels(
     protect: Sequence[str] = (),
 ) -> DataFrame:
     """Text sentinels become ``''`` and number sentinels NULL (whole cells only)."""
-    changed = {
-        f.name: _without_sentinel(F.col(quoted(f.name)), f.dataType, texts, numbers)
-        for f in df.schema
-        if f.name not in protect
-    }
-    return _project(df, changed)
+    return clean(df, protect, texts, numbers, nonfinite=False, text_fill=None, impute=None)
 
 
 def fill_text(df: DataFrame, value: str = "", protect: Sequence[str] = ()) -> DataFrame:
     """Missing text becomes the given text."""
-    return _project(df, {c: F.coalesce(F.col(quoted(c)), F.lit(value)) for c in text_columns(df, protect)})
+    return project(df, {c: f"coalesce({quoted(c)}, {sql_literal(value)})" for c in text_columns(df, protect)})
 
 
 def fill_number(df: DataFrame, value: float = 0, protect: Sequence[str] = ()) -> DataFrame:
     """Missing numbers become the given number; the column keeps its type."""
-    changed = {
-        c: F.coalesce(F.col(quoted(c)), F.lit(value).cast(df.schema[c].dataType))
-        for c in numeric_columns(df, protect)
-        if df.schema[c].dataType.typeName() != "boolean"
-    }
-    return _project(df, changed)
+    changed = {}
+    for c in numeric_columns(df, protect):
+        type_ = df.schema[c].dataType.simpleString()
+        if type_ != "boolean":
+            changed[c] = f"coalesce({quoted(c)}, CAST({sql_literal(value)} AS {type_}))"
+    return project(df, changed)
 
 
-def with_global(df: DataFrame, name: str, aggregates: Sequence[Column], source: DataFrame | None = None) -> DataFrame:
-    """A struct column ``name`` with aggregates over all rows (of ``source``).
+def with_global(df: DataFrame, name: str, aggregates: Mapping[str, str]) -> DataFrame:
+    """A struct column ``name`` with SQL aggregates over all rows.
 
     It is one scalar subquery in one projection of its own. Written into every
     expression that needs a value of it, it would be planned once for each.
     """
-    return df.withColumn(name, (source or df).agg(F.struct(*aggregates).alias(name)).scalar())
+    fields = ", ".join(f"{sql_literal(field)}, {aggregate}" for field, aggregate in aggregates.items())
+    return df.withColumn(name, df.agg(F.expr(f"named_struct({fields})").alias(name)).scalar())
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str] | None = None, protect: Sequence[str] = ()) -> DataFrame:
@@ -85,9 +103,9 @@ def fill_mean(df: DataFrame, columns: Sequence[str] | None = None, protect: Sequ
     chosen = [c for c in (columns or numeric_columns(df)) if c not in protect]
     if not chosen:
         return df
-    known = with_global(df, "__means", [F.avg(quoted(c)).alias(c) for c in chosen])
-    filled = {c: F.coalesce(F.col(quoted(c)).cast("double"), F.col("__means").getField(c)) for c in chosen}
-    return known.select(*[filled.get(c, F.col(quoted(c))).alias(c) for c in df.columns])
+    known = with_global(df, "__means", {c: f"avg({quoted(c)})" for c in chosen})
+    filled = {c: f"coalesce(CAST({quoted(c)} AS DOUBLE), __means.{quoted(c)})" for c in chosen}
+    return known.selectExpr(*[f"{filled.get(c, quoted(c))} AS {quoted(c)}" for c in df.columns])
 
 
 def clean(
@@ -105,18 +123,12 @@ def clean(
     ``impute`` is ``'mean'``, a number, or None for no fill. The first three
     steps share one projection, so the means are those of the cleaned values.
     """
-    changed = {}
-    for f in df.schema:
-        if f.name in protect:
-            continue
-        c = F.col(quoted(f.name))
-        if nonfinite and is_floating(f.dataType):
-            c = finite_or_null(c)
-        c = _without_sentinel(c, f.dataType, texts, numbers)
-        if text_fill is not None and is_text(f.dataType):
-            c = F.coalesce(c, F.lit(text_fill))
-        changed[f.name] = c
-    cleaned = _project(df, changed)
+    changed = {
+        f.name: _cleaned(f.name, f.dataType, nonfinite, texts, numbers, text_fill)
+        for f in df.schema
+        if f.name not in protect
+    }
+    cleaned = project(df, changed)
     if impute is None:
         return cleaned
     if impute == "mean":

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.operators.clean import fill_number
+from entityloom.operators.clean import fill_number, fill_text
 from entityloom.operators.ordering import number_rows
 from entityloom.operators.skew import attach_by_key
-from entityloom.schema import quoted, safe_name, text_columns
+from entityloom.schema import quoted, safe_name, sql_literal, text_columns
 
 # A code table is broadcast up to this many bytes of text, and 16 bytes per row.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -52,31 +52,28 @@ def fit_values(
 
 def indicator_columns(
     values: dict[str, Sequence[str]], missing: str | None = None, missing_flag: bool = False
-) -> list[tuple[str, Column]]:
-    """(name, 0/1 column) for each value, named ``feature_{column}_{value}``.
+) -> dict[str, str]:
+    """{name: SQL of a 0/1 column} for each value, named ``feature_{column}_{value}``.
 
     ``missing`` is the text a missing cell counts as; ``missing_flag`` adds a
     ``_nan`` column for missing cells.
     """
-    out: list[tuple[str, Column]] = []
-    used: set[str] = set()
+    out: dict[str, str] = {}
+
+    def add(name: str, condition: str) -> None:
+        n, free = 2, name
+        while free in out:
+            free, n = f"{name}_{n}", n + 1
+        out[free] = f"CASE WHEN {condition} THEN 1 ELSE 0 END"
+
     for column, listed in values.items():
-        cell = F.col(quoted(column))
+        cell = quoted(column)
         if missing is not None:
-            cell = F.coalesce(cell, F.lit(missing))
+            cell = f"coalesce({cell}, {sql_literal(missing)})"
         for value in listed:
-            name = f"feature_{column}_{safe_name(value)}"
-            n = 2
-            while name in used:
-                name, n = f"feature_{column}_{safe_name(value)}_{n}", n + 1
-            used.add(name)
-            out.append((name, F.when(cell == value, F.lit(1)).otherwise(F.lit(0))))
+            add(f"feature_{column}_{safe_name(value)}", f"{cell} = {sql_literal(value)}")
         if missing_flag:
-            name = f"feature_{column}_nan"
-            if name in used:
-                name += "_missing"
-            used.add(name)
-            out.append((name, F.when(F.col(quoted(column)).isNull(), F.lit(1)).otherwise(F.lit(0))))
+            add(f"feature_{column}_nan", f"{quoted(column)} IS NULL")
     return out
 
 
@@ -85,15 +82,16 @@ def one_hot(
 ) -> DataFrame:
     """Text columns replaced by one indicator per value and one for missing."""
     filled = df if numeric_fill is None else fill_number(df, numeric_fill, protect)
-    kept = [F.col(quoted(c)) for c in filled.columns if c not in values]
-    return filled.select(*kept, *[c.alias(n) for n, c in indicator_columns(values, missing_flag=True)])
+    kept = [quoted(c) for c in filled.columns if c not in values]
+    flags = indicator_columns(values, missing_flag=True)
+    return filled.selectExpr(*kept, *[f"{sql} AS {quoted(n)}" for n, sql in flags.items()])
 
 
 def drop_text(df: DataFrame, protect: Sequence[str] = (), numeric_fill: float | None = 0) -> DataFrame:
     """Text columns dropped, numbers filled."""
     gone = set(text_columns(df, protect))
     filled = df if numeric_fill is None else fill_number(df, numeric_fill, protect)
-    return filled.select(*[F.col(quoted(c)) for c in filled.columns if c not in gone])
+    return filled.selectExpr(*[quoted(c) for c in filled.columns if c not in gone])
 
 
 def append_indicators(
@@ -101,12 +99,9 @@ def append_indicators(
 ) -> DataFrame:
     """Indicators beside the text columns; missing text becomes a value of its own first."""
     listed = {c: sorted({*v, missing}) for c, v in values.items()}
-    filled = fill_number(df, 0, protect)
-    columns = [
-        (F.coalesce(F.col(quoted(c)), F.lit(missing)).alias(c) if c in values else F.col(quoted(c)))
-        for c in filled.columns
-    ]
-    return filled.select(*columns, *[c.alias(n) for n, c in indicator_columns(listed, missing=missing)])
+    filled = fill_text(fill_number(df, 0, protect), missing, [c for c in df.columns if c not in values])
+    flags = indicator_columns(listed)
+    return filled.selectExpr("*", *[f"{sql} AS {quoted(n)}" for n, sql in flags.items()])
 
 
 @dataclass(frozen=True)

@@ -68,15 +68,14 @@ def is_empty(df: DataFrame) -> bool:
 
 def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns brought to [0, 1]; a constant column becomes 0."""
-    values = {c: F.col(quoted(c)).cast("double") for c in columns}
-    ends = [f(v).alias(f"{n}_{c}") for c, v in values.items() for n, f in (("min", F.min), ("max", F.max))]
+    ends = {f"{f}_{c}": f"{f}(CAST({quoted(c)} AS DOUBLE))" for c in columns for f in ("min", "max")}
 
-    def scaled(c: str):
-        low, high = F.col("__ends").getField(f"min_{c}"), F.col("__ends").getField(f"max_{c}")
-        return F.try_divide(values[c] - low, F.when(high == low, F.lit(1.0)).otherwise(high - low))
+    def scaled(c: str) -> str:
+        value, low, high = f"CAST({quoted(c)} AS DOUBLE)", f"__ends.{quoted('min_' + c)}", f"__ends.{quoted('max_' + c)}"
+        return f"({value} - {low}) / CASE WHEN {high} = {low} THEN double(1) ELSE {high} - {low} END"
 
-    return with_global(df, "__ends", ends).select(
-        *[scaled(c).alias(c) if c in columns else F.col(quoted(c)) for c in df.columns]
+    return with_global(df, "__ends", ends).selectExpr(
+        *[f"{scaled(c) if c in columns else quoted(c)} AS {quoted(c)}" for c in df.columns]
     )
 
 

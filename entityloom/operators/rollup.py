@@ -13,8 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.functions.scalars import finite_or_null
-from entityloom.operators.clean import with_global
+from entityloom.operators.clean import FINITE, with_global
 from entityloom.operators.encode import indicator_columns
 from entityloom.operators.joins import join_with_suffixes
 from entityloom.operators.skew import HOT_ROWS, attach_by_key
@@ -33,21 +32,26 @@ def with_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in _keys(keys)]))
 
 
-def _stat(name: str, c: Column) -> Column:
-    if name == "count":
-        return F.count(c)
-    if name in ("average", "mean"):
-        return F.avg(c)
-    if name == "min":
-        return F.min(c)
-    if name == "max":
-        return F.max(c)
-    if name == "sum":
-        # an all-missing group sums to zero
-        return F.coalesce(F.sum(c.cast("double")), F.lit(0.0))
-    if name == "std":
-        return F.stddev_samp(c)
-    raise ValueError(f"unknown statistic {name!r}")
+# Statistics as SQL; the sum of an all-missing group is zero.
+_STATS = {
+    "count": "count({})",
+    "average": "avg({})",
+    "mean": "avg({})",
+    "min": "min({})",
+    "max": "max({})",
+    "sum": "coalesce(sum(CAST({} AS DOUBLE)), double(0))",
+    "std": "stddev_samp({})",
+}
+
+
+def _stat(name: str, column: str, output: str) -> Column:
+    if name not in _STATS:
+        raise ValueError(f"unknown statistic {name!r}")
+    return F.expr(f"{_STATS[name].format(quoted(column))} AS {quoted(output)}")
+
+
+def _size(name: str) -> Column:
+    return F.expr(f"count(1) AS {quoted(name)}")
 
 
 def group_stats(
@@ -68,10 +72,10 @@ def group_stats(
     for column, names in stats.items():
         text = is_text(df.schema[column].dataType)
         for name in names:
-            aggregate = _stat(name, F.col(quoted(column))).alias(template.format(column=column, stat=name))
+            aggregate = _stat(name, column, template.format(column=column, stat=name))
             (sorted_ if text and name in ("min", "max") else hashed).append(aggregate)
     if size:
-        hashed.insert(0, F.count(F.lit(1)).alias(size))
+        hashed.insert(0, _size(size))
     if not sorted_:
         return source.groupBy(*keys).agg(*hashed)
     by_text = source.groupBy(*keys).agg(*sorted_)
@@ -82,7 +86,7 @@ def group_means(df: DataFrame, keys: str | Sequence[str], columns: Sequence[str]
     """Mean of every numeric column per key under its own name; text falls away."""
     keys = _keys(keys)
     chosen = columns if columns is not None else numeric_columns(df, keys)
-    return with_key(df, keys).groupBy(*keys).agg(*[F.avg(quoted(c)).alias(c) for c in chosen])
+    return with_key(df, keys).groupBy(*keys).agg(*[_stat("mean", c, c) for c in chosen])
 
 
 def rollup_general(
@@ -108,19 +112,19 @@ def rollup_general(
       carry it; the child table is reduced per key before it is joined.
     """
     chosen = list(columns) if columns is not None else numeric_columns(df, [key, parent])
-    named = {f"{c}_{name}_{s}": _stat(s, F.col(quoted(c))) for c in chosen for s in stats}
-    aggregates = [a.alias(n) for n, a in named.items()]
-    size = F.count(F.lit(1)).alias("n_rows")
-    output = [F.col(quoted(key)), F.col(quoted(parent)), F.col("n_rows"), *[F.col(quoted(n)) for n in named]]
+    named = {f"{c}_{name}_{s}": (s, c) for c in chosen for s in stats}
+    aggregates = [_stat(s, c, n) for n, (s, c) in named.items()]
+    size = _size("n_rows")
+    output = [quoted(key), quoted(parent), "n_rows", *[quoted(n) for n in named]]
     if parents is not None:
         grouped = with_key(df, key).groupBy(key).agg(size, *aggregates)
         return grouped.join(parents.select(key, parent), key, "inner").select(*output)
     if functional:
         grouped = df.groupBy(key, parent).agg(size, *aggregates)
-        kept = [F.when(F.col(quoted(key)).isNotNull(), F.col(quoted(n))).alias(n) for n in named]
-        return grouped.select(*output[:3], *kept)
+        kept = [f"CASE WHEN {quoted(key)} IS NOT NULL THEN {quoted(n)} END AS {quoted(n)}" for n in named]
+        return grouped.selectExpr(*output[:3], *kept)
     pairs = df.groupBy(key, parent).agg(size)
-    facts = with_key(df, key).groupBy(key).agg(F.count(F.lit(1)).alias("__key_rows"), *aggregates)
+    facts = with_key(df, key).groupBy(key).agg(_size("__key_rows"), *aggregates)
     return attach_by_key(pairs, facts, [key], "__key_rows", "left").select(*output)
 
 
@@ -129,11 +133,11 @@ def weighted_means(df: DataFrame, key: str, weight: str, columns: Sequence[str])
 
     Missing values carry no weight.
     """
-    w = F.col(quoted(weight)).cast("double")
+    w = f"CAST({quoted(weight)} AS DOUBLE)"
 
     def mean(c: str) -> Column:
-        value = F.col(quoted(c)).cast("double")
-        return F.try_divide(F.sum(value * w), F.sum(F.when(value.isNotNull(), w))).alias(c)
+        x = quoted(c)
+        return F.expr(f"try_divide(sum(CAST({x} AS DOUBLE) * {w}), sum(CASE WHEN {x} IS NOT NULL THEN {w} END)) AS {x}")
 
     return with_key(df, key).groupBy(key).agg(*[mean(c) for c in columns])
 
@@ -213,47 +217,35 @@ def feature_block(
     their mean and nothing else.
     """
     chosen = list(columns) if columns is not None else numeric_columns(df, [key])
-    n = F.col(quoted(size))
-    cells = {c: F.col(quoted(c)).cast("double") for c in chosen}
-    source = with_key(df, key)
-    aggregates = [F.count(F.lit(1)).alias(size), *[F.avg(quoted(c)).alias(c) for c in only_means]]
-    for c, value in cells.items():
-        aggregates += [F.avg(value).alias(f"{c}_mean"), F.min(value).alias(f"{c}_min"), F.max(value).alias(f"{c}_max")]
-        if after == "zero":
-            aggregates.append(F.avg(F.coalesce(value, F.lit(0.0))).alias(c))
-        elif after == "mean":
-            finite = finite_or_null(value)
-            aggregates += [F.sum(finite).alias(f"__sum_{c}"), F.count(finite).alias(f"__n_{c}")]
-    grouped = source.groupBy(key).agg(*aggregates)
-    out = [F.col(quoted(key)), n, *[F.col(quoted(c)) for c in only_means]]
-    if after is None:
-        for c in chosen:
-            out += [F.col(quoted(f"{c}_mean")).alias(c), F.col(quoted(f"{c}_min")), F.col(quoted(f"{c}_max"))]
-        return grouped.select(*out)
-    if after == "zero":
-        for c in chosen:
-            out.append(F.col(quoted(c)))
-            out += [F.coalesce(F.col(quoted(f"{c}_{s}")), F.lit(0.0)).alias(f"{c}_{s}") for s in ("mean", "min", "max")]
-        return grouped.select(*out)
-    if after != "mean":
+    if after not in (None, "zero", "mean"):
         raise ValueError("after must be None, 'zero' or 'mean'")
-    fills = []
-    for c in chosen:
-        total, known = F.sum(quoted(f"__sum_{c}")), F.sum(quoted(f"__n_{c}"))
-        fills.append(F.try_divide(total, known).alias(c))
-        for s in ("mean", "min", "max"):
-            statistic = finite_or_null(F.col(quoted(f"{c}_{s}")))
-            weight = F.sum(F.when(statistic.isNotNull(), n))
-            fills.append(F.try_divide(F.sum(statistic * n), weight).alias(f"{c}_{s}"))
-    fill = F.col("__fill")
+    aggregates = [_size(size), *[_stat("mean", c, c) for c in only_means]]
+    out = [quoted(key), quoted(size), *[quoted(c) for c in only_means]]
+    fills: dict[str, str] = {}
+    n = quoted(size)
     for c in chosen:
-        known, total = F.col(quoted(f"__n_{c}")), F.coalesce(F.col(quoted(f"__sum_{c}")), F.lit(0.0))
-        missing = F.when(n > known, (n - known) * fill.getField(c)).otherwise(F.lit(0.0))
-        out.append(((total + missing) / n).alias(c))
-        for s in ("mean", "min", "max"):
-            statistic = finite_or_null(F.col(quoted(f"{c}_{s}")))
-            out.append(F.coalesce(statistic, fill.getField(f"{c}_{s}")).alias(f"{c}_{s}"))
-    return with_global(grouped, "__fill", fills).select(*out)
+        x = f"CAST({quoted(c)} AS DOUBLE)"
+        stats = {s: quoted(f"{c}_{s}") for s in ("mean", "min", "max")}
+        aggregates += [_stat(s, c, f"{c}_{s}") for s in stats]
+        if after is None:
+            out += [f"{stats['mean']} AS {quoted(c)}", stats["min"], stats["max"]]
+        elif after == "zero":
+            aggregates.append(F.expr(f"avg(coalesce({x}, double(0))) AS {quoted(c)}"))
+            out += [quoted(c), *[f"coalesce({q}, 0) AS {q}" for q in stats.values()]]
+        else:
+            finite = f"CASE WHEN {FINITE.format(x)} THEN {x} END"
+            total, known = quoted(f"__sum_{c}"), quoted(f"__n_{c}")
+            aggregates += [F.expr(f"coalesce(sum({finite}), 0) AS {total}"), F.expr(f"count({finite}) AS {known}")]
+            # the mean over all rows: of the cells, and of the statistics attached to them
+            fills[c] = f"try_divide(sum({total}), sum({known}))"
+            out.append(f"({total} + CASE WHEN {n} > {known} THEN ({n} - {known}) * __fill.{quoted(c)} ELSE 0 END) / {n} AS {quoted(c)}")
+            for s, q in stats.items():
+                fills[f"{c}_{s}"] = f"try_divide(sum({q} * {n}) FILTER (WHERE {FINITE.format(q)}), sum({n}) FILTER (WHERE {FINITE.format(q)}))"
+                out.append(f"coalesce(CASE WHEN {FINITE.format(q)} THEN {q} END, __fill.{q}) AS {q}")
+    grouped = with_key(df, key).groupBy(key).agg(*aggregates)
+    if fills:
+        grouped = with_global(grouped, "__fill", fills)
+    return grouped.selectExpr(*out)
 
 
 def reduce_to_key(
@@ -276,16 +268,17 @@ def reduce_to_key(
     renamed = {c: c if c in keep_names else c + suffix for c in chosen}
     source = with_key(df, key)
     if not carry:
-        result = source.groupBy(key).agg(*[F.avg(quoted(c)).alias(n) for c, n in renamed.items()])
+        result = source.groupBy(key).agg(*[_stat("mean", c, n) for c, n in renamed.items()])
     else:
         # sums and counts per (key, carry) first: both results come from one small table
+        sums = {c: (quoted(f"__sum_{c}"), quoted(f"__n_{c}")) for c in chosen}
         parts = source.groupBy(key, *carry).agg(
-            *[F.sum(F.col(quoted(c)).cast("double")).alias(f"__s_{c}") for c in chosen],
-            *[F.count(quoted(c)).alias(f"__n_{c}") for c in chosen],
+            *[F.expr(f"sum(CAST({quoted(c)} AS DOUBLE)) AS {total}") for c, (total, _) in sums.items()],
+            *[F.expr(f"count({quoted(c)}) AS {known}") for c, (_, known) in sums.items()],
         )
         means = parts.groupBy(key).agg(
             *[
-                F.try_divide(F.sum(quoted(f"__s_{c}")), F.sum(quoted(f"__n_{c}"))).alias(n)
+                F.expr(f"try_divide(sum({sums[c][0]}), sum({sums[c][1]})) AS {quoted(n)}")
                 for c, n in renamed.items()
             ]
         )
@@ -302,10 +295,9 @@ def category_share(
     missing: str = "",
 ) -> DataFrame:
     """Share of each category value per key, means of ``numbers``, and the row count."""
-    aggregates = [F.count(F.lit(1)).alias(size)]
-    for name, flag in indicator_columns(values, missing=missing):
-        aggregates.append(F.avg(flag).alias(name + "_mean"))
-    aggregates += [F.avg(F.coalesce(F.col(quoted(c)), F.lit(0))).alias(c + "_mean") for c in numbers]
+    flags = indicator_columns(values, missing=missing)
+    aggregates = [_size(size), *[F.expr(f"avg({sql}) AS {quoted(n + '_mean')}") for n, sql in flags.items()]]
+    aggregates += [F.expr(f"avg(coalesce({quoted(c)}, 0)) AS {quoted(c + '_mean')}") for c in numbers]
     return with_key(df, key).groupBy(key).agg(*aggregates)
 
 

@@ -63,6 +63,17 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_literal(value: str | int | float | bool | None) -> str:
+    """The value as it is written in Spark SQL."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"double('{value}')" if isinstance(value, float) else str(value)
+
+
 def safe_name(text: str) -> str:
     """A value turned into a piece of a column name."""
     return re.sub(r"[^0-9A-Za-z_]+", "_", text)
