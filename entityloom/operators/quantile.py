@@ -1,9 +1,11 @@
 """Exact order statistics without sorting the table or gathering a column.
 
-Each wanted rank is bracketed by two data values. A pass over the data counts
-the values below and inside every bracket at once and narrows the brackets
-with approximate percentiles, until so few values are inside that they can be
-looked at directly. Every pass is one aggregation for all columns and ranks.
+Each wanted rank is bracketed by two data values. Approximate percentiles
+propose values near the ranks; counting the rows below, at and between them
+tells exactly where each rank lies, and that part becomes its new bracket.
+This goes on until so few values are inside that they can be looked at. A pass
+is two aggregations for all columns and ranks together, and a bracket keeps
+about 4 / ACCURACY of its rows: 10**12 rows take three passes.
 """
 
 from __future__ import annotations
@@ -12,15 +14,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.schema import quoted
+from entityloom.schema import quoted, sql_literal
 
 # Up to this many values of one bracket meet in one aggregation buffer.
-GATHER_ROWS = 200_000
-ACCURACY = 10_000
-_MAX_PASSES = 200
+GATHER_ROWS = 100_000
+ACCURACY = 1_000
+_MAX_PASSES = 100
 
 
 @dataclass
@@ -29,119 +31,131 @@ class _Bracket:
 
     column: str
     rank: int
-    low: object
-    high: object
-    below: int
-    inside: int
+    low: object = None
+    high: object = None
+    below: int = 0
+    inside: int = 0
 
     @property
-    def cell(self) -> Column:
-        return F.col(quoted(self.column))
+    def span(self) -> tuple:
+        return self.column, self.low, self.high
+
+    def narrow_to(self, parts: list[tuple[int, object, object]]) -> None:
+        """Take the part (rows, lowest, highest) of the column that holds the rank."""
+        below = 0
+        for rows, low, high in parts:
+            if self.rank < below + rows:
+                self.low, self.high, self.below, self.inside = low, high, below, rows
+                return
+            below += rows
+        raise ValueError(f"rank {self.rank} outside the {below} values of {self.column}")
+
+
+def _spans(brackets: list[_Bracket]) -> dict[tuple, list[_Bracket]]:
+    """Ranks of a column share a bracket at first; what they share is looked at once."""
+    out: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        out.setdefault(b.span, []).append(b)
+    return out
 
-    @property
-    def within(self) -> Column:
-        return self.cell.between(F.lit(self.low), F.lit(self.high))
 
-    def done(self, gather_rows: int) -> bool:
-        return self.low == self.high or self.inside <= gather_rows
+def _within(span: tuple) -> str:
+    name, low, high = span
+    return f"{quoted(name)} BETWEEN {sql_literal(low)} AND {sql_literal(high)}"
+
+
+def _proposals(df: DataFrame, brackets: list[_Bracket]) -> dict[str, list]:
+    """Per column, values just below and just above where its open ranks should be."""
+    spans = _spans(brackets)
+    sketches = []
+    for i, (span, members) in enumerate(spans.items()):
+        shares = []
+        for b in members:
+            shares.append(max(0.0, (b.rank - b.below) / b.inside - 2.0 / ACCURACY))
+            shares.append(min(1.0, (b.rank - b.below + 1) / b.inside + 2.0 / ACCURACY))
+        listed = ", ".join(map(str, sorted(set(shares))))
+        sketches.append(
+            F.expr(
+                f"percentile_approx({quoted(span[0])}, array({listed}), {ACCURACY}) FILTER (WHERE {_within(span)}) AS s{i}"
+            )
+        )
+    row = df.agg(*sketches).first()
+    values: dict[str, set] = {}
+    for i, (name, _, _) in enumerate(spans):
+        values.setdefault(name, set()).update(row[f"s{i}"])
+    return {name: sorted(v) for name, v in values.items()}
+
+
+def _parts(df: DataFrame, cuts: dict[str, list]) -> dict[str, list[tuple[int, object, object]]]:
+    """(rows, lowest, highest) of the parts that the cut values divide each column into.
+
+    A cut value is a part of its own, so a value with many rows is settled at once.
+    """
+    by_type: dict[str, list[str]] = {}
+    for name in cuts:
+        by_type.setdefault(df.schema[name].dataType.simpleString(), []).append(name)
+    out: dict[str, list[tuple[int, object, object]]] = {name: [] for name in cuts}
+    for names in by_type.values():
+        cells = []
+        for i, name in enumerate(names):
+            x, steps = quoted(name), []
+            for n, cut in enumerate(cuts[name]):
+                steps.append(f"WHEN {x} < {sql_literal(cut)} THEN {2 * n} WHEN {x} = {sql_literal(cut)} THEN {2 * n + 1}")
+            part = f"CASE {' '.join(steps)} ELSE {2 * len(cuts[name])} END" if steps else "0"
+            cells.append(f"named_struct('c', {i}, 'p', {part}, 'v', {x})")
+        long = df.selectExpr(f"inline(array({', '.join(cells)}))").filter("v IS NOT NULL")
+        found = long.groupBy("c", "p").agg(F.expr("count(1) AS n"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
+        # at most two parts per cut value
+        for r in sorted(found.collect(), key=lambda r: (r["c"], r["p"])):
+            out[names[r["c"]]].append((r["n"], r["low"], r["high"]))
+    return out
 
 
-def _count_bracket(i: int, b: _Bracket, low: Column, high: Column) -> list[Column]:
-    return [
-        F.count_if(b.cell < low).alias(f"below_{i}"),
-        F.count_if((b.cell >= low) & (b.cell <= high)).alias(f"inside_{i}"),
+def _gathered(df: DataFrame, brackets: list[_Bracket]) -> dict[int, object]:
+    """The values at the ranks of brackets with at most GATHER_ROWS values."""
+    names = {span: f"span_{n}" for n, span in enumerate(_spans(brackets))}
+    sorted_ = [
+        F.expr(f"sort_array(collect_list({quoted(s[0])}) FILTER (WHERE {_within(s)})) AS {n}") for s, n in names.items()
     ]
+    picks = [f"element_at({names[b.span]}, {b.rank - b.below + 1}) AS rank_{i}" for i, b in enumerate(brackets)]
+    row = df.agg(*sorted_).selectExpr(*picks).first()
+    return {id(b): row[f"rank_{i}"] for i, b in enumerate(brackets)}
 
 
-def _narrow(df: DataFrame, brackets: list[_Bracket], gather_rows: int) -> None:
+def _settle(df: DataFrame, brackets: list[_Bracket], gather_rows: int) -> dict[int, object]:
     for _ in range(_MAX_PASSES):
-        open_ = [(i, b) for i, b in enumerate(brackets) if not b.done(gather_rows)]
+        open_ = [b for b in brackets if b.low != b.high and b.inside > gather_rows]
         if not open_:
-            return
-        guesses = []
-        for i, b in open_:
-            slack = 2.0 / ACCURACY
-            lower = max(0.0, (b.rank - b.below) / b.inside - slack)
-            upper = min(1.0, (b.rank - b.below + 1) / b.inside + slack)
-            guesses.append(
-                F.percentile_approx(
-                    F.when(b.within, b.cell), F.array(F.lit(lower), F.lit(upper)), F.lit(ACCURACY)
-                ).alias(f"guess_{i}")
-            )
-        guess = df.agg(*guesses).first()
-        bounds = {i: guess[f"guess_{i}"] for i, _ in open_}
-        counts = df.agg(
-            *[c for i, b in open_ for c in _count_bracket(i, b, F.lit(bounds[i][0]), F.lit(bounds[i][1]))]
-        ).first()
-        for i, b in open_:
-            below, inside = counts[f"below_{i}"], counts[f"inside_{i}"]
-            if not (below <= b.rank < below + inside):
-                raise RuntimeError(f"bracket lost its rank in column {b.column}")
-            if inside == b.inside:
-                # nothing was cut off: go on with the values at the ends
-                _split_ends(df, b)
-            else:
-                b.low, b.high, b.below, b.inside = bounds[i][0], bounds[i][1], below, inside
-    raise RuntimeError("ranks could not be narrowed down")
-
-
-def _split_ends(df: DataFrame, b: _Bracket) -> None:
-    """Settle on the lowest or the highest value, or cut both off."""
-    row = df.agg(
-        F.count_if(b.cell == F.lit(b.low)).alias("at_low"),
-        F.count_if(b.cell == F.lit(b.high)).alias("at_high"),
-        F.min(F.when(b.within & (b.cell > F.lit(b.low)), b.cell)).alias("next_low"),
-        F.max(F.when(b.within & (b.cell < F.lit(b.high)), b.cell)).alias("next_high"),
-    ).first()
-    end = b.below + b.inside
-    if b.rank < b.below + row["at_low"]:
-        b.high, b.inside = b.low, row["at_low"]
-    elif b.rank >= end - row["at_high"]:
-        b.low, b.below, b.inside = b.high, end - row["at_high"], row["at_high"]
+            break
+        parts = _parts(df, _proposals(df, open_))
+        for b in open_:
+            b.narrow_to(parts[b.column])
     else:
-        b.low, b.below, b.inside = row["next_low"], b.below + row["at_low"], b.inside - row["at_low"]
-        b.high, b.inside = row["next_high"], b.inside - row["at_high"]
+        raise RuntimeError("ranks could not be narrowed down")
+    found = {id(b): b.low for b in brackets if b.low == b.high}
+    rest = [b for b in brackets if b.low != b.high]
+    if rest:
+        found.update(_gathered(df, rest))
+    return found
 
 
-def _gathered(b: _Bracket) -> Column:
-    """The sorted values inside a narrow bracket; at most GATHER_ROWS of them."""
-    return F.sort_array(F.collect_list(F.when(b.within, b.cell)))
+def order_statistics(df: DataFrame, ranks: dict[str, Sequence[int]], gather_rows: int = GATHER_ROWS) -> dict[str, list]:
+    """``{column: values at the ranks}``; ranks count the non-missing values from 0."""
+    whole = _parts(df, {c: [] for c in ranks})
+    return _at_ranks(df, ranks, whole, gather_rows)
 
 
-def order_statistics(
-    df: DataFrame, ranks: dict[str, Sequence[int]], gather_rows: int = GATHER_ROWS
-) -> dict[str, list]:
-    """``{column: values at the ranks}``; ranks count non-missing values from 0."""
-    columns = list(ranks)
-    ends = df.agg(
-        *[F.min(quoted(c)).alias(f"min_{i}") for i, c in enumerate(columns)],
-        *[F.max(quoted(c)).alias(f"max_{i}") for i, c in enumerate(columns)],
-        *[F.count(quoted(c)).alias(f"count_{i}") for i, c in enumerate(columns)],
-    ).first()
+def _at_ranks(df: DataFrame, ranks, whole, gather_rows: int) -> dict[str, list]:
     brackets = []
-    for i, c in enumerate(columns):
-        n = ends[f"count_{i}"]
-        for rank in ranks[c]:
-            if not 0 <= rank < n:
-                raise ValueError(f"rank {rank} outside the {n} values of {c}")
-            brackets.append(_Bracket(c, rank, ends[f"min_{i}"], ends[f"max_{i}"], 0, n))
-    _narrow(df, brackets, gather_rows)
-    open_ = [(i, b) for i, b in enumerate(brackets) if b.low != b.high]
-    found = {i: b.low for i, b in enumerate(brackets) if b.low == b.high}
-    if open_:
-        # equal brackets (all ranks of a small column) are gathered once
-        spans = {(b.column, b.low, b.high): b for _, b in open_}
-        names = {span: f"span_{n}" for n, span in enumerate(spans)}
-        picks = df.agg(*[_gathered(b).alias(names[span]) for span, b in spans.items()]).select(
-            *[
-                F.element_at(F.col(names[(b.column, b.low, b.high)]), b.rank - b.below + 1).alias(f"rank_{i}")
-                for i, b in open_
-            ]
-        ).first()
-        found.update({i: picks[f"rank_{i}"] for i, _ in open_})
+    for name, listed in ranks.items():
+        for rank in listed:
+            b = _Bracket(name, rank)
+            b.narrow_to(whole[name])
+            brackets.append(b)
+    found = _settle(df, brackets, gather_rows)
     out: dict[str, list] = {}
-    for i, b in enumerate(brackets):
-        out.setdefault(b.column, []).append(found[i])
+    for b in brackets:
+        out.setdefault(b.column, []).append(found[id(b)])
     return out
 
 
@@ -149,23 +163,14 @@ def exact_percentiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], gather_rows: int = GATHER_ROWS
 ) -> dict[str, list[float | None]]:
     """Percentiles with linear interpolation between the two nearest values."""
-    counts = df.agg(*[F.count(quoted(c)).alias(f"n_{i}") for i, c in enumerate(columns)]).first()
-    wanted: dict[str, list[int]] = {}
-    places: dict[str, list[float]] = {}
-    for i, c in enumerate(columns):
-        n = counts[f"n_{i}"]
-        if n:
-            places[c] = [p * (n - 1) for p in probabilities]
-            wanted[c] = sorted({r for x in places[c] for r in (math.floor(x), math.ceil(x))})
-    values = order_statistics(df, wanted, gather_rows=gather_rows) if wanted else {}
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        if c not in wanted:
-            out[c] = [None] * len(probabilities)
-            continue
-        at = dict(zip(wanted[c], values[c]))
+    whole = _parts(df, {c: [] for c in columns})
+    places = {c: [p * (parts[0][0] - 1) for p in probabilities] for c, parts in whole.items() if parts}
+    ranks = {c: sorted({r for x in at for r in (math.floor(x), math.ceil(x))}) for c, at in places.items()}
+    values = _at_ranks(df, ranks, whole, gather_rows)
+    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for c, at in places.items():
+        by_rank = {r: float(v) for r, v in zip(ranks[c], values[c])}
         out[c] = [
-            float(at[math.floor(x)]) + (x - math.floor(x)) * (float(at[math.ceil(x)]) - float(at[math.floor(x)]))
-            for x in places[c]
+            by_rank[math.floor(x)] + (x - math.floor(x)) * (by_rank[math.ceil(x)] - by_rank[math.floor(x)]) for x in at
         ]
     return out
