@@ -195,12 +195,19 @@ def join_labels(spark, folder):
 )
 def join_many_to_many(spark, folder):
     t = Tables(spark, folder)
-    owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k"))
-    lines = t.lineitem.join(owner, "l_orderkey")
+    orders = t.orders.withColumnRenamed("o_custkey", "k")
+    # lines are counted and summed per order, then per customer
+    per_order = J.chain_block(t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "n", ["l_quantity"])
+    lines = (
+        orders.select("o_orderkey", "k")
+        .join(per_order, "o_orderkey")
+        .groupBy("k")
+        .agg(F.sum("n").alias("n_lines"), F.sum("l_quantity").alias("l_quantity"))
+    )
     chain = [
-        (t.orders.withColumnRenamed("o_custkey", "k"), "n_orders", ["o_totalprice"]),
-        (lines, "n_lines", ["l_quantity"]),
-        (t.events.withColumnRenamed("user_id", "k"), "n_events", ["value"]),
+        (J.chain_block(orders, "k", "n_orders", ["o_totalprice"]), "n_orders"),
+        (lines, "n_lines"),
+        (J.chain_block(t.events.withColumnRenamed("user_id", "k"), "k", "n_events", ["value"]), "n_events"),
     ]
     sums = ["chain_sum_o_totalprice", "chain_sum_l_quantity", "chain_sum_value"]
     return stable_columns(J.chain_totals(chain, "k"), *sums)

@@ -8,6 +8,7 @@ from entityloom.operators.split import hash_bucket, with_hold_out
 from entityloom.plans import scoring as M
 from entityloom.plans.search import explore
 from entityloom.schema import numeric_columns
+from entityloom.session import stored
 
 TARGET = "CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END"
 PROBABILITY = "(c_nationkey + 1) / 40.0::DOUBLE"
@@ -77,7 +78,7 @@ TREES = M.SEARCH_TREES.with_(max_iter=8, max_depth=3, min_instances=20)
 def _trained(spark, folder):
     """The model of the wide customer table; the balance itself would give the label away."""
     wide = customer_table(spark, folder).drop("c_acctbal", "o_totalprice_over_c_acctbal")
-    flagged = with_hold_out(wide, hash_bucket(["c_custkey"]), 0.10)
+    flagged = stored(with_hold_out(wide, hash_bucket(["c_custkey"]), 0.10))
     inputs = numeric_columns(wide, ["c_custkey", "target"])
     return flagged, inputs, M.train_boosted(flagged, inputs, "target", TREES, "is_validation")
 

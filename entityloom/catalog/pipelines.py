@@ -7,7 +7,7 @@ from entityloom.functions.scalars import flag_not_equal
 from entityloom.operators.clean import clean, fill_number
 from entityloom.operators.columns import append
 from entityloom.operators.encode import fit_values, one_hot
-from entityloom.operators.rollup import category_share, feature_block, rollup_two_level
+from entityloom.operators.rollup import feature_block, rollup_two_level
 from entityloom.plans.assemble import assemble, attach_blocks
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_block, replay_tables
 from entityloom.sources.specs import spec_table, specs_of
@@ -31,7 +31,7 @@ SQL_STATS = {"count": "count({})", "average": "avg({})", "min": "min({})", "max"
 EVENT_NAMES = [f"feature_event_type_{e}_mean" for e in EVENT_TYPES]
 WIDE_NAMES = [
     "c_acctbal", "order_rows", "o_totalprice", "o_totalprice_min", "o_totalprice_max", "still_open", *LINE_NAMES,
-    "event_rows", "value", "value_min", "value_max", "feature_app_count", *EVENT_NAMES,
+    "event_rows", "value", "value_min", "value_max", *EVENT_NAMES,
 ]
 
 LINES_SQL = f"""
@@ -67,8 +67,7 @@ def customer_table(spark, folder):
     blocks = {
         "orders": order_block.withColumnRenamed("open", "still_open"),
         "lines": _line_block(t),
-        "events": feature_block(events, "c_custkey", "event_rows", ["value"]),
-        "types": category_share(events, "c_custkey", {"event_type": EVENT_TYPES}),
+        "events": feature_block(events, "c_custkey", "event_rows", ["value"], shares={"event_type": EVENT_TYPES}),
     }
     wide = assemble(base, blocks, "c_custkey", ["target"])
     return apply_specs(wide, WIDE_SPECS)
@@ -84,7 +83,7 @@ def customer_table(spark, folder):
     l AS ({LINES_SQL}),
     e AS (
       SELECT user_id AS c_custkey, count(*) AS event_rows, avg(value) AS value, min(value) AS value_min,
-             max(value) AS value_max, count(*) AS feature_app_count,
+             max(value) AS value_max,
              {", ".join(f"avg(CASE WHEN event_type = '{e}' THEN 1 ELSE 0 END) AS {n}" for e, n in zip(EVENT_TYPES, EVENT_NAMES))}
       FROM events GROUP BY user_id),
     joined AS (

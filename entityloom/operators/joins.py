@@ -81,8 +81,12 @@ def fold_outer_rows(blocks: Sequence[DataFrame], keys: Sequence[str]) -> DataFra
 
 
 def in_keys(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in the other table (the ids are never collected)."""
-    return df.join(ids.select(key), key, "left_semi")
+    """Rows whose key occurs in the other table.
+
+    The ids are never collected; they are made distinct first, so that an id
+    with many rows is one row in the shuffle.
+    """
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def union_all_columns(*frames: DataFrame) -> DataFrame:
@@ -100,29 +104,24 @@ def untag(df: DataFrame, tag: str, name: str) -> DataFrame:
     return df.filter(F.col(tag) == name).drop(tag)
 
 
-def chain_totals(tables: Sequence[tuple[DataFrame, str, Sequence[str]]], key: str) -> DataFrame:
+def chain_block(df: DataFrame, key: str, size: str, sums: Sequence[str]) -> DataFrame:
+    """One row per key: how many rows it has, and sums of columns."""
+    totals = [F.sum(F.col(c).cast("double")).alias(c) for c in sums]
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(size), *totals)
+
+
+def chain_totals(blocks: Sequence[tuple[DataFrame, str]], key: str) -> DataFrame:
     """Row count and sums of the inner many-to-many chain of tables on one key.
 
-    Each table comes as ``(frame, count_name, summed columns)``. Every table is
-    reduced to one row per key first: a key with a, b and c rows stands for
-    a * b * c joined rows, and a sum over one table is repeated once for each
-    pairing of the others. No pair of rows is ever built.
+    Every table comes as its ``(block, size)`` with one row per key: a key with
+    a, b and c rows stands for a * b * c joined rows, and a sum over one table
+    is repeated once for each pairing of the others. No pair is ever built.
     """
-    reduced = []
-    for df, size, sums in tables:
-        known = df.filter(F.col(key).isNotNull())
-        reduced.append(
-            known.groupBy(key).agg(
-                F.count(F.lit(1)).alias(size), *[F.sum(F.col(c).cast("double")).alias(c) for c in sums]
-            )
-        )
-    joined = reduce(lambda a, b: a.join(b, key, "inner"), reduced)
-    sizes = [size for _, size, _ in tables]
+    joined = reduce(lambda a, b: a.join(b, key, "inner"), [block for block, _ in blocks])
     # counts multiply past the range of a long on hot keys
-    counts = {s: F.col(s).cast("double") for s in sizes}
-    product = reduce(lambda a, b: a * b, counts.values())
-    outputs = [F.col(key), product.alias("chain_rows")]
-    for _, size, sums in tables:
+    counts = {size: F.col(size).cast("double") for _, size in blocks}
+    outputs = [F.col(key), reduce(lambda a, b: a * b, counts.values()).alias("chain_rows")]
+    for block, size in blocks:
         factor = reduce(lambda a, b: a * b, [c for s, c in counts.items() if s != size], F.lit(1.0))
-        outputs += [(F.col(c) * factor).alias(f"chain_sum_{c}") for c in sums]
+        outputs += [(F.col(c) * factor).alias(f"chain_sum_{c}") for c in block.columns if c not in (key, size)]
     return joined.select(*outputs)

@@ -199,6 +199,7 @@ def feature_block(
     columns: Sequence[str] | None = None,
     after: str | None = None,
     only_means: Sequence[str] = (),
+    shares: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row per entity: row count, and for every numeric column ``X`` its
     mean ``X`` and its extremes ``X_min`` and ``X_max``.
@@ -214,13 +215,16 @@ def feature_block(
 
     With either, the mean of the filled rows (``X``) is not the filled mean of
     the rows, which then comes as ``X_mean``. Columns in ``only_means`` get
-    their mean and nothing else.
+    their mean and nothing else; ``shares`` adds the share of each listed value
+    of a text column. All of it is one aggregation.
     """
     chosen = list(columns) if columns is not None else numeric_columns(df, [key])
     if after not in (None, "zero", "mean"):
         raise ValueError("after must be None, 'zero' or 'mean'")
+    flags = {f"{name}_mean": sql for name, sql in indicator_columns(shares or {}).items()}
     aggregates = [_size(size), *[_stat("mean", c, c) for c in only_means]]
-    out = [quoted(key), quoted(size), *[quoted(c) for c in only_means]]
+    aggregates += [F.expr(f"avg({sql}) AS {quoted(name)}") for name, sql in flags.items()]
+    out = [quoted(c) for c in (key, size, *only_means, *flags)]
     fills: dict[str, str] = {}
     n = quoted(size)
     for c in chosen:

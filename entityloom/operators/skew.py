@@ -8,6 +8,7 @@ in which their rows are never moved; all other rows take the ordinary join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,11 +37,18 @@ def attach_by_key(
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     keys = list(keys)
-    out = [F.col(quoted(c)) for c in rows.columns] + [F.col(quoted(c)) for c in facts.columns if c not in keys]
+    added = [c for c in facts.columns if c not in keys]
+    out = [F.col(quoted(c)) for c in [*rows.columns, *added]]
+    with_key = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in keys])
+    known = rows.filter(with_key)
     hot = F.broadcast(facts.filter(F.col(quoted(size)) >= hot_rows))
-    warm = rows.join(hot, keys, "inner").select(*out)
-    cold = rows.join(hot.select(*keys), keys, "left_anti").join(facts, keys, how).select(*out)
-    return warm.unionAll(cold)
+    warm = known.join(hot, keys, "inner").select(*out)
+    cold = known.join(hot.select(*keys), keys, "left_anti").join(facts, keys, how).select(*out)
+    if how == "inner":
+        return warm.unionAll(cold)
+    # rows without a key match nothing, and would all meet in one task of the join
+    alone = rows.filter(~with_key).select("*", *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in added])
+    return warm.unionAll(cold).unionAll(alone)
 
 
 def lookup_join(

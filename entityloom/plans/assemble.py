@@ -10,7 +10,7 @@ from entityloom.operators.clean import clean
 from entityloom.operators.columns import drop_containing
 from entityloom.operators.joins import union_tagged, untag
 from entityloom.operators.rollup import group_means
-from entityloom.session import checkpointed
+from entityloom.session import stored
 
 
 def attach_blocks(base: DataFrame, blocks: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -48,7 +48,7 @@ def assemble(
     """
     wide = drop_containing(attach_blocks(base, blocks, key), drop_parts)
     if stage:
-        wide = checkpointed(wide)
+        wide = stored(wide)
     cleaned = clean(wide, protect=[key, *protect], impute=impute)
     return group_means(cleaned, key) if one_row else cleaned
 

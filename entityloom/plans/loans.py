@@ -24,6 +24,7 @@ from entityloom.plans.assemble import assemble, attach_blocks, split_parts, stac
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_tables
 from entityloom.plans.scoring import SMALL_TREES, BoostingParams, auc, importance_table, log_loss, score, train_boosted
 from entityloom.schema import ChildTable, EntitySchema, numeric_columns, quoted
+from entityloom.session import stored
 
 LOANS = EntitySchema(
     key="SK_ID_CURR",
@@ -146,7 +147,8 @@ def train_and_score(
     train, test = finished_parts(drop_text(wide, [PART], numeric_fill=None), fill)
     key, label = LOANS.key, LOANS.label
     inputs = numeric_columns(train, [key, label])
-    flagged = with_hold_out(train, hash_bucket([key], seed=seed), share)
+    # training goes over the table many times
+    flagged = stored(with_hold_out(train, hash_bucket([key], seed=seed), share))
     model = train_boosted(flagged, inputs, label, params, "is_validation")
     held = flagged.filter("is_validation")
     judged = score(model, held, inputs, key).join(held.select(key, F.col(quoted(label))), key)

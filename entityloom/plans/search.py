@@ -13,7 +13,7 @@ from entityloom.operators.clean import clean
 from entityloom.operators.skew import expand_left
 from entityloom.plans.replay import FeatureSpec, apply_specs, prepare
 from entityloom.plans.scoring import SEARCH_TREES, BoostingParams, train_boosted
-from entityloom.session import checkpointed
+from entityloom.session import stored
 
 # Features to find, and the rank a feature must reach.
 TARGET_FEATURES = 100
@@ -76,7 +76,7 @@ def explore(
     rng = random.Random(seed)
     table = df if prepared else prepare(df, key, label)
     # features enter the model finite and filled
-    table = checkpointed(clean(table, protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0))
+    table = stored(clean(table, protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0))
     result = SearchResult([], table)
     seen: set[tuple] = set()
     for round_ in range(max_rounds):
@@ -102,7 +102,7 @@ def explore(
                 kept.append(replace(c, name=name))
             result.history.append((round_, name, c.function, importances[c.name], accepted))
         if kept:
-            result.table = checkpointed(
+            result.table = stored(
                 clean(
                     apply_specs(result.table, kept),
                     protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0,
