@@ -67,8 +67,12 @@ def _within(span: tuple) -> str:
 def _proposals(df: DataFrame, brackets: list[_Bracket]) -> dict[str, list]:
     """Per column, values just below and just above where its open ranks should be."""
     spans = _spans(brackets)
-    sketches = []
+    sketches, origins = [], []
     for i, (span, members) in enumerate(spans.items()):
+        # sketches compute in doubles, which cannot tell large integers apart
+        name, low, high = span
+        origins.append(low if isinstance(low, int) and high - low < 2**53 else 0)
+        value = f"try_subtract({quoted(name)}, {origins[i]})" if origins[i] else quoted(name)
         shares = []
         for b in members:
             shares.append(max(0.0, (b.rank - b.below) / b.inside - 2.0 / ACCURACY))
@@ -76,13 +80,13 @@ def _proposals(df: DataFrame, brackets: list[_Bracket]) -> dict[str, list]:
         listed = ", ".join(map(str, sorted(set(shares))))
         sketches.append(
             F.expr(
-                f"percentile_approx({quoted(span[0])}, array({listed}), {ACCURACY}) FILTER (WHERE {_within(span)}) AS s{i}"
+                f"percentile_approx({value}, array({listed}), {ACCURACY}) FILTER (WHERE {_within(span)}) AS s{i}"
             )
         )
     row = df.agg(*sketches).first()
     values: dict[str, set] = {}
     for i, (name, _, _) in enumerate(spans):
-        values.setdefault(name, set()).update(row[f"s{i}"])
+        values.setdefault(name, set()).update(v + origins[i] for v in row[f"s{i}"])
     return {name: sorted(v) for name, v in values.items()}
 
 
