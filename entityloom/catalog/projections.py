@@ -8,7 +8,7 @@ from entityloom.operators import columns as C
 from entityloom.operators.clean import drop_missing
 from entityloom.operators.joins import in_keys, union_all_columns, untag, union_tagged
 from entityloom.operators.profile import shape
-from entityloom.operators.rollup import distinct_values, group_stats
+from entityloom.operators.rollup import distinct_count, distinct_values, group_stats
 
 
 @query("scan_project", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
@@ -119,6 +119,11 @@ def distinct_query(spark, folder):
     return distinct_values(Tables(spark, folder).orders, "o_orderpriority")
 
 
+@query("distinct_count", "SELECT count(DISTINCT o_custkey) AS o_custkey FROM orders")
+def distinct_count_query(spark, folder):
+    return distinct_count(Tables(spark, folder).orders, "o_custkey")
+
+
 @query("table_shape", "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")
 def table_shape(spark, folder):
     return shape(Tables(spark, folder).lineitem)

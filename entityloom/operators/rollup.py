@@ -307,3 +307,8 @@ def category_share(
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
+
+
+def distinct_count(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
+    """Number of distinct non-missing values of each column."""
+    return df.agg(*[F.expr(f"count(DISTINCT {quoted(c)}) AS {quoted(c)}") for c in _keys(columns)])

@@ -13,11 +13,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.schema import quoted
+from entityloom.schema import is_text, quoted
 
-# A key is hot from this many rows on. A table of N rows has at most N / HOT_ROWS
-# hot keys: 10**12 rows give at most 200,000 broadcast rows.
+# A key is hot from this many rows on, or from more if the hot keys could take
+# more than HOT_BYTES otherwise: a table of N rows has at most N / n keys of n rows.
 HOT_ROWS = 5_000_000
+HOT_BYTES = 64 * 1024 * 1024
+_TEXT_BYTES = 256
+
+
+def _row_bytes(facts: DataFrame) -> int:
+    return 16 + sum(_TEXT_BYTES if is_text(f.dataType) else 8 for f in facts.schema)
+
+
+def _hot(facts: DataFrame, size: str, hot_rows: int) -> DataFrame:
+    """The facts of hot keys; they fit into HOT_BYTES."""
+    share = _row_bytes(facts) / HOT_BYTES
+    least = facts.agg(F.expr(f"greatest({hot_rows}, ceil(sum({quoted(size)}) * double({share})))").alias("least")).scalar()
+    return F.broadcast(facts.filter(F.col(quoted(size)) >= least))
 
 
 def attach_by_key(
@@ -41,7 +54,7 @@ def attach_by_key(
     out = [F.col(quoted(c)) for c in [*rows.columns, *added]]
     with_key = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in keys])
     known = rows.filter(with_key)
-    hot = F.broadcast(facts.filter(F.col(quoted(size)) >= hot_rows))
+    hot = _hot(facts, size, hot_rows)
     warm = known.join(hot, keys, "inner").select(*out)
     cold = known.join(hot.select(*keys), keys, "left_anti").join(facts, keys, how).select(*out)
     if how == "inner":

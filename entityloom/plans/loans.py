@@ -1,4 +1,4 @@
-"""The three feature plans for the loan tables, and training on their result.
+"""The feature plans for the loan tables, a profile of the label, and training on a wide table.
 
 ``tables`` maps the names application_train, application_test, bureau,
 bureau_balance, previous_application, credit_card_balance, POS_CASH_balance
@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from entityloom.functions.scalars import flag_not_equal
 from entityloom.operators.clean import clean, fill_number
 from entityloom.operators.columns import add_constant
-from entityloom.operators.encode import drop_text, fit_values, one_hot
+from entityloom.operators.encode import drop_text, fit_codes, fit_values, one_hot
 from entityloom.operators.joins import join_null_safe, join_with_suffixes, natural_join
-from entityloom.operators.rollup import feature_block, group_means, rollup_two_level
-from entityloom.operators.split import HOLD_OUT, hash_bucket, with_hold_out
+from entityloom.operators.profile import target_profile
+from entityloom.operators.rollup import category_share, feature_block, group_means, reduce_to_key, rollup_two_level
+from entityloom.operators.split import HOLD_OUT, hash_bucket, with_hold_out, with_ordered_hold_out
 from entityloom.plans import featuresets as sets
 from entityloom.plans.assemble import assemble, attach_blocks, split_parts, stack_parts
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_tables
 from entityloom.plans.scoring import SMALL_TREES, BoostingParams, auc, importance_table, log_loss, score, train_boosted
-from entityloom.schema import ChildTable, EntitySchema, numeric_columns, quoted
+from entityloom.schema import ChildTable, EntitySchema, numeric_columns, quoted, text_columns
 from entityloom.session import stored
 
 LOANS = EntitySchema(
@@ -134,6 +135,62 @@ def replayed_features(
     return folded.join(label_and_part, key, "left")
 
 
+def share_features(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Category shares and means per customer of every table, left joined."""
+    key = LOANS.key
+
+    def reduced(df: DataFrame, by: str, drop: Sequence[str], suffix: str) -> DataFrame:
+        texts = fit_values(df, protect=[*LOANS.protected, PART])
+        # a missing cell is a value of its own
+        values = {c: sorted({*v, ""}) for c, v in texts.items()}
+        return category_share(df.drop(*drop), by, values, numeric_columns(df, LOANS.protected), f"{suffix}_rows")
+
+    bureau = natural_join(tables["bureau"], tables["bureau_balance"], "left")
+    per_loan = reduced(bureau, "SK_ID_BUREAU", [key], "balance")
+    owners = bureau.select(key, "SK_ID_BUREAU").distinct()
+    blocks = {"bureau": reduced(owners.join(per_loan, "SK_ID_BUREAU"), key, ["SK_ID_BUREAU"], "bureau")}
+    for name, table in (
+        ("prev", "previous_application"),
+        ("cc", "credit_card_balance"),
+        ("installment", "installments_payments"),
+        ("pos_cash", "POS_CASH_balance"),
+    ):
+        blocks[name] = reduced(tables[table], key, ["SK_ID_PREV"], name)
+    applications = _applications(tables)
+    base = reduced(applications.drop(LOANS.label), key, [PART], "application")
+    labels = applications.select(key, LOANS.label, PART)
+    return attach_blocks(labels.join(base, key), blocks, key)
+
+
+def searched_features(tables: Mapping[str, DataFrame], stage: bool = False) -> DataFrame:
+    """Means of every child, shared label codes, hand-made and searched features, one row per customer."""
+    key, label, protect = LOANS.key, LOANS.label, [*LOANS.protected, PART]
+    monthly = group_means(tables["bureau_balance"], "SK_ID_BUREAU")
+    children = {
+        "bureau": join_with_suffixes(tables["bureau"], monthly, ["SK_ID_BUREAU"], ("", "_balance"), "left"),
+        "prev": tables["previous_application"],
+        "cc": tables["credit_card_balance"],
+        "installment": tables["installments_payments"],
+        "pos_cash": tables["POS_CASH_balance"],
+    }
+    blocks = {name: group_means(df, key, numeric_columns(df, LOANS.protected)) for name, df in children.items()}
+    wide = attach_blocks(_applications(tables), blocks, key)
+    if stage:
+        wide = stored(wide)
+    filled = fill_number(wide, 0, protect)
+    texts = text_columns(filled, protect)
+    # train and test rows are one table here, so they share their codes
+    coded = fit_codes(filled, columns=texts).transform(filled) if texts else filled
+    featured = apply_specs(coded, [*sets.MANUAL, *sets.SEARCHED])
+    return reduce_to_key(featured, key, keep_names=[key], carry=[label, PART])
+
+
+def label_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Mean and count of the label by value of every cleaned and derived application column."""
+    train = clean(tables["application_train"], LOANS.protected, nonfinite=False, text_fill=None)
+    return target_profile(apply_specs(train, sets.APPLICATION), LOANS.label, exclude=[LOANS.key])
+
+
 def finished_parts(wide: DataFrame, fill: float) -> tuple[DataFrame, DataFrame]:
     """Train and test tables with every missing number filled, but for the label."""
     train, test = split_parts(fill_number(wide, fill, [LOANS.key, LOANS.label]), PART)
@@ -141,14 +198,27 @@ def finished_parts(wide: DataFrame, fill: float) -> tuple[DataFrame, DataFrame]:
 
 
 def train_and_score(
-    wide: DataFrame, fill: float = -1, share: float = HOLD_OUT, params: BoostingParams = SMALL_TREES, seed: int = 0
+    wide: DataFrame,
+    fill: float = -1,
+    share: float = HOLD_OUT,
+    params: BoostingParams = SMALL_TREES,
+    seed: int = 0,
+    ordered: bool = False,
 ) -> dict[str, DataFrame]:
-    """Scores of the test rows, importances, and metrics on the hold-out."""
+    """Scores of the test rows, importances, and metrics on the hold-out.
+
+    The hold-out is a hashed share of the customers, or with ``ordered`` those
+    with the largest keys.
+    """
     train, test = finished_parts(drop_text(wide, [PART], numeric_fill=None), fill)
     key, label = LOANS.key, LOANS.label
     inputs = numeric_columns(train, [key, label])
+    if ordered:
+        flagged = with_ordered_hold_out(train, key, 1 - share)
+    else:
+        flagged = with_hold_out(train, hash_bucket([key], seed=seed), share)
     # training goes over the table many times
-    flagged = stored(with_hold_out(train, hash_bucket([key], seed=seed), share))
+    flagged = stored(flagged)
     model = train_boosted(flagged, inputs, label, params, "is_validation")
     held = flagged.filter("is_validation")
     judged = score(model, held, inputs, key).join(held.select(key, F.col(quoted(label))), key)

@@ -162,6 +162,67 @@ def test_replayed_features(tables):
     assert {k for k in got.index if not pd.isna(k)} == owners - {None}
 
 
+def test_share_features(tables):
+    wide = loans.share_features(tables)
+    got = to_pandas(wide).set_index("SK_ID_CURR").sort_index()
+    assert list(got.index) == list(range(N)) and got["TARGET"].isna().sum() == 15
+    card = to_pandas(tables["credit_card_balance"])
+    card["open"] = (card["NAME_CONTRACT_STATUS"] == "Active").astype(float)
+    card["none"] = card["NAME_CONTRACT_STATUS"].isna().astype(float)
+    card["AMT_BALANCE"] = card["AMT_BALANCE"].fillna(0)
+    by = card.groupby("SK_ID_CURR")
+    for column, name in (
+        ("open", "feature_NAME_CONTRACT_STATUS_Active_mean_cc"),
+        ("none", "feature_NAME_CONTRACT_STATUS__mean_cc"),
+        ("AMT_BALANCE", "AMT_BALANCE_mean"),
+    ):
+        result = got[name].dropna()
+        assert result.to_list() == pytest.approx(by[column].mean().to_list()) and list(result.index) == list(by.groups)
+    assert got["cc_rows"].dropna().to_list() == by.size().astype(float).to_list()
+
+
+def test_searched_features(spark, tables):
+    known = {f for s in (*sets.MANUAL, *sets.SEARCHED) for f in s.features}
+    known -= {s.name for s in (*sets.MANUAL, *sets.SEARCHED)}
+    extra = sorted(known - set(tables["application_train"].columns))
+    texts = {"OCCUPATION_TYPE", "FLAG_OWN_CAR", "NAME_FAMILY_STATUS", "NAME_EDUCATION_TYPE"}
+
+    def widened(df):
+        cells = [
+            F.when(F.col("SK_ID_CURR") % 3 != 0, F.concat(F.lit("v"), F.col("SK_ID_CURR") % 5)).alias(c)
+            if c in texts
+            else (F.col("SK_ID_CURR") % (i + 2)).cast("double").alias(c)
+            for i, c in enumerate(extra)
+        ]
+        return df.select("*", *cells)
+
+    parts = {n: widened(tables[n]) for n in ("application_train", "application_test")}
+    wide = loans.searched_features({**tables, **parts}, stage=True)
+    got = to_pandas(wide).set_index("SK_ID_CURR").sort_index()
+    assert list(got.index) == list(range(N))
+    app = pd.concat([to_pandas(parts["application_train"]), to_pandas(parts["application_test"])])
+    app = app.set_index("SK_ID_CURR").sort_index()
+    codes = {v: i for i, v in enumerate(sorted(app["OCCUPATION_TYPE"].fillna("").unique()))}
+    occupation = app["OCCUPATION_TYPE"].fillna("").map(codes)
+    expected = [math.hypot(a, b) for a, b in zip(app["LIVINGAREA_MEDI"], occupation)]
+    assert got["a22_int_mean"].to_list() == pytest.approx(expected)
+    credit, goods = app["AMT_CREDIT"].fillna(0), app["AMT_GOODS_PRICE"].fillna(0)
+    a25 = app["DAYS_EMPLOYED"].fillna(0) * credit / goods.clip(lower=1)
+    assert got["a25_int_mean"].to_list() == pytest.approx(a25.to_list())
+    balance = to_pandas(tables["credit_card_balance"]).groupby("SK_ID_CURR")["AMT_BALANCE"].mean().reindex(range(N)).fillna(0)
+    assert got["AMT_BALANCE_int_mean"].to_list() == pytest.approx(balance.to_list())
+
+
+def test_label_profile(tables):
+    got = {(r["column"], r["value"]): (r["target_mean"], r["target_count"]) for r in loans.label_profile(tables).collect()}
+    app = to_pandas(tables["application_train"])
+    app["CODE_GENDER"] = app["CODE_GENDER"].replace("XNA", "")
+    for value, group in app.groupby("CODE_GENDER"):
+        assert got["CODE_GENDER", value] == (pytest.approx(group["TARGET"].mean()), len(group))
+    assert ("SK_ID_CURR", "1") not in got
+    assert any(c == "AMT_INCOME_TOTAL_over_AMT_ANNUITY" for c, _ in got)
+
+
 def test_training_on_the_wide_table(tables):
     wide = loans.flat_features(tables, encode="drop", stage=True)
     train, test = loans.finished_parts(wide, -1)
@@ -171,6 +232,11 @@ def test_training_on_the_wide_table(tables):
     assert out["scores"].columns == ["SK_ID_CURR", "TARGET"] and out["scores"].count() == 15
     assert out["importances"].count() == len(wide.columns) - 3
     assert out["auc"].count() == 1 and out["logloss"].first()[0] > 0
+    ordered = loans.train_and_score(
+        wide, share=0.2, params=SMALL_TREES.with_(max_iter=2, max_depth=2, min_instances=2), ordered=True
+    )
+    counts = ordered["auc"].first()
+    assert counts["positives"] + counts["negatives"] == 9
 
 
 def test_feature_sets_replay_in_order():
