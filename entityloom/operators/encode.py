@@ -106,7 +106,7 @@ def append_indicators(
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """Fitted codes: a table (column, value, code, rows) and its size per column."""
+    """Fitted codes: a table (column, value, code) and its size in bytes per column."""
 
     table: DataFrame
     sizes: dict[str, int]
@@ -120,13 +120,13 @@ class LabelCodes:
             if column not in names:
                 continue
             codes = self.table.filter(F.col("column") == column).select(
-                F.col("value").alias("__value"), F.col("code").alias("__code"), F.col("rows").alias("__rows")
+                F.col("value").alias("__value"), F.col("code").alias("__code")
             )
             keyed = result.withColumn("__value", F.coalesce(F.col(quoted(column)), F.lit(self.missing)))
             if size <= BROADCAST_BYTES:
-                joined = keyed.join(F.broadcast(codes.drop("__rows")), "__value", "left")
+                joined = keyed.join(F.broadcast(codes), "__value", "left")
             else:
-                joined = attach_by_key(keyed, codes, ["__value"], "__rows", "left")
+                joined = attach_by_key(keyed, codes, ["__value"], "left")
             result = joined.select(
                 *[F.col("__code").alias(c) if c == column else F.col(quoted(c)) for c in names]
             )
@@ -138,15 +138,14 @@ def fit_codes(
 ) -> LabelCodes:
     """Codes 0, 1, 2 ... of the sorted distinct values over all frames, per text column.
 
-    The values are counted, sorted and numbered as a distributed table, so a
-    column may have any number of them.
+    The values are sorted and numbered as a distributed table, so a column may
+    have any number of them.
     """
     chosen = list(columns) if columns is not None else text_columns(frames[0], protect)
     if not chosen:
         raise ValueError("no text column to code")
     cells = reduce(lambda a, b: a.unionAll(b), [_long_form(f, chosen, missing) for f in frames])
-    counted = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    numbered = number_rows(counted, ["column", "value"], "__position")
+    numbered = number_rows(cells.distinct(), ["column", "value"], "__position")
     # one row per column: where its values start, and how large they are
     starts = numbered.groupBy("column").agg(
         F.min("__position").alias("start"), F.sum(F.octet_length("value") + F.lit(16)).alias("bytes")
@@ -154,7 +153,7 @@ def fit_codes(
     start = reduce(
         lambda c, r: c.when(F.col("column") == r["column"], F.lit(r["start"])), starts, F.when(F.lit(False), F.lit(0))
     )
-    table = numbered.select("column", "value", (F.col("__position") - start).cast("int").alias("code"), "rows")
+    table = numbered.select("column", "value", (F.col("__position") - start).cast("int").alias("code"))
     return LabelCodes(table, {r["column"]: r["bytes"] for r in starts}, missing)
 
 
@@ -167,4 +166,4 @@ def label_encode(
 
 def codes_table(codes: LabelCodes) -> DataFrame:
     """The fitted codes, ready to be stored."""
-    return codes.table.select("column", "value", "code")
+    return codes.table

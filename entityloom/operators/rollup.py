@@ -124,8 +124,9 @@ def rollup_general(
         kept = [f"CASE WHEN {quoted(key)} IS NOT NULL THEN {quoted(n)} END AS {quoted(n)}" for n in named]
         return grouped.selectExpr(*output[:3], *kept)
     pairs = df.groupBy(key, parent).agg(size)
-    facts = with_key(df, key).groupBy(key).agg(_size("__key_rows"), *aggregates)
-    return attach_by_key(pairs, facts, [key], "__key_rows", "left").select(*output)
+    facts = with_key(df, key).groupBy(key).agg(*aggregates)
+    # a key can only have many parents if it has many rows
+    return attach_by_key(pairs, facts, [key], "left", measured=df).select(*output)
 
 
 def weighted_means(df: DataFrame, key: str, weight: str, columns: Sequence[str]) -> DataFrame:
@@ -188,8 +189,8 @@ def aggregate_back(
     keys = _keys(keys)
     facts = group_stats(df, keys, stats, size)
     if keep_missing:
-        return attach_by_key(df, facts, keys, size, "left", hot_rows)
-    return attach_by_key(with_key(df, keys), facts, keys, size, "inner", hot_rows)
+        return attach_by_key(df, facts, keys, "left", hot_rows)
+    return attach_by_key(df, facts, keys, "inner", hot_rows)
 
 
 def feature_block(

@@ -1,8 +1,11 @@
-"""Joining a table to facts about its own keys when one key may be very hot.
-
-A plain join (or a window) sends every row of a key to one task. Here the
-keys with many rows, of which there can only be few, take a broadcast join
-in which their rows are never moved; all other rows take the ordinary join.
+"""Joining a table to facts about its keys when one key may hold much of the table.
+
+A join or a window sends every row of a key to one task. Adaptive execution
+splits such a task only if both join sides come straight from a shuffle and
+nothing groups by the key afterwards; facts that come out of a grouping are
+not such a side. So hot keys are looked for first, in one pass over the key
+columns that moves no row. Their rows take a broadcast join, in place; all
+others take the ordinary join. Which way a key goes does not change the result.
 """
 
 from __future__ import annotations
@@ -10,82 +13,89 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.schema import is_text, quoted
+from entityloom.schema import is_numeric, is_text, quoted
 
-# A key is hot from this many rows on, or from more if the hot keys could take
-# more than HOT_BYTES otherwise: a table of N rows has at most N / n keys of n rows.
+# A key is hot from this many rows on.
 HOT_ROWS = 5_000_000
+# At most this many keys are followed, and fewer if their facts are wide: those
+# of all hot keys fit into HOT_BYTES. A key with more than about 1.5 / HOT_KEYS
+# of the rows is always found.
+HOT_KEYS = 20_000
 HOT_BYTES = 64 * 1024 * 1024
 _TEXT_BYTES = 256
 
 
-def _row_bytes(facts: DataFrame) -> int:
-    return 16 + sum(_TEXT_BYTES if is_text(f.dataType) else 8 for f in facts.schema)
+def _hash_of(keys: Sequence[str], rows: DataFrame, facts: DataFrame) -> str:
+    """SQL of a hash on which equal keys of both tables agree."""
+    parts = []
+    for k in keys:
+        a, b = rows.schema[k].dataType, facts.schema[k].dataType
+        if a == b:
+            parts.append(quoted(k))
+        elif is_numeric(a) and is_numeric(b):
+            parts.append(f"CAST({quoted(k)} AS DOUBLE)")
+        else:
+            raise ValueError(f"key {k} is {a.simpleString()} on one side and {b.simpleString()} on the other")
+    return f"xxhash64({', '.join(parts)})"
+
 
+def _present(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in keys])
 
-def _hot(facts: DataFrame, size: str, hot_rows: int) -> DataFrame:
-    """The facts of hot keys; they fit into HOT_BYTES."""
-    share = _row_bytes(facts) / HOT_BYTES
-    least = facts.agg(F.expr(f"greatest({hot_rows}, ceil(sum({quoted(size)}) * double({share})))").alias("least")).scalar()
-    return F.broadcast(facts.filter(F.col(quoted(size)) >= least))
+
+def hot_hashes(df: DataFrame, hash_: str, hot_rows: int, followed: int) -> list[int]:
+    """Hashes of the keys with at least ``hot_rows`` rows: a sketch per task, merged."""
+    top = df.agg(F.expr(f"approx_top_k({hash_}, {followed}, {followed})").alias("top")).first()["top"]
+    return [item["item"] for item in top if item["count"] >= hot_rows]
 
 
 def attach_by_key(
     rows: DataFrame,
     facts: DataFrame,
     keys: Sequence[str],
-    size: str,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """``rows`` joined to ``facts``, which has one row per key.
+    """``rows`` joined to ``facts``, which has one row per key; ``inner`` or ``left``.
 
-    ``facts[size]`` is the number of rows the key has in ``rows``. When no key
-    is hot, adaptive execution finds the broadcast side empty and drops the
-    hot branch before it reads anything. ``how`` is ``inner`` or ``left``.
+    Hot keys are looked for in ``measured``, by default in ``rows``: a table
+    with the same keys that is cheaper to read.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     keys = list(keys)
     added = [c for c in facts.columns if c not in keys]
     out = [F.col(quoted(c)) for c in [*rows.columns, *added]]
-    with_key = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in keys])
-    known = rows.filter(with_key)
-    hot = _hot(facts, size, hot_rows)
-    warm = known.join(hot, keys, "inner").select(*out)
-    cold = known.join(hot.select(*keys), keys, "left_anti").join(facts, keys, how).select(*out)
+    known = rows.filter(_present(keys))
+    hash_ = _hash_of(keys, rows, facts)
+    width = 16 + sum(_TEXT_BYTES if is_text(f.dataType) else 8 for f in facts.schema)
+    followed = max(100, min(HOT_KEYS, HOT_BYTES // width))
+    hot = hot_hashes((rows if measured is None else measured).filter(_present(keys)), hash_, hot_rows, followed)
+    if hot:
+        is_hot = f"{hash_} IN ({', '.join(map(str, hot))})"
+        warm = known.filter(is_hot).join(F.broadcast(facts.filter(is_hot)), keys, how).select(*out)
+        cold = known.filter(f"NOT {is_hot}").join(facts.filter(f"NOT {is_hot}"), keys, how).select(*out)
+        joined = warm.unionAll(cold)
+    else:
+        joined = known.join(facts, keys, how).select(*out)
     if how == "inner":
-        return warm.unionAll(cold)
+        return joined
     # rows without a key match nothing, and would all meet in one task of the join
-    alone = rows.filter(~with_key).select("*", *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in added])
-    return warm.unionAll(cold).unionAll(alone)
-
-
-def lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """``rows`` with the columns of ``lookup``, which has one row per key.
-
-    For joins whose result is grouped by the same key again. There, adaptive
-    execution leaves a hot partition alone, as splitting it would cost the
-    grouping a shuffle.
-    """
-    known = rows.filter(F.col(quoted(key)).isNotNull())
-    sizes = known.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    facts = lookup.join(sizes, key, "inner")
-    return attach_by_key(rows, facts, [key], "__rows", how, hot_rows).drop("__rows")
+    alone = rows.filter(~_present(keys)).select("*", *[F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in added])
+    return joined.unionAll(alone)
 
 
 def expand_left(base: DataFrame, children: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``base`` left joined to its children: one row per child, or one without any.
 
-    Built from the children's side, so that the hot keys of the children are
-    looked up and not shuffled.
+    Built from the children's side, so that the base is looked up for the hot
+    keys of the children and their rows are not shuffled.
     """
     columns = [F.col(quoted(c)) for c in [*base.columns, *[c for c in children.columns if c != key]]]
-    with_child = lookup_join(children, base, key, "inner", hot_rows).select(*columns)
+    with_child = attach_by_key(children, base, [key], "inner", hot_rows).select(*columns)
     alone = base.join(children.select(key).distinct(), key, "left_anti")
     return with_child.unionByName(alone, allowMissingColumns=True)

@@ -13,7 +13,7 @@ from entityloom.operators.clean import fill_number
 from entityloom.operators.encode import fit_codes
 from entityloom.operators.joins import fold_outer
 from entityloom.operators.rollup import aggregate_back, reduce_to_key
-from entityloom.operators.skew import lookup_join
+from entityloom.operators.skew import attach_by_key
 from entityloom.schema import quoted, text_columns
 
 
@@ -104,7 +104,7 @@ def replay_block(
         wide = child
     else:
         clash = {c: f"{c}_{df_name}" for c in base.columns if c in child.columns and c != key}
-        wide = lookup_join(child, base.withColumnsRenamed(clash), key, "left")
+        wide = attach_by_key(child, base.withColumnsRenamed(clash), [key], "left")
     ready = wide if prepared else prepare(wide, key)
     featured = apply_specs(ready, specs)
     kept = [c for c in child.columns if c != key and c not in drop] + [s.name for s in specs]

@@ -11,7 +11,7 @@ from entityloom.operators import rollup as R
 from entityloom.operators.encode import fit_values
 from entityloom.operators.ordering import in_top, number_rows, running_sums, sample_rows, top
 from entityloom.operators.quantile import exact_percentiles, order_statistics
-from entityloom.operators.skew import attach_by_key, expand_left, lookup_join
+from entityloom.operators.skew import attach_by_key, expand_left, hot_hashes
 from entityloom.operators.split import hash_bucket, with_hold_out, with_ordered_hold_out
 from entityloom.plans.replay import FeatureSpec, apply_specs
 
@@ -71,14 +71,30 @@ def test_hot_keys_change_nothing(skewed, hot_rows, keep_missing):
 def test_lookup_and_expand(spark, skewed, hot_rows):
     base = spark.range(60).selectExpr("id AS k", "id * 2 AS y")
     for how in ("inner", "left"):
-        got = lookup_join(skewed, base.filter("k < 20"), "k", how, hot_rows)
+        got = attach_by_key(skewed, base.filter("k < 20"), ["k"], how, hot_rows)
         assert bag(got) == bag(skewed.join(base.filter("k < 20"), "k", how))
     assert bag(expand_left(base, skewed, "k", hot_rows)) == bag(base.join(skewed, "k", "left"))
 
 
 def test_attach_rejects_other_joins(skewed):
     with pytest.raises(ValueError):
-        attach_by_key(skewed, skewed, ["k"], "x", "full")
+        attach_by_key(skewed, skewed, ["k"], "full")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**9])
+def test_attach_across_number_types(spark, skewed, hot_rows):
+    facts = spark.range(40).selectExpr("CAST(id AS INT) AS k", "id * 3 AS y")
+    got = attach_by_key(skewed, facts, ["k"], "inner", hot_rows)
+    assert bag(got) == bag(skewed.join(facts.withColumn("k", F.col("k").cast("long")), "k"))
+    with pytest.raises(ValueError, match="string on the other"):
+        attach_by_key(skewed, facts.withColumn("k", F.col("k").cast("string")), ["k"])
+
+
+def test_hot_keys_are_found(spark, skewed):
+    known = skewed.filter("k IS NOT NULL")
+    assert hot_hashes(known, "xxhash64(k)", 250, 100) == [spark.range(1).selectExpr("xxhash64(7L)").first()[0]]
+    assert hot_hashes(known, "xxhash64(k)", 10**9, 100) == []
+    assert hot_hashes(known.filter("k > 99"), "xxhash64(k)", 1, 100) == []
 
 
 def test_back_then_distinct_is_the_group(orders):
