@@ -22,6 +22,8 @@ def build_session(app_name: str = "entityloom", master: str | None = None, **con
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # plans of hundreds of columns: do not record the Python line of each
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

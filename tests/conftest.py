@@ -15,7 +15,7 @@ def spark():
         "entityloom-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.driver.bindAddress": "127.0.0.1",
