@@ -89,13 +89,18 @@ def attach_by_key(
     return joined.unionAll(alone)
 
 
-def expand_left(base: DataFrame, children: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def expand_left(
+    base: DataFrame, children: DataFrame, key: str, orphans: bool = False, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``base`` left joined to its children: one row per child, or one without any.
 
-    Built from the children's side, so that the base is looked up for the hot
-    keys of the children and their rows are not shuffled.
+    With ``orphans`` children without a base row stay too (a full join). Built
+    from the children's side, so that the base is looked up for the hot keys
+    of the children and their rows are not shuffled; a left or full join could
+    not split them.
     """
     columns = [F.col(quoted(c)) for c in [*base.columns, *[c for c in children.columns if c != key]]]
-    with_child = attach_by_key(children, base, [key], "inner", hot_rows).select(*columns)
+    how = "left" if orphans else "inner"
+    with_child = attach_by_key(children, base, [key], how, hot_rows).select(*columns)
     alone = base.join(children.select(key).distinct(), key, "left_anti")
     return with_child.unionByName(alone, allowMissingColumns=True)

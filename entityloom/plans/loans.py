@@ -16,9 +16,10 @@ from entityloom.functions.scalars import flag_not_equal
 from entityloom.operators.clean import clean, fill_number
 from entityloom.operators.columns import add_constant
 from entityloom.operators.encode import drop_text, fit_codes, fit_values, one_hot
-from entityloom.operators.joins import join_null_safe, join_with_suffixes, natural_join
+from entityloom.operators.joins import join_with_suffixes
 from entityloom.operators.profile import target_profile
 from entityloom.operators.rollup import category_share, feature_block, group_means, reduce_to_key, rollup_two_level
+from entityloom.operators.skew import expand_left
 from entityloom.operators.split import HOLD_OUT, hash_bucket, with_hold_out, with_ordered_hold_out
 from entityloom.plans import featuresets as sets
 from entityloom.plans.assemble import assemble, attach_blocks, split_parts, stack_parts
@@ -102,7 +103,7 @@ def two_level_features(tables: Mapping[str, DataFrame], functional: bool = False
     def coded(df: DataFrame) -> DataFrame:
         return one_hot(df, fit_values(df, protect=protect), protect)
 
-    bureau = natural_join(tables["bureau"], tables["bureau_balance"], "full")
+    bureau = expand_left(tables["bureau"], tables["bureau_balance"], "SK_ID_BUREAU", orphans=True)
     sources = {
         "bureau": (bureau, "SK_ID_BUREAU"),
         "cc_installment": (tables["credit_card_balance"], "SK_ID_PREV"),
@@ -123,7 +124,7 @@ def replayed_features(
     key = LOANS.key
     base = add_constant(apply_specs(_applications(tables), sets.MANUAL), "g_column")
     label_and_part = base.select(key, LOANS.label, PART)
-    bureau = join_null_safe(tables["bureau"], tables["bureau_balance"], ["SK_ID_BUREAU"], "full")
+    bureau = expand_left(tables["bureau"], tables["bureau_balance"], "SK_ID_BUREAU", orphans=True)
     children = {
         "df_bureau": bureau,
         "df_prev": tables["previous_application"],
@@ -145,7 +146,7 @@ def share_features(tables: Mapping[str, DataFrame]) -> DataFrame:
         values = {c: sorted({*v, ""}) for c, v in texts.items()}
         return category_share(df.drop(*drop), by, values, numeric_columns(df, LOANS.protected), f"{suffix}_rows")
 
-    bureau = natural_join(tables["bureau"], tables["bureau_balance"], "left")
+    bureau = expand_left(tables["bureau"], tables["bureau_balance"], "SK_ID_BUREAU")
     per_loan = reduced(bureau, "SK_ID_BUREAU", [key], "balance")
     owners = bureau.select(key, "SK_ID_BUREAU").distinct()
     blocks = {"bureau": reduced(owners.join(per_loan, "SK_ID_BUREAU"), key, ["SK_ID_BUREAU"], "bureau")}
@@ -210,15 +211,14 @@ def train_and_score(
     The hold-out is a hashed share of the customers, or with ``ordered`` those
     with the largest keys.
     """
-    train, test = finished_parts(drop_text(wide, [PART], numeric_fill=None), fill)
+    # training goes over the table many times
+    train, test = finished_parts(stored(drop_text(wide, [PART], numeric_fill=None)), fill)
     key, label = LOANS.key, LOANS.label
     inputs = numeric_columns(train, [key, label])
     if ordered:
         flagged = with_ordered_hold_out(train, key, 1 - share)
     else:
         flagged = with_hold_out(train, hash_bucket([key], seed=seed), share)
-    # training goes over the table many times
-    flagged = stored(flagged)
     model = train_boosted(flagged, inputs, label, params, "is_validation")
     held = flagged.filter("is_validation")
     judged = score(model, held, inputs, key).join(held.select(key, F.col(quoted(label))), key)

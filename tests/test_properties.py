@@ -73,7 +73,9 @@ def test_lookup_and_expand(spark, skewed, hot_rows):
     for how in ("inner", "left"):
         got = attach_by_key(skewed, base.filter("k < 20"), ["k"], how, hot_rows)
         assert bag(got) == bag(skewed.join(base.filter("k < 20"), "k", how))
-    assert bag(expand_left(base, skewed, "k", hot_rows)) == bag(base.join(skewed, "k", "left"))
+    assert bag(expand_left(base, skewed, "k", hot_rows=hot_rows)) == bag(base.join(skewed, "k", "left"))
+    few = base.filter("k > 3").unionAll(spark.createDataFrame([(None, 5)], "k long, y long"))
+    assert bag(expand_left(few, skewed, "k", True, hot_rows)) == bag(few.join(skewed, "k", "full"))
 
 
 def test_attach_rejects_other_joins(skewed):
