@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.llm.bpe import Codec
-from entityloom.llm.common import table
+from entityloom.llm.common import shared_folder, table
 from entityloom.llm.licenses import license_summary, scan_licenses
+from entityloom.llm.quality import fit_quality, held_out, score_quality
 from entityloom.llm.token_counts import count_tokens
+from entityloom.llm.warc import mark_revisits, read_archive, write_archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,3 +44,34 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archive(mark_revisits(table(spark, sf_dir, "pages")), shared_folder(spark, "warc"))
+    records = read_archive(manifest, with_payload=False)
+    return records.select(
+        F.col("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+SQL["op8_warc_round_trip"] = """
+WITH rows AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     digests AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest FROM rows),
+     marked AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM marked
+"""
+
+
+@query
+def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
