@@ -12,6 +12,7 @@ from entityloom.llm.bpe import Codec
 from entityloom.llm.common import shared_folder, table
 from entityloom.llm.licenses import license_summary, scan_licenses
 from entityloom.llm.quality import fit_quality, held_out, score_quality
+from entityloom.llm.simhash_balls import near_groups, with_fingerprints
 from entityloom.llm.token_counts import count_tokens
 from entityloom.llm.warc import mark_revisits, read_archive, write_archive
 
@@ -75,3 +76,9 @@ def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = near_groups(with_fingerprints(table(spark, sf_dir, "documents")), radius=4)
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
