@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.llm.bpe import Codec
-from entityloom.llm.common import shared_folder, table
+from entityloom.llm.common import shared_folder, stored, table
+from entityloom.llm.fingerprints import as_hex, count_near, edited_fingerprints
 from entityloom.llm.licenses import license_summary, scan_licenses
 from entityloom.llm.quality import fit_quality, held_out, score_quality
 from entityloom.llm.simhash_balls import near_groups, with_fingerprints
@@ -82,3 +83,17 @@ def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = near_groups(with_fingerprints(table(spark, sf_dir, "documents")), radius=4)
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ``n_near`` for the queries, the rows whose id is divisible by 20: other rows within 3 bits, of all rows."""
+    printed = stored(edited_fingerprints(table(spark, sf_dir, "documents")))
+    asked = F.col("doc_id") % 20 == 0
+    near = stored(count_near(printed, printed.filter(asked), radius=3))
+    found = printed.filter(asked).join(near, "fingerprint", "left").withColumn("n_near", F.col("n_near") - 1)
+    rest = printed.filter(~F.coalesce(asked, F.lit(False))).withColumn("n_near", F.lit(None).cast("bigint"))
+    return found.unionByName(rest).select(
+        "doc_id", "n_chars", "edited_sha256", as_hex("fingerprint").alias("fingerprint"),
+        as_hex("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next", "n_near",
+    )
