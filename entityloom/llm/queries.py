@@ -12,6 +12,8 @@ from entityloom.llm.bpe import Codec
 from entityloom.llm.common import shared_folder, stored, table
 from entityloom.llm.fingerprints import as_hex, count_near, edited_fingerprints
 from entityloom.llm.licenses import license_summary, scan_licenses
+from entityloom.llm.line_dedup import without_repeated_lines
+from entityloom.llm.mixing import mixing_plan, with_copies, word_count
 from entityloom.llm.quality import fit_quality, held_out, score_quality
 from entityloom.llm.simhash_balls import near_groups, with_fingerprints
 from entityloom.llm.token_counts import count_tokens
@@ -97,3 +99,73 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", as_hex("fingerprint").alias("fingerprint"),
         as_hex("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next", "n_near",
     )
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = with_copies(docs, mixing_plan(docs, max_repeats=2.0))
+    return rows.select(
+        "doc_id", "source", word_count("text").alias("n_words"), F.round("mix.weight", 9).alias("weight"), F.col("mix.copies").alias("copies"), F.col("mix.block").alias("block")
+    )
+
+
+# the smallest exponent on the grid with (largest / smallest share) ^ (1 - exponent) <= 2, in closed form
+_HASH = "('0x' || substr(md5({}), 1, 15))::BIGINT"
+SQL["op3_source_mix"] = f"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS n_words,
+         {_HASH.format("'17:' || coalesce(doc_id::VARCHAR, '')")} AS key,
+         greatest(1, (SELECT count(*) FROM documents) // 2048) AS blocks
+  FROM documents),
+dealt AS (SELECT *, key % blocks AS block FROM docs),
+sources AS (SELECT source, sum(n_words)::BIGINT AS words FROM dealt GROUP BY source),
+shares AS (SELECT source, words, words / (SELECT sum(words)::DOUBLE FROM sources) AS share FROM sources WHERE words > 0),
+found AS (SELECT CASE WHEN max(share) = min(share) THEN 0
+            ELSE greatest(0, ceil((1 - ln(2) / ln(max(share) / min(share))) * 1048576 - 1e-6)) / 1048576.0 END::DOUBLE AS alpha,
+            max(share) AS top FROM shares),
+weighed AS (SELECT source, words, pow(share, alpha) / sum(pow(share, alpha)) OVER () AS weight,
+            greatest(words, round((SELECT sum(words)::DOUBLE FROM sources) * pow(top, 1 - alpha) * pow(share, alpha))::BIGINT) AS target
+            FROM shares, found),
+wanted AS (SELECT *, target // words AS epochs, target % words AS part FROM weighed),
+by_block AS (SELECT source, block, sum(n_words)::BIGINT AS words FROM dealt GROUP BY source, block),
+ordered AS (SELECT b.source, b.block, w.part, b.words, {_HASH.format("'17:' || w.epochs || ':' || b.block")} AS place
+            FROM by_block b JOIN wanted w ON b.source IS NOT DISTINCT FROM w.source),
+summed AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY place, block ROWS UNBOUNDED PRECEDING) AS through FROM ordered),
+last AS (SELECT source, place AS last_place, block AS last_block, part - through + words AS left_words FROM summed WHERE through > part
+         QUALIFY row_number() OVER (PARTITION BY source ORDER BY place, block) = 1),
+inside AS (SELECT d.source, d.key, sum(d.n_words) OVER (PARTITION BY d.source ORDER BY d.key) AS through, l.left_words
+           FROM dealt d JOIN last l ON d.source IS NOT DISTINCT FROM l.source AND d.block = l.last_block),
+cut AS (SELECT source, max(key) AS last_key FROM inside WHERE through <= left_words GROUP BY source)
+SELECT d.doc_id, d.source, d.n_words::BIGINT AS n_words, round(coalesce(w.weight, 0), 9) AS weight, d.block::BIGINT AS block,
+       (coalesce(w.epochs, 1) + CASE WHEN s.place < l.last_place OR (s.place = l.last_place AND d.block < l.last_block)
+             OR (d.block = l.last_block AND d.key <= c.last_key) THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM dealt d LEFT JOIN wanted w ON d.source IS NOT DISTINCT FROM w.source
+     LEFT JOIN summed s ON d.source IS NOT DISTINCT FROM s.source AND d.block = s.block
+     LEFT JOIN last l ON d.source IS NOT DISTINCT FROM l.source LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source
+"""
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "dedup.n_lines", "dedup.n_removed", F.sha2(F.coalesce("dedup.text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+# windows of 1, 2, 4 ... 4096 lines; a longer one cannot repeat unless its halves do, and adds nothing below that length
+_WINDOWS = " UNION ALL ".join(
+    f"""SELECT doc_id, pos, {n} AS n, win FROM (SELECT doc_id, pos, last_pos, sum(words) OVER w AS words, string_agg(h, '') OVER w AS win FROM lines
+        WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)) WHERE pos + {n - 1} <= last_pos AND words >= 3"""
+    for n in (1 << k for k in range(13))
+)
+SQL["op5_line_dedup"] = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(ls))) AS pos, len(ls) - 1 AS last_pos, unnest(ls) AS line,
+          md5(unnest(ls)) AS h, len(regexp_extract_all(unnest(ls), '[^ \\t\\n\\x0B\\f\\r]+')) AS words FROM split),
+windows AS ({_WINDOWS}),
+later AS (SELECT doc_id, pos, n FROM windows QUALIFY row_number() OVER (PARTITION BY n, win ORDER BY doc_id, pos) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM later)
+SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.pos)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '')) AS text_sha256
+FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id
+"""
