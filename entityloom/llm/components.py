@@ -10,6 +10,7 @@ table in the shared folder; no component is ever gathered.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +57,16 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def join_trees(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inside a task: roots of numbered nodes after joining the trees of all a and b."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (up := root[root]).tobytes() != root.tobytes():
+            root = up

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.bpe import Codec
 from entityloom.llm.common import shared_folder, stored, table
+from entityloom.llm.embedding_dedup import near_vectors
 from entityloom.llm.fingerprints import as_hex, count_near, edited_fingerprints
 from entityloom.llm.licenses import license_summary, scan_licenses
 from entityloom.llm.line_dedup import without_repeated_lines
@@ -169,3 +170,21 @@ SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.pos)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '')) AS text_sha256
 FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id
 """
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+# all pairs: right at any size, affordable at small ones
+SQL["op4_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+usable AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(e) = list_count(e)
+           AND list_sum(list_transform(e, lambda x: CASE WHEN isfinite(x) THEN 0 ELSE 1 END)) = 0 AND list_inner_product(e, e) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+          AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.x = v.vec_id)::BIGINT AS n_links, m.component_id, v.vec_id = m.component_id AS kept
+FROM v JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) m ON m.x = v.vec_id
+"""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityloom.llm.common import map_batches, ship_package, stored, text_bytes, text_or_empty
-from entityloom.llm.components import components
+from entityloom.llm.components import components, join_trees
 
 BITS = 64
 MIN_BUCKET_BITS = 8
@@ -131,24 +131,11 @@ def _meet(prints: np.ndarray, bucket: int, bits: int, masks: np.ndarray, radius:
         links = np.unique(np.stack((np.minimum(centre, own), np.maximum(centre, own))), axis=1)
         a, b = links
         near = (a != b) & (np.bitwise_count(prints[a] ^ prints[b]) <= radius)
-        root = _join(root, a[near], b[near])
+        root = join_trees(root, a[near], b[near])
     member = np.flatnonzero(root != np.arange(len(root)))
     return prints[member], prints[root[member]]
 
 
-def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Roots after joining the trees of all a and b."""
-    while True:
-        x, y = root[a], root[b]
-        apart = x != y
-        if not apart.any():
-            return root
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-        while (up := root[root]).tobytes() != root.tobytes():
-            root = up
-
-
 def ball_links(prints: DataFrame, radius: int = 4, column: str = "fp") -> DataFrame:
     """Links ``a, b`` among the distinct longs of ``column`` whose components are those of all pairs within ``radius``.
 
