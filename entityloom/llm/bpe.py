@@ -10,10 +10,11 @@ once; compatibility of a pair follows from the two chains of merges at the
 border and is remembered when asked for.
 
 **Determinisation.** The deterministic state after some bytes is the set of all
-walks still alive, with the tokens that not all of them have written yet. As
-soon as all walks agree on a token it is emitted; a walk lives no longer than
-the longest token, so the lookahead is bounded. States and transitions are made
-when a text first needs them, and dropped when they exceed ``MAX_STATES``.
+walks still alive; its output is the last token of what was read so far, and
+the tokens before it follow from the outputs of earlier states. What all walks
+agree on is emitted; a walk lives no longer than the longest token, so the
+lookahead is bounded. States and transitions are made when a text first needs
+them, and dropped when they exceed ``MAX_STATES``.
 
 **Decoding.** Token bytes are joined and an incremental UTF-8 state machine
 turns any cut of the stream into text, holding back at most three bytes.
@@ -28,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import map_batches, per_worker, text_or_empty
+from entityloom.llm.common import kept_with_text, map_batches, per_worker
 
-MAX_STATES = 100_000
+MAX_STATES = 200_000
 # Short pieces whose tokens are remembered; the memo is emptied when full.
 MEMO_PIECES = 200_000
 MEMO_LENGTH = 48
 _NEVER = 1 << 60
+_LOW = (1 << 32) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,100 +65,154 @@ def compile_ranks(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes]]:
 
 
 class Transducer:
-    """Encodes pieces of text. Made from the ranks and ``compile_ranks`` of them."""
+    """Encodes pieces of text. Made from the ranks and ``compile_ranks`` of them.
+
+    A walk is a token being read: its trie node, and the token written before
+    it. A state is the set of walks alive after some bytes; one of them stands
+    at the root, and the token before it is the last token of the encoding of
+    what was read so far, which is the output of the state.
+    """
+
+    #: Bytes of a long piece after which what all walks agree on is emitted.
+    BLOCK = 4096
 
     def __init__(self, ranks: dict[bytes, int], last: dict[bytes, tuple[bytes, bytes]], max_states: int = MAX_STATES):
         self._ranks, self._last, self._max_states = ranks, last, max_states
         self._bytes = {rank: token for token, rank in ranks.items()}
+        self._length = {rank: len(token) for token, rank in ranks.items()}
         self._child: dict[int, int] = {}
-        self._token: list[int] = [-1]
+        self._token, self._depth = [-1], [0]
+        self._parents: set[int] = set()
         for token, rank in ranks.items():
             if len(token) == 1 or token in last:
                 node = 0
                 for byte in token:
-                    key = node << 8 | byte
-                    node = self._child.setdefault(key, len(self._token))
+                    self._parents.add(node)
+                    node = self._child.setdefault(node << 8 | byte, len(self._token))
                     if node == len(self._token):
                         self._token.append(-1)
+                        self._depth.append(0)
                 self._token[node] = rank
-        self._compatible: dict[tuple[int, int], bool] = {}
+        for key, node in self._child.items():
+            self._depth[node] = self._depth[key >> 8] + 1
+        self._chains: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+        self._compatible: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        # a state: the last token written, and the walks as (tokens not yet written, trie node)
-        self._states: list[tuple] = [(-1, (((), 0),))]
-        self._ids: dict[tuple, int] = {self._states[0]: 0}
-        self._next: dict[int, tuple[int, tuple[int, ...]]] = {}
+        # a walk is packed into one number: its node, and the token before it plus 1
+        self._states: list[tuple[int, ...]] = [(0,)]
+        self._written = [-1]
+        self._ids = {self._states[0]: 0}
+        self._next: dict[int, int] = {}
 
-    def _chain(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+    def _chain(self, token: int, side: int) -> list[tuple[bytes, int]]:
         """The symbols at one border of a token, outermost merge first, each with the merge that ends it."""
-        chain, until = [], _NEVER
-        while True:
-            chain.append((token, until))
-            if token not in self._last:
-                return chain
-            until, token = self._ranks[token], self._last[token][side]
+        chain = self._chains.get((token, side))
+        if chain is None:
+            chain, until, symbol = [], _NEVER, self._bytes[token]
+            while True:
+                chain.append((symbol, until))
+                if symbol not in self._last:
+                    break
+                until, symbol = self._ranks[symbol], self._last[symbol][side]
+            self._chains[(token, side)] = chain
+        return chain
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether BPE of the two tokens' bytes gives the two tokens."""
-        known = self._compatible.get((left, right))
+        key = left << 32 | right
+        known = self._compatible.get(key)
         if known is None:
-            if len(self._compatible) > 20 * self._max_states:
+            if len(self._compatible) > 3 * self._max_states:
                 self._compatible.clear()
-            known = True
-            a, b = self._chain(self._bytes[left], 1), self._chain(self._bytes[right], 0)
-            for x, x_until in a:
-                for y, y_until in b:
-                    # at equal rank the leftmost pair merges first
-                    if (rank := self._ranks.get(x + y, _NEVER)) < x_until and rank <= y_until and rank < _NEVER:
-                        known = False
-            self._compatible[(left, right)] = known
+            known = self._compatible[key] = self._borders_hold(left, right)
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        before, walks = self._states[state]
-        after: list[tuple[tuple[int, ...], int]] = []
-        done = 0
-        for waiting, node in walks:
-            node = self._child.get(node << 8 | byte, -1)
+    def _borders_hold(self, left: int, right: int) -> bool:
+        rank_of, b = self._ranks.get, self._chain(right, 0)
+        for x, x_until in self._chain(left, 1):
+            for y, y_until in b:
+                rank = rank_of(x + y)
+                # at equal rank the leftmost pair merges first
+                if rank is not None and rank < x_until and rank <= y_until:
+                    return False
+        return True
+
+    def _step(self, state: int, byte: int) -> int:
+        """The state after one more byte, made when first needed."""
+        walks, written = [], -1
+        for walk in self._states[state]:
+            before = (walk & _LOW) - 1
+            node = self._child.get(walk >> 32 << 8 | byte, -1)
             if node < 0:
                 continue
-            after.append((waiting, node))
+            if node in self._parents:
+                walks.append(node << 32 | before + 1)
             token = self._token[node]
-            if token >= 0:
-                last = waiting[-1] if waiting else before
-                if last < 0 or self.compatible(last, token):
-                    after.append(((*waiting, token), 0))
-                    done += 1
-        if done != 1:
+            # exactly one walk ends in a token that may follow the one before it
+            if written < 0 <= token and (before < 0 or self.compatible(before, token)):
+                written = token
+        if written < 0:
             raise ValueError("the ranks are no order of merges over all bytes")
-        agreed = 0
-        shortest = min(len(w) for w, _ in after)
-        first = after[0][0]
-        while agreed < shortest and all(w[agreed] == first[agreed] for w, _ in after):
-            agreed += 1
-        written = first[:agreed]
-        target = (written[-1] if written else before, tuple((w[agreed:], n) for w, n in after))
+        walks.append(written + 1)
+        target = tuple(walks)
         number = self._ids.get(target)
         if number is None:
             number = self._ids[target] = len(self._states)
             self._states.append(target)
-        self._next[state << 8 | byte] = result = (number, written)
-        return result
+            self._written.append(written)
+        self._next[state << 8 | byte] = number
+        return number
 
     def encode(self, piece: bytes) -> list[int]:
-        if piece in self._ranks:  # a whole token stands for itself
-            return [self._ranks[piece]]
+        whole = self._ranks.get(piece)
+        if whole is not None:  # a whole token stands for itself
+            return [whole]
         if len(self._states) > self._max_states:
             self._forget()
-        state, out, known = 0, [], self._next
-        for byte in piece:
-            step = known.get(state << 8 | byte) or self._step(state, byte)
-            state, written = step
-            if written:
-                out += written
-        out += next((w for w, n in self._states[state][1] if n == 0), ())
-        return out
+        out: list[int] = []
+        state, known, of_state = 0, self._next.get, self._written
+        if len(piece) <= self.BLOCK:
+            ends = []
+            for byte in piece:
+                key = state << 8 | byte
+                state = known(key)
+                if state is None:
+                    state = self._step(key >> 8, byte)
+                ends.append(of_state[state])
+            return self._back(ends, len(ends), 0)
+        done, ends = 0, []  # ends: the last token of every prefix, from place ``done`` on
+        for at in range(0, len(piece), self.BLOCK):
+            for byte in piece[at : at + self.BLOCK]:
+                key = state << 8 | byte
+                state = known(key)
+                if state is None:
+                    state = self._step(key >> 8, byte)
+                ends.append(of_state[state])
+            here = done + len(ends)
+            shared = None
+            for walk in self._states[state]:
+                places, place = set(), here - self._depth[walk >> 32]
+                while place > done:
+                    places.add(place)
+                    place -= self._length[ends[place - done - 1]]
+                shared = places if shared is None else shared & places
+            agreed = max(shared, default=done)
+            out += self._back(ends, agreed - done, 0)
+            del ends[: agreed - done]
+            done = agreed
+        return out + self._back(ends, len(ends), 0)
+
+    def _back(self, ends: list[int], place: int, first: int) -> list[int]:
+        """The tokens of a prefix, followed back from its last one."""
+        tokens, length = [], self._length
+        while place > first:
+            token = ends[place - 1]
+            tokens.append(token)
+            place -= length[token]
+        tokens.reverse()
+        return tokens
 
 
 class Encoder:
@@ -238,7 +294,8 @@ class Codec:
 
     def __init__(self, spark, ranks_path: str, pattern: str):
         ranks = read_ranks(ranks_path)
-        self._shared = spark.sparkContext.broadcast((ranks, compile_ranks(ranks), pattern))
+        self._compiled = spark.sparkContext.broadcast((ranks, compile_ranks(ranks), pattern))
+        self._ranks = spark.sparkContext.broadcast(ranks)
         self._key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
     def encode(self, docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "ids") -> DataFrame:
@@ -248,14 +305,14 @@ class Codec:
         and missing ids included; an empty table gives an empty result. A kept
         column named like ``out`` is an error.
         """
-        shared, key = self._shared, self._key
-        rows = docs.select(F.struct(*keep).alias("kept"), text_or_empty(text_col).alias("text"))
+        shared, key = self._compiled, self._key
+        rows = kept_with_text(docs, keep, text_col)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             encoder = per_worker(f"encoder {key}", lambda: Encoder(*shared.value))
             flat, offsets = array("i"), array("i", [0])
             for text in batch.column(1):
-                flat.extend(encoder.encode(text.as_py()))
+                flat.extend(encoder.encode(text.as_py() or ""))
                 offsets.append(len(flat))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             return pa.RecordBatch.from_arrays([batch.column(0), ids], ["kept", "ids"])
@@ -267,11 +324,11 @@ class Codec:
 
     def decode(self, rows: DataFrame, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
         """All columns and ``decoded``, the text of the ids; missing ids give an empty text."""
-        shared, key = self._shared, self._key
+        shared, key = self._ranks, self._key
         packed = rows.select(F.struct(*rows.columns).alias("kept"), F.col(ids_col).alias("ids"))
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            decoder = per_worker(f"decoder {key}", lambda: Decoder(shared.value[0]))
+            decoder = per_worker(f"decoder {key}", lambda: Decoder(shared.value))
             texts = [decoder.decode(x.values.to_pylist() if x.is_valid else []) for x in batch.column(1)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["kept", "decoded"])
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from entityloom.session import ensure_checkpoint_dir, stored
 
-__all__ = ["map_batches", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes"]
+__all__ = ["kept_with_text", "map_batches", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes", "text_or_empty"]
 
 # Bytes of text a Python worker holds as objects at once; longer texts come one by one.
 SLICE_BYTES = 8 * 1024 * 1024
@@ -85,3 +85,8 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 def text_or_empty(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def kept_with_text(docs: DataFrame, keep: tuple[str, ...] | list[str], text_col: str) -> DataFrame:
+    """``kept``, a struct of the columns to keep, and ``text``, missing ones empty."""
+    return docs.select(F.struct(*keep).alias("kept"), text_or_empty(text_col).alias("text"))

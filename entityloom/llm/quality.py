@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import map_batches, text_bytes, text_or_empty
+from entityloom.llm.common import kept_with_text, map_batches, text_bytes, text_or_empty
 
 PASSAGE_WORDS = 64
 MAX_LABELLED = 4000
@@ -235,7 +235,8 @@ def fit_quality(
 
 
 def score_quality(
-    docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", out: str = "score", threshold: float = 0.7
+    docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", out: str = "score", threshold: float = 0.7,
+    predicted: str = "predicted",
 ) -> DataFrame:
     """The ``keep`` columns, the score of every whole text (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
@@ -243,7 +244,7 @@ def score_quality(
     words. Every row gives one row; an empty table gives an empty result. The
     model, a few thousand numbers, is sent along with the tasks.
     """
-    rows = docs.select(F.struct(*keep).alias("kept"), text_or_empty(text_col).alias("text"))
+    rows = kept_with_text(docs, keep, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores, _ = model.score(*passages(text_bytes(batch.column(1))))
@@ -252,5 +253,5 @@ def score_quality(
     kept = rows.schema["kept"].dataType.simpleString()
     scored = map_batches(rows, run, f"kept {kept}, score double")
     return scored.select(
-        *[F.col("kept")[c].alias(c) for c in keep], F.col("score").alias(out), (F.col("score") >= threshold).cast("int").alias("predicted")
+        *[F.col("kept")[c].alias(c) for c in keep], F.col("score").alias(out), (F.col("score") >= threshold).cast("int").alias(predicted)
     )

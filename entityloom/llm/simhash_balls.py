@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import map_batches, ship_package, stored, text_bytes, text_or_empty
+from entityloom.llm.common import kept_with_text, map_batches, ship_package, stored, text_bytes
 from entityloom.llm.components import components, join_trees
 
 BITS = 64
@@ -64,7 +64,7 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
 
 def with_fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", shingle: int = 4, out: str = "fp") -> DataFrame:
     """The ``keep`` columns and the fingerprint of each whole text as a long."""
-    rows = docs.select(F.struct(*keep).alias("kept"), text_or_empty(text_col).alias("text"))
+    rows = kept_with_text(docs, keep, text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         prints = np.array([fingerprint(t, shingle) for t in text_bytes(batch.column(1))], np.uint64).view(np.int64)
