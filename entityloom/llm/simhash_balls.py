@@ -188,15 +188,15 @@ def near_groups(fingerprinted: DataFrame, radius: int = 4, id_col: str = "doc_id
     never the smallest, unless a component has no other; a row without a
     fingerprint is a component of its own. Repeated rows stay repeated.
     """
-    rows = stored(fingerprinted)
-    roots = components(ball_links(rows, radius, fp_col))
-    smallest = rows.filter(F.col(fp_col).isNotNull()).groupBy(fp_col).agg(F.min(id_col).alias("__least"))
-    linked = smallest.join(roots, smallest[fp_col] == roots["node"], "left").select(
-        F.col(fp_col).alias("__fp"), "__least", F.coalesce("root", fp_col).alias("__root")
-    )
+    columns = [c for c in fingerprinted.columns if c != "component_id"]
+    packed = F.struct(*columns).alias("row")  # so that no column of the rows clashes with those below
+    rows = stored(fingerprinted.select(packed, F.col(id_col).alias("id"), F.col(fp_col).alias("fp")))
+    roots = components(ball_links(rows, radius))
+    smallest = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
+    linked = smallest.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     linked = stored(linked)
-    of_root = linked.groupBy("__root").agg(F.min("__least").alias("component_id"))
-    of_print = stored(linked.join(of_root, "__root").select("__fp", "component_id"))
-    joined = rows.join(of_print, rows[fp_col] == of_print["__fp"], "left")
-    own = F.when(F.col(fp_col).isNull(), F.col(id_col)).otherwise(F.col("component_id"))
-    return joined.select(*[rows[c] for c in rows.columns if c != "component_id"], own.alias("component_id"))
+    of_root = linked.groupBy("root").agg(F.min("least").alias("component"))
+    of_print = stored(linked.join(of_root, "root").select(F.col("fp").alias("print"), "component"))
+    joined = rows.join(of_print, F.col("fp") == F.col("print"), "left")
+    own = F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component"))
+    return joined.select(*[F.col("row")[c].alias(c) for c in columns], own.alias("component_id"))
