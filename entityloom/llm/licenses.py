@@ -134,15 +134,16 @@ class Rule:
 def _named_rules() -> list[Rule]:
     """For each name: with each version, as an identifier, granted, and alone."""
     rules = []
+    granted = r"(?:licen[cs]ed|released|distributed|available|covered|provided) (?:under|by)(?: the)?(?: terms of the)? "
     for i, (label, keyword, name, versions) in enumerate(NAMES):
         for v in versions:
             short = v.removesuffix(" 0") if v.endswith(" 0") else v
             spelled = rf"(?:{v}|{short})" if short != v else v
             dashed = f"{label}-{v.replace(' ', '-' if 'clause' in v else '.')}"
-            rules.append(Rule(f"versioned-{i}-{dashed}", dashed, keyword, rf"{name}(?: licen[cs]e)?(?: v| version)? ?{spelled}(?: licen[cs]e)?", VERSIONED))
+            rules.append(Rule(f"versioned-{i}-{dashed}", dashed, keyword, rf"(?:{granted})?{name}(?: licen[cs]e)?(?: v| version)? ?{spelled}(?: licen[cs]e)?", VERSIONED))
             rules.append(Rule(f"identifier-{i}-{dashed}", dashed, "spdx", rf"spdx licen[cs]e identifier {label.replace('-', ' ')} {v}(?: only| or later)?", IDENTIFIER))
         rules.append(Rule(f"identifier-{i}", label, "spdx", rf"spdx licen[cs]e identifier {label.replace('-', ' ')}", IDENTIFIER))
-        rules.append(Rule(f"granted-{i}", label, keyword, rf"(?:licen[cs]ed|released|distributed|available|covered|provided) (?:under|by)(?: the)?(?: terms of the)? {name}(?: licen[cs]e)?", NAMED))
+        rules.append(Rule(f"granted-{i}", label, keyword, rf"{granted}{name}(?: licen[cs]e)?", NAMED))
         rules.append(Rule(f"named-{i}", label, keyword, rf"{name} licen[cs]e", NAMED))
         rules.append(Rule(f"mention-{i}", label, keyword, rf"(?:see|read|accept|under)(?: the)? {name} (?:terms|text|file|conditions)", MENTION))
     return rules

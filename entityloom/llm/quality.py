@@ -78,7 +78,10 @@ def passages(texts: list[bytes], words: int = PASSAGE_WORDS) -> tuple[np.ndarray
     passage_of_byte[inside] = passage_of_word[word_of_byte[inside]]
     size = np.maximum(1, np.bincount(passage_of_byte, minlength=n)).astype(np.float64)
     kind = _KIND[data]
-    pairs = np.bincount(passage_of_byte[1:] * _KINDS**2 + kind[:-1] * _KINDS + kind[1:], minlength=n * _KINDS**2)
+    pair = passage_of_byte[1:] * _KINDS**2 + kind[:-1] * _KINDS + kind[1:]
+    together = np.ones(len(pair), bool)
+    together[begins[1:-1] - 1] = False  # the last byte of a text and the first of the next
+    pairs = np.bincount(pair[together], minlength=n * _KINDS**2)
     features = np.zeros((n, N_FEATURES))
     features[:, : _KINDS**2] = np.log1p(pairs[: n * _KINDS**2].reshape(n, -1) * (100.0 / size)[:, None])
     if len(starts):
@@ -104,7 +107,7 @@ def passages(texts: list[bytes], words: int = PASSAGE_WORDS) -> tuple[np.ndarray
         new = np.concatenate(([True], (p[1:] != p[:-1]) | (h[1:] != h[:-1])))
         features[:, at + 1] = np.bincount(p, weights=new, minlength=n) / count
         features[:, at + 2] = np.log1p(np.bincount(passage_of_word, weights=ends - starts, minlength=n) / count)
-        features[:, at + 3] = np.log1p(count)
+        features[:, at + 3] = np.log1p(np.bincount(passage_of_word, minlength=n))
         features[:, at + 4] = np.bincount(passage_of_word, weights=kind[starts] == 3, minlength=n) / count
         features[:, at + 5] = np.bincount(passage_of_word, weights=kind[ends - 1] >= 7, minlength=n) / count
     return features.astype(np.float32), bags
