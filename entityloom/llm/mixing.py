@@ -58,8 +58,10 @@ def _fits(sources: DataFrame, low: int, high: int, good) -> int:
 
 
 def exponent(sources: DataFrame, max_repeats: float | None, target_entropy: float | None, budget: float | None) -> float:
-    """The exponent for sources with a ``share`` above 0 each; of both limits the repetition limit comes first."""
+    """The exponent for sources with a ``share`` above 0 each; of both limits the repetition limit comes first. Without sources 1."""
     least = 0
+    if not sources.take(1):
+        return 1.0
     if max_repeats is not None:
 
         def bounded(r) -> bool:
@@ -148,14 +150,14 @@ def _small(per_source: DataFrame) -> DataFrame:
     return F.broadcast(per_source) if per_source.count() <= BROADCAST_SOURCES else per_source
 
 
-def with_copies(docs: DataFrame, plan: DataFrame, source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
-    """All columns of the documents, and ``mix`` with the weight of their source and how often each is taken.
+def with_copies(docs: DataFrame, plan: DataFrame, source_col: str = "source", id_col: str = "doc_id", out: str = "mix") -> DataFrame:
+    """All columns of the documents, and a struct ``out`` with the weight of their source and how often each is taken.
 
     The order of the mix is that of ``(epoch, place of the block, key)``, see
     ``mixed``. Rows with one id (or none) in one source share their fate. An
-    empty table gives an empty result; a column ``mix`` is replaced.
+    empty table gives an empty result; an input column named ``out`` is replaced.
     """
-    columns = [c for c in docs.columns if c != "mix"]
+    columns = [c for c in docs.columns if c != out]
     packed = docs.select(F.struct(*columns).alias("doc"), F.col(source_col).cast("string").alias("__of"), F.col(id_col).alias("__id"))
     joined = packed.join(_small(plan), F.col("__of").eqNullSafe(F.col("source")))
     key = _hash_of(F.col("seed"), F.col("__id"))
@@ -164,8 +166,8 @@ def with_copies(docs: DataFrame, plan: DataFrame, source_col: str = "source", id
     before = (place < F.col("last_place")) | ((place == F.col("last_place")) & (block < F.col("last_block")))
     divided = (block == F.col("last_block")) & (key <= F.col("last_key"))
     more = F.when(F.coalesce(before, F.lit(False)) | F.coalesce(divided, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
-    mix = F.struct("weight", (F.col("epochs") + more).alias("copies"), block.alias("block"), key.alias("key"))
-    return joined.select(*[F.col("doc")[c].alias(c) for c in columns], mix.alias("mix"))
+    mix = F.struct("weight", (F.col("epochs") + more).alias("copies"), block.alias("block"), key.alias("key"), "seed")
+    return joined.select(*[F.col("doc")[c].alias(c) for c in columns], mix.alias(out))
 
 
 def mixed(docs: DataFrame, plan: DataFrame, source_col: str = "source", id_col: str = "doc_id", places: bool = False) -> DataFrame:
@@ -174,12 +176,9 @@ def mixed(docs: DataFrame, plan: DataFrame, source_col: str = "source", id_col:
     With ``places`` also ``mix_epoch`` and ``mix_place``: sorted by epoch,
     place and id, the rows are the block permutations.
     """
-    rows = with_copies(docs, plan, source_col, id_col).filter("mix.copies > 0")
-    epoch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("mix.copies") - 1)).alias("mix_epoch")
-    columns = [c for c in docs.columns if c != "mix"]
-    if not places:
-        return rows.select(*columns, epoch).drop("mix_epoch") if "mix_epoch" not in columns else rows.select(*columns, epoch.alias("__e")).drop("__e")
-    seed = plan.first()["seed"] if plan.take(1) else 0
-    return rows.select(*columns, epoch, F.col("mix.block").alias("__block")).select(
-        *columns, "mix_epoch", _hash_of(F.lit(seed), F.col("mix_epoch"), F.col("__block")).alias("mix_place")
-    )
+    rows = with_copies(docs, plan, source_col, id_col, "__mix").filter("__mix.copies > 0")
+    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__mix.copies") - 1)).alias("__epoch")
+    each = rows.select(*docs.columns, "__mix", epochs)
+    place = _hash_of(F.col("__mix.seed"), F.col("__epoch"), F.col("__mix.block"))
+    extra = [F.col("__epoch").alias("mix_epoch"), place.alias("mix_place")] if places else []
+    return each.select(*docs.columns, *extra)

@@ -26,6 +26,8 @@ from entityloom.llm.common import kept_with_text, map_batches, text_bytes, text_
 PASSAGE_WORDS = 64
 MAX_LABELLED = 4000
 FIT_PASSAGES = 48
+# Bytes of text whose features are computed at once.
+STRETCH = 1 << 20
 
 # Kinds of bytes: space, line end, a-z, A-Z, digit, full stop, comma, ! and ?, table marks, other ASCII marks, not ASCII, control.
 _KINDS = 12
@@ -52,11 +54,42 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
 
+def _stretches(text: bytes) -> list[bytes]:
+    """A text in stretches of about ``STRETCH`` bytes, cut before white space (or, in a longer word, anywhere)."""
+    out, at = [], 0
+    while len(text) - at > STRETCH:
+        cut = max(text.rfind(b" ", at + 1, at + STRETCH), text.rfind(b"\n", at + 1, at + STRETCH))
+        cut = cut if cut > 0 else at + STRETCH
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
 def passages(texts: list[bytes], words: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages, and for every text the number of its first one (one more at the end).
 
-    A text without words has one passage of zeros.
+    A text without words has one passage without them. Very long texts are
+    read in stretches, each of which begins a passage.
     """
+    parts = [_stretches(t) for t in texts]
+    flat = [x for p in parts for x in p]
+    found, counts, at = [], [], 0
+    while at < len(flat):
+        upto, held = at + 1, len(flat[at])
+        while upto < len(flat) and held + len(flat[upto]) <= STRETCH:
+            held += len(flat[upto])
+            upto += 1
+        features, bags = _passages(flat[at:upto], words)
+        found.append(features)
+        counts.append(np.diff(bags))
+        at = upto
+    per_part = np.concatenate(counts)
+    ends = np.cumsum([len(p) for p in parts])
+    bags = np.concatenate(([0], np.cumsum(per_part)[ends - 1]))
+    return np.concatenate(found), bags
+
+
+def _passages(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     # a line end after every text keeps words of neighbours apart
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
@@ -191,7 +224,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 15, width: i
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 w[k] = w[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return Model(mean, scale, w)
+    return Model(mean.astype(np.float32), scale.astype(np.float32), w)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

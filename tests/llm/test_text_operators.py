@@ -192,6 +192,17 @@ def test_passages_do_not_depend_on_the_batch():
         assert np.allclose(alone, together[bags[i] : bags[i + 1]], atol=1e-5)
 
 
+def test_long_texts_are_read_in_stretches(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(640)).encode()
+    whole = quality.passages([b"a", text, b"b"])
+    assert len(whole[0]) == 12
+    monkeypatch.setattr(quality, "STRETCH", 1000)
+    cut, bags = quality.passages([b"a", text, b"b"])
+    assert bags[0] == 0 and bags[1] == 1 and bags[3] - bags[2] == 1 and 10 <= bags[2] - bags[1] < 25
+    assert all(len(x) <= 1000 for x in quality._stretches(text)) and b"".join(quality._stretches(text)) == text
+    assert len(quality.passages([b"x" * 5000])[0]) == 5
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
