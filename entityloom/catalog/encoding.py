@@ -62,9 +62,9 @@ def indicator_append(spark, folder):
     """,
 )
 def label_encode(spark, folder):
-    orders = _orders(spark, folder).drop("o_totalprice")
-    status = Tables(spark, folder).orders.select("o_orderkey", "o_orderstatus")
-    return E.label_encode(status.join(orders, "o_orderkey"), protect=["o_orderkey"], missing="nan")
+    priority = F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority")
+    orders = Tables(spark, folder).orders.select("o_orderkey", "o_orderstatus", priority)
+    return E.label_encode(orders, protect=["o_orderkey"], missing="nan")
 
 
 @query(

@@ -72,13 +72,14 @@ def auc_lines(spark, folder):
     return stable_columns(M.auc(scored, "p", "target"), "auc")
 
 
-TREES = M.SEARCH_TREES.with_(max_iter=8, max_depth=3, min_instances=20)
+# small tables: smaller leaves, and the first look after fewer rounds
+TREES = M.SEARCH_TREES.with_(min_instances=20, first_rounds=20, patience=10)
 
 
 def _trained(spark, folder):
     """The model of the wide customer table; the balance itself would give the label away."""
     wide = customer_table(spark, folder).drop("c_acctbal", "o_totalprice_over_c_acctbal")
-    flagged = stored(with_hold_out(wide, hash_bucket(["c_custkey"]), 0.10))
+    flagged = stored(with_hold_out(wide, hash_bucket(["c_custkey"], 1000), 0.10, buckets=1000))
     inputs = numeric_columns(wide, ["c_custkey", "target"])
     return flagged, inputs, M.train_boosted(flagged, inputs, "target", TREES, "is_validation")
 
@@ -95,13 +96,43 @@ def gbt_importance(spark, folder):
     return M.importance_table(model, inputs, wide)
 
 
+LINE_INPUTS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query(
+    "gbt_summary",
+    """
+    SELECT count(*) AS rows_scored, 0::BIGINT AS missing, 0::BIGINT AS outside, true AS more_than_one_tree, true AS better_than_chance,
+           1.0::DOUBLE AS importances
+    FROM lineitem
+    """,
+)
+def gbt_summary(spark, folder):
+    """A model of expensive lines, judged on lines of orders it has not seen."""
+    lines = Tables(spark, folder).lineitem.select(
+        "l_orderkey", *LINE_INPUTS, F.when(F.col("l_extendedprice") > 50_000, 1).otherwise(0).alias("target")
+    )
+    flagged = stored(with_hold_out(lines, hash_bucket(["l_orderkey"], 1000), 0.1, buckets=1000))
+    model = M.train_boosted(flagged, LINE_INPUTS, "target", TREES, "is_validation")
+    judged = stored(M.score(model, flagged, LINE_INPUTS, "l_orderkey", keep=["target", "is_validation"]))
+    held_auc = M.auc(judged.filter("is_validation"), "score", "target").select((F.col("auc") > 0.6).alias("better_than_chance"))
+    importances = M.importance_table(model, LINE_INPUTS, flagged).agg(F.round(F.sum("importance"), 6).alias("importances"))
+    scored = judged.agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(F.col("score").isNull()).alias("missing"),
+        F.count_if(~F.col("score").between(0, 1)).alias("outside"),
+        F.lit(model.getNumTrees > 1).alias("more_than_one_tree"),
+    )
+    return scored.crossJoin(held_auc).crossJoin(importances)  # one row each
+
+
 @query("feature_search")
 def feature_search(spark, folder):
     t = Tables(spark, folder)
     label = F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("target")
     lines = t.lineitem.select("l_orderkey", label, "l_linestatus", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     found = explore(
-        lines, "l_orderkey", "target", "lines", target=4, top_n=8, per_round=4, max_rounds=2, params=TREES.with_(max_iter=3)
+        lines, "l_orderkey", "target", "lines", target=4, params=TREES
     )
     return found.table
 

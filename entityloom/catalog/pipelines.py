@@ -8,6 +8,7 @@ from entityloom.operators.clean import clean, fill_number
 from entityloom.operators.columns import append
 from entityloom.operators.encode import fit_values, one_hot
 from entityloom.operators.rollup import feature_block, rollup_two_level
+from entityloom.operators.skew import attach_by_key
 from entityloom.plans.assemble import assemble, attach_blocks
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_block, replay_tables
 from entityloom.sources.specs import spec_table, specs_of
@@ -172,6 +173,7 @@ TABLE_SPECS = {
         FeatureSpec("f_1_lines", "angle", ("f_0_lines", "c_nationkey"), "lines"),
     ),
 }
+HALF = "c_custkey % 2 = 0"
 FOLDED = [
     "o_totalprice_orders_mean", "o_orderstatus_orders_mean", "f_0_orders_orders_mean", "f_1_orders_orders_mean",
     "value_events_mean", "event_type_events_mean", "f_0_events_events_mean",
@@ -190,8 +192,8 @@ def _means(columns: list[str], name: str) -> str:
       SELECT c_custkey, {_means(["o_totalprice", "o_orderstatus", "f_0_orders", "f_1_orders"], "orders")} FROM (
         SELECT *, f_0_orders + o_orderstatus AS f_1_orders FROM (
           SELECT o_custkey AS c_custkey, o_totalprice, dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS o_orderstatus,
-                 CASE WHEN c_acctbal = 0 THEN o_totalprice ELSE o_totalprice / c_acctbal END AS f_0_orders
-          FROM orders JOIN customer ON c_custkey = o_custkey)) GROUP BY c_custkey),
+                 CASE WHEN coalesce(c_acctbal, 0) = 0 THEN o_totalprice ELSE o_totalprice / c_acctbal END AS f_0_orders
+          FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND {HALF})) GROUP BY c_custkey),
     e AS (
       SELECT c_custkey, {_means(["value", "event_type", "f_0_events"], "events")} FROM (
         SELECT *, value * event_type AS f_0_events FROM (
@@ -200,11 +202,13 @@ def _means(columns: list[str], name: str) -> str:
     l AS (
       SELECT c_custkey, {_means(["l_quantity", "l_discount", "f_0_lines", "f_1_lines"], "lines")} FROM (
         SELECT *, atan2(f_0_lines, c_nationkey) AS f_1_lines FROM (
-          SELECT c_custkey, c_nationkey, l_quantity, l_discount, l_quantity * l_discount AS f_0_lines
-          FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey))
+          SELECT o_custkey AS c_custkey, coalesce(c_nationkey, 0) AS c_nationkey, l_quantity, l_discount, l_quantity * l_discount AS f_0_lines
+          FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey AND {HALF}))
       GROUP BY c_custkey)
-    SELECT c_custkey, {", ".join(f"{st(f'coalesce({c}, 0)')} AS {c}" for c in FOLDED)}, c_acctbal, c_nationkey
-    FROM o FULL JOIN e USING (c_custkey) FULL JOIN l USING (c_custkey) LEFT JOIN customer USING (c_custkey)
+    SELECT c_custkey, {", ".join(f"{st(f'coalesce({c}, 0)')} AS {c}" for c in FOLDED)}, coalesce(c_acctbal, 0) AS c_acctbal,
+           coalesce(c_nationkey, 0) AS c_nationkey, coalesce(segment, 0) AS c_mktsegment
+    FROM o FULL JOIN e USING (c_custkey) FULL JOIN l USING (c_custkey)
+         LEFT JOIN (SELECT *, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS segment FROM customer WHERE {HALF}) USING (c_custkey)
     """,
 )
 def replay_all_tables(spark, folder):
@@ -212,7 +216,10 @@ def replay_all_tables(spark, folder):
     children = {
         "orders": t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderstatus"),
         "events": t.events.select(F.col("user_id").alias("c_custkey"), "value", "event_type"),
-        "lines": t.lineitem.select("l_orderkey", "l_quantity", "l_discount").join(_owner(t), "l_orderkey").drop("l_orderkey"),
+        "lines": t.lineitem.select("l_orderkey", "l_quantity", "l_discount").transform(
+            lambda lines: attach_by_key(lines, _owner(t), ["l_orderkey"], "inner")
+        ).drop("l_orderkey"),
     }
-    base = t.customer.select("c_custkey", "c_acctbal", "c_nationkey")
+    # a base with text that lacks half of the entities
+    base = t.customer.filter(HALF).select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
     return stable_columns(replay_tables(children, base, "c_custkey", TABLE_SPECS), *FOLDED)

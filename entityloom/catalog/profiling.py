@@ -102,7 +102,7 @@ def topk_member(spark, folder):
     per_type = t.part.select("p_partkey", "p_type").join(per_part, "p_partkey").groupBy("p_type").agg(
         F.sum("quantity").alias("quantity")
     )
-    return O.in_top(per_type, "quantity", 20, ["p_type"], "p_type", dearest.first()["p_type"])
+    return O.in_top(per_type, "quantity", 20, ["p_type"], "p_type", dearest.scalar())
 
 
 @query("limit_prefix", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100")
@@ -112,7 +112,7 @@ def limit_prefix(spark, folder):
 
 @query(
     "sample_rows",
-    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY (o_orderkey * 7919) % 1009, o_orderkey LIMIT 100",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey::VARCHAR), o_orderkey LIMIT 100",
 )
 def sample_rows(spark, folder):
     return O.sample_rows(Tables(spark, folder).orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 100)

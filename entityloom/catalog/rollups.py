@@ -113,6 +113,25 @@ def rollup_general(spark, folder):
     return all_stable(rolled)
 
 
+@query(
+    "rollup_general_orphans",
+    f"""
+    WITH lines AS (SELECT * REPLACE (nullif(l_orderkey, 2) AS l_orderkey) FROM lineitem)
+    SELECT n.l_orderkey, o_custkey, n_rows, {_output_sql("line")}
+    FROM (SELECT l_orderkey, count(*) AS n_rows FROM lines GROUP BY l_orderkey) n
+    LEFT JOIN (SELECT l_orderkey, {_stats_sql("line")} FROM lines WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey) s
+      ON s.l_orderkey = n.l_orderkey
+    LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) ON o_orderkey = n.l_orderkey
+    """,
+)
+def rollup_general_orphans(spark, folder):
+    """Lines without an order key, and orders without a known customer."""
+    t = Tables(spark, folder)
+    lines = t.lineitem.withColumn("l_orderkey", F.nullif("l_orderkey", F.lit(2)))
+    parents = _parents(t).filter("l_orderkey % 3 <> 0")
+    return all_stable(R.rollup_general(lines, "l_orderkey", "o_custkey", "line", MEASURES, parents=parents))
+
+
 @query(
     "rollup_general_shared",
     f"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from entityloom.catalog.base import Tables, all_stable, query, st, stable
+from entityloom.catalog.base import Tables, all_stable, query, st, stable, stable_columns
 from entityloom.functions import scalars as S
 from entityloom.operators.rollup import feature_block, group_stats
 from entityloom.plans.replay import FeatureSpec, apply_specs
@@ -71,18 +71,20 @@ def ratio_guarded(spark, folder):
     return _lines(spark, folder).select("l_orderkey", "l_linenumber", ratio.alias("quantity_over_discount"))
 
 
-def _pair(name, function, sql):
-    @query(name, f"SELECT {LINE}, {st(sql)} AS feature FROM lineitem")
+def _pair(name, function, sql, exact=False):
+    """``exact`` results are the same in all engines to the last bit and are compared uncut."""
+
+    @query(name, f"SELECT {LINE}, {sql if exact else st(sql)} AS feature FROM lineitem")
     def run(spark, folder):
         feature = function(F.col("l_quantity"), F.col("l_extendedprice"))
-        return Tables(spark, folder).lineitem.select("l_orderkey", "l_linenumber", stable(feature).alias("feature"))
+        return Tables(spark, folder).lineitem.select("l_orderkey", "l_linenumber", (feature if exact else stable(feature)).alias("feature"))
 
     return run
 
 
-_pair("pair_sum", S.pair_sum, "l_quantity + l_extendedprice")
-_pair("pair_diff", S.pair_diff, "l_quantity - l_extendedprice")
-_pair("pair_product", S.pair_product, "l_quantity * l_extendedprice")
+_pair("pair_sum", S.pair_sum, "l_quantity + l_extendedprice", exact=True)
+_pair("pair_diff", S.pair_diff, "l_quantity - l_extendedprice", exact=True)
+_pair("pair_product", S.pair_product, "l_quantity * l_extendedprice", exact=True)
 _pair("pair_norm", S.pair_norm, "sqrt(l_quantity * l_quantity + l_extendedprice * l_extendedprice)")
 _pair("pair_angle", S.pair_angle, "atan2(l_quantity, l_extendedprice)")
 
@@ -239,3 +241,25 @@ def std_feature(spark, folder):
 )
 def group_size_feature(spark, folder):
     return group_stats(Tables(spark, folder).events, ["user_id", "event_type"], {}, "n")
+
+
+MANY = [FeatureSpec(f"std_{c}", "group_std", ("l_orderkey", c)) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")] + [
+    FeatureSpec("n_part_supplier", "group_count", ("l_partkey", "l_suppkey")),
+    FeatureSpec("n_supplier_part", "group_count", ("l_suppkey", "l_partkey")),
+]
+
+
+@query(
+    "group_features_many",
+    f"""
+    SELECT {LINE}, l_partkey, l_suppkey, {", ".join(
+        f"{st(f'stddev_samp({c}) OVER (PARTITION BY l_orderkey)')} AS std_{c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))},
+      count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS n_part_supplier, count(*) OVER (PARTITION BY l_partkey, l_suppkey) AS n_supplier_part
+    FROM lineitem
+    """,
+)
+def group_features_many(spark, folder):
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    wide = apply_specs(Tables(spark, folder).lineitem.select(*columns), MANY)
+    names = [s.name for s in MANY]
+    return stable_columns(wide.select(*columns[:4], *names), *names[:4])

@@ -14,7 +14,8 @@ from entityloom.operators.ordering import number_rows
 from entityloom.operators.skew import attach_by_key
 from entityloom.schema import quoted, safe_name, sql_literal, text_columns
 
-# A code table is broadcast up to this many bytes of text, and 16 bytes per row.
+# The code tables of one transform are broadcast up to this many bytes of text, and 16
+# bytes per row, all together; the smallest come first.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -116,14 +117,15 @@ class LabelCodes:
         """Text columns replaced by their codes; a value not seen in fitting is missing."""
         result = df if numeric_fill is None else fill_number(df, numeric_fill, protect)
         names = result.columns
-        for column, size in self.sizes.items():
-            if column not in names:
-                continue
+        sizes = {c: s for c, s in sorted(self.sizes.items(), key=lambda x: x[1]) if c in names}
+        sent = 0
+        for column, size in sizes.items():
+            sent += size
             codes = self.table.filter(F.col("column") == column).select(
                 F.col("value").alias("__value"), F.col("code").alias("__code")
             )
             keyed = result.withColumn("__value", F.coalesce(F.col(quoted(column)), F.lit(self.missing)))
-            if size <= BROADCAST_BYTES:
+            if sent <= BROADCAST_BYTES:
                 joined = keyed.join(F.broadcast(codes), "__value", "left")
             else:
                 joined = attach_by_key(keyed, codes, ["__value"], "left")

@@ -59,8 +59,8 @@ def top(df: DataFrame, by: str, n: int, tie: Sequence[str]) -> DataFrame:
     return df.orderBy(F.col(by).desc_nulls_last(), *tie).limit(n)
 
 
-def in_top(df: DataFrame, by: str, n: int, tie: Sequence[str], column: str, value: str) -> DataFrame:
-    """One row ``in_top``: whether the value is among the n largest rows."""
+def in_top(df: DataFrame, by: str, n: int, tie: Sequence[str], column: str, value: str | Column) -> DataFrame:
+    """One row ``in_top``: whether the value (or that of a scalar subquery) is among the n largest rows."""
     return top(df, by, n, tie).agg(
         F.coalesce(F.max(F.when(F.col(column) == value, F.lit(1))), F.lit(0)).alias("in_top")
     )
@@ -71,8 +71,6 @@ def first_rows(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*by).limit(n)
 
 
-def sample_rows(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 1009) -> DataFrame:
-    """n rows chosen by an arithmetic hash of an integer key; the same ones every time."""
-    # reduced before multiplying, so that no key overflows
-    mixed = F.pmod(F.pmod(F.col(key), F.lit(modulus)) * F.lit(multiplier), F.lit(modulus))
-    return df.orderBy(mixed, F.col(key)).limit(n)
+def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """n rows chosen by the md5 of their key as text; the same ones every time, in any engine."""
+    return df.orderBy(F.md5(F.col(key).cast("string").cast("binary")), F.col(key)).limit(n)

@@ -117,8 +117,10 @@ def rollup_general(
     size = _size("n_rows")
     output = [quoted(key), quoted(parent), "n_rows", *[quoted(n) for n in named]]
     if parents is not None:
-        grouped = with_key(df, key).groupBy(key).agg(size, *aggregates)
-        return grouped.join(parents.select(key, parent), key, "inner").select(*output)
+        # keys without a parent stay without one, rows without a key stay without statistics
+        grouped = df.groupBy(key).agg(size, *aggregates)
+        kept = [f"CASE WHEN {quoted(key)} IS NOT NULL THEN {quoted(n)} END AS {quoted(n)}" for n in named]
+        return grouped.join(parents.select(key, parent), key, "left").select(*output[:2], "n_rows", *[F.expr(k) for k in kept])
     if functional:
         grouped = df.groupBy(key, parent).agg(size, *aggregates)
         kept = [f"CASE WHEN {quoted(key)} IS NOT NULL THEN {quoted(n)} END AS {quoted(n)}" for n in named]

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from entityloom.operators.quantile import order_statistics
 
-# Hold-out shares in use.
-HOLD_OUT_SMALL = 0.04
+# Fixed value: hold-out share in use.
 HOLD_OUT = 0.10
 
 
@@ -26,9 +25,15 @@ def arithmetic_bucket(key: str, buckets: int = 100, multiplier: int = 7919) -> C
     return F.pmod(F.pmod(F.col(key), big) * F.lit(multiplier) % big, F.lit(buckets)).cast("int")
 
 
-def with_hold_out(df: DataFrame, bucket: Column, share: float, name: str = "is_validation") -> DataFrame:
-    """A flag for the rows of the hold-out; ``share`` in whole percents of 100 buckets."""
-    return df.withColumn(name, bucket < F.lit(round(share * 100)))
+def with_hold_out(df: DataFrame, bucket: Column, share: float, name: str = "is_validation", buckets: int = 100) -> DataFrame:
+    """A flag for the rows of the hold-out: the first ``share`` of ``buckets``, which must be whole buckets.
+
+    Rows without a bucket are not held out.
+    """
+    held = round(share * buckets)
+    if abs(held - share * buckets) > 1e-9 or share > 0 and held == 0:
+        raise ValueError(f"a share of {share} is not a whole number of {buckets} buckets; use more buckets")
+    return df.withColumn(name, F.coalesce(bucket < F.lit(held), F.lit(False)))
 
 
 def with_ordered_hold_out(df: DataFrame, key: str, train_share: float = 0.9, name: str = "is_validation") -> DataFrame:
@@ -41,4 +46,4 @@ def with_ordered_hold_out(df: DataFrame, key: str, train_share: float = 0.9, nam
     if train_rows == 0:
         return df.withColumn(name, F.lit(True))
     border = order_statistics(df, {key: [train_rows - 1]})[key][0]
-    return df.withColumn(name, F.col(key) > F.lit(border))
+    return df.withColumn(name, F.coalesce(F.col(key) > F.lit(border), F.lit(False)))

@@ -218,10 +218,10 @@ def train_and_score(
     if ordered:
         flagged = with_ordered_hold_out(train, key, 1 - share)
     else:
-        flagged = with_hold_out(train, hash_bucket([key], seed=seed), share)
+        flagged = with_hold_out(train, hash_bucket([key], 100_000, seed), share, buckets=100_000)
     model = train_boosted(flagged, inputs, label, params, "is_validation")
     held = flagged.filter("is_validation")
-    judged = score(model, held, inputs, key).join(held.select(key, F.col(quoted(label))), key)
+    judged = score(model, held, inputs, key, keep=[label])
     return {
         "scores": score(model, test, inputs, key, label),
         "importances": importance_table(model, inputs, wide),

@@ -12,9 +12,10 @@ from entityloom.functions.registry import GROUP_FUNCTIONS, PAIR_FUNCTIONS, canon
 from entityloom.operators.clean import fill_number
 from entityloom.operators.encode import fit_codes
 from entityloom.operators.joins import fold_outer
-from entityloom.operators.rollup import aggregate_back, reduce_to_key
+from entityloom.operators.rollup import group_stats, reduce_to_key
 from entityloom.operators.skew import attach_by_key
 from entityloom.schema import quoted, text_columns
+from entityloom.session import stored
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,16 @@ def layers(columns: Sequence[str], specs: Iterable[FeatureSpec]) -> list[list[Fe
 
 
 def apply_specs(df: DataFrame, specs: Iterable[FeatureSpec]) -> DataFrame:
-    """The table with the features of the specs appended, one projection per layer."""
+    """The table with the features of the specs appended, one projection per layer.
+
+    Group features of a layer are made per set of keys: one aggregation and one
+    join for each, all from the table as it was before the layer. The result is
+    stored before the next set of keys or layer builds on it, so that the work
+    grows with the number of key sets and not with its power.
+    """
     specs = list(specs)
-    result = df
-    for layer in layers(df.columns, specs):
+    result, deep = df, layers(df.columns, specs)
+    for number, layer in enumerate(deep):
         pairs = [s for s in layer if canonical_name(s.function) in PAIR_FUNCTIONS]
         grouped = [s for s in layer if canonical_name(s.function) in GROUP_FUNCTIONS]
         if pairs:
@@ -65,17 +72,31 @@ def apply_specs(df: DataFrame, specs: Iterable[FeatureSpec]) -> DataFrame:
                     for s in pairs
                 ],
             )
-        for s in grouped:
-            result = _group_feature(result, s)
+        if grouped:
+            result = _group_features(result, grouped)
+            if number + 1 < len(deep):
+                result = stored(result)
     return result.select(*df.columns, *[F.col(quoted(s.name)) for s in specs])
 
 
-def _group_feature(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    if canonical_name(spec.function) == "group_std":
-        key, value = spec.features
-        back = aggregate_back(df, key, {value: ["std"]}, "__rows", keep_missing=True)
-        return back.withColumnRenamed(f"{value}_std", spec.name).drop("__rows")
-    return aggregate_back(df, list(spec.features), {}, spec.name, keep_missing=True)
+def _group_features(df: DataFrame, specs: Sequence[FeatureSpec]) -> DataFrame:
+    by_keys: dict[tuple[str, ...], list[FeatureSpec]] = {}
+    for s in specs:
+        keys = s.features[:1] if canonical_name(s.function) == "group_std" else tuple(sorted(s.features))
+        by_keys.setdefault(keys, []).append(s)
+    result = df
+    for number, (keys, of_keys) in enumerate(by_keys.items()):
+        if number:
+            result = stored(result)  # the join reads its rows twice, with and without a key
+        values = dict.fromkeys(s.features[1] for s in of_keys if canonical_name(s.function) == "group_std")
+        facts = group_stats(df, list(keys), {v: ["std"] for v in values}, "__rows", template="__{column}_{stat}")
+        named = [
+            F.col(quoted(f"__{s.features[1]}_std") if canonical_name(s.function) == "group_std" else "__rows").alias(s.name) for s in of_keys
+        ]
+        facts = facts.select(*[F.col(quoted(k)) for k in keys], *named)
+        # the keys of the table before the layer are those of the result, and cheaper to look at
+        result = attach_by_key(result, facts, list(keys), "left", measured=df)
+    return result
 
 
 def prepare(df: DataFrame, key: str, label: str | None = None) -> DataFrame:
@@ -104,7 +125,8 @@ def replay_block(
         wide = child
     else:
         clash = {c: f"{c}_{df_name}" for c in base.columns if c in child.columns and c != key}
-        wide = attach_by_key(child, base.withColumnsRenamed(clash), [key], "left")
+        wide = attach_by_key(child, base.withColumnsRenamed(clash), [key], "left", measured=child)
+        wide = fill_number(wide, 0, [key])  # entities the base lacks
     ready = wide if prepared else prepare(wide, key)
     featured = apply_specs(ready, specs)
     kept = [c for c in child.columns if c != key and c not in drop] + [s.name for s in specs]
@@ -123,10 +145,15 @@ def replay_tables(
     """Every child table replayed with its own specs, then folded into one row per entity.
 
     Entities of any child are in the result. Columns of ``base`` come last.
+    Text is coded once per table, that of the base before it meets the
+    children, and every missing number of the result is filled, also where the
+    base lacks the entity.
     """
+    ready = base if base is None or prepared else stored(prepare(base, key))
     blocks = [
-        replay_block(df, base, key, specs.get(name, ()), name, drop, prepared) for name, df in children.items()
+        replay_block(df if prepared else prepare(df, key), ready, key, specs.get(name, ()), name, drop, prepared=True)
+        for name, df in children.items()
     ]
     folded = fold_outer(blocks, [key])
-    result = folded if fill is None else fill_number(folded, fill, [key])
-    return result if base is None else result.join(base, key, "left")
+    result = folded if ready is None else folded.join(ready, key, "left")
+    return result if fill is None else fill_number(result, fill, [key])

@@ -13,20 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityloom.operators.ordering import running_sums
-from entityloom.session import ensure_checkpoint_dir
+from entityloom.session import ensure_checkpoint_dir, stored
 
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """What the trainer is told; ``max_depth`` d allows 2**d leaves."""
+    """What the trainer is told; ``max_depth`` d allows 2**d leaves.
+
+    With a hold-out, rounds are added in blocks that double from
+    ``first_rounds`` on, until the best round is ``patience`` rounds back or
+    ``max_iter`` is reached; the model keeps the rounds up to the best one.
+    """
 
     step_size: float = 0.1
     max_depth: int = 5
-    max_iter: int = 20
+    max_iter: int = 10_000
+    patience: int = 100
+    first_rounds: int = 50
     subsampling_rate: float = 0.8
     min_instances: int = 100
     positive_weight: float = 12.0
-    validation_tol: float = 0.01
     max_bins: int = 32
     seed: int = 42
 
@@ -34,11 +40,11 @@ class BoostingParams:
         return replace(self, **changes)
 
 
-# Learning rate, leaves (as depth), bagging, leaf size and weight in use.
-LARGE_TREES = BoostingParams(step_size=0.01, max_depth=9, subsampling_rate=0.8, min_instances=50, positive_weight=1.0)
-SMALL_TREES = BoostingParams(step_size=0.01, max_depth=5, subsampling_rate=0.8, min_instances=100, positive_weight=12.0)
-SEARCH_TREES = BoostingParams(step_size=0.1, max_depth=5, subsampling_rate=0.8, min_instances=100, positive_weight=12.0)
-ORDERED_TREES = BoostingParams(step_size=0.01, max_depth=10, subsampling_rate=0.8, min_instances=100, positive_weight=1.0)
+# Learning rate, rounds, patience, leaves (as depth), bagging, leaf size and weight in use.
+LARGE_TREES = BoostingParams(0.01, 9, 5_000, 100, subsampling_rate=0.8, min_instances=50, positive_weight=1.0)
+SMALL_TREES = BoostingParams(0.01, 5, 10_000, 100, subsampling_rate=0.8, min_instances=100, positive_weight=12.0)
+SEARCH_TREES = BoostingParams(0.1, 5, 10_000, 50, subsampling_rate=0.8, min_instances=100, positive_weight=12.0)
+ORDERED_TREES = BoostingParams(0.01, 10, 10_000, 100, subsampling_rate=0.8, min_instances=100, positive_weight=1.0)
 
 
 def assemble_vector(df: DataFrame, features: Sequence[str], keep: Sequence[str], output: str = "features") -> DataFrame:
@@ -54,38 +60,60 @@ def train_boosted(
     params: BoostingParams = SEARCH_TREES,
     validation: str | None = None,
 ) -> GBTClassificationModel:
-    """Fit on the labelled rows; ``validation`` flags the hold-out that stops early."""
+    """Fit on the labelled rows; ``validation`` flags the hold-out that tells when to stop.
+
+    Rows whose flag is missing train. The trainer itself stops at the first
+    round that does not improve, so it never gets the flag: the model is fitted
+    without the hold-out, its loss there is taken after every round, and while
+    the best round is among the last ``patience`` ones, twice as many rounds
+    are fitted. Equal seeds and rows give equal first rounds, so the last fit
+    of exactly the best number of rounds is a prefix of the one judged. Without
+    a hold-out all ``max_iter`` rounds are kept.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     keep = [F.col(label).cast("double").alias("label")]
     keep.append(F.when(F.col(label) == 1, F.lit(params.positive_weight)).otherwise(F.lit(1.0)).alias("weight"))
     if validation:
-        keep.append(F.col(validation).alias("validation"))
+        keep.append(F.coalesce(F.col(validation).cast("boolean"), F.lit(False)).alias("validation"))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     rows = assembler.transform(df.filter(F.col(label).isNotNull())).select(*keep, "features")
     trainer = GBTClassifier(
         labelCol="label",
         featuresCol="features",
         weightCol="weight",
-        maxIter=params.max_iter,
         stepSize=params.step_size,
         maxDepth=params.max_depth,
         subsamplingRate=params.subsampling_rate,
         minInstancesPerNode=params.min_instances,
         maxBins=params.max_bins,
         seed=params.seed,
-        validationTol=params.validation_tol,
         checkpointInterval=10,
         maxMemoryInMB=1024,
     )
-    if validation:
-        trainer = trainer.setValidationIndicatorCol("validation")
-    return trainer.fit(rows)
-
-
-def score(model: GBTClassificationModel, df: DataFrame, features: Sequence[str], key: str, name: str = "score") -> DataFrame:
-    """Probability of class 1 per id."""
-    scored = model.transform(assemble_vector(df, features, [key]))
-    return scored.select(key, vector_to_array("probability")[1].alias(name))
+    if not validation:
+        return trainer.setMaxIter(params.max_iter).fit(rows)
+    # read once for every round of every fit
+    rows = stored(rows)
+    learned, held = rows.filter("NOT validation"), rows.filter("validation")
+    if not held.take(1):
+        raise ValueError("the hold-out has no labelled row")
+    rounds = min(params.first_rounds, params.max_iter)
+    while True:
+        model = trainer.setMaxIter(rounds).fit(learned)
+        losses = model.evaluateEachIteration(held)
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if rounds - best >= params.patience or rounds >= params.max_iter:
+            break
+        rounds = min(2 * rounds, params.max_iter)
+    return model if best == len(losses) else trainer.setMaxIter(best).fit(learned)
+
+
+def score(
+    model: GBTClassificationModel, df: DataFrame, features: Sequence[str], key: str, name: str = "score", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Probability of class 1 per id, with further columns to keep."""
+    scored = model.transform(assemble_vector(df, features, [key, *keep]))
+    return scored.select(key, *keep, vector_to_array("probability")[1].alias(name))
 
 
 def importance_table(model: GBTClassificationModel, features: Sequence[str], df: DataFrame) -> DataFrame:
@@ -149,8 +177,16 @@ def accuracy(df: DataFrame, probability: str, label: str, threshold: float = 0.5
 
 
 def principal_components(df: DataFrame, columns: Sequence[str], k: int, keep: Sequence[str]) -> DataFrame:
-    """The first k principal components as columns ``pc_1`` to ``pc_k``."""
-    vectors = assemble_vector(df, columns, keep, "input")
+    """The first k principal components as columns ``pc_1`` to ``pc_k``.
+
+    A missing or non-finite cell is an error (fill it first), as it would make
+    every component NaN. The sign of a component is such that its largest
+    weight is positive.
+    """
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="input", handleInvalid="error")
+    vectors = assembler.transform(df).select(*keep, "input")
     model = PCA(k=k, inputCol="input", outputCol="output").fit(vectors)
+    weights = model.pc.toArray()
+    signs = [1.0 if max(w, key=abs) >= 0 else -1.0 for w in weights.T.tolist()]
     parts = vector_to_array("output")
-    return model.transform(vectors).select(*keep, *[parts[i].alias(f"pc_{i + 1}") for i in range(k)])
+    return model.transform(vectors).select(*keep, *[(parts[i] * F.lit(signs[i])).alias(f"pc_{i + 1}") for i in range(k)])

@@ -7,17 +7,23 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from entityloom.functions.registry import SEARCH_FUNCTIONS
 from entityloom.operators.clean import clean
 from entityloom.operators.skew import expand_left
+from entityloom.operators.split import HOLD_OUT, hash_bucket, with_hold_out
 from entityloom.plans.replay import FeatureSpec, apply_specs, prepare
-from entityloom.plans.scoring import SEARCH_TREES, BoostingParams, train_boosted
+from entityloom.plans.scoring import SEARCH_TREES, BoostingParams, rank_features
+from entityloom.schema import quoted
 from entityloom.session import stored
 
 # Features to find, and the rank a feature must reach.
 TARGET_FEATURES = 100
 TOP_N = 20
+# Fixed value: labelled rows a search fits its models on.
+FIT_ROWS = 50_000
+HELD = "__held_out"
 
 
 @dataclass
@@ -54,6 +60,19 @@ def top_features(importances: Mapping[str, float], n: int = TOP_N) -> list[str]:
     return sorted(used, key=lambda c: (-importances[c], c))[:n]
 
 
+class SearchIncomplete(RuntimeError):
+    """The search ended with fewer features than asked for; ``result`` holds what was found."""
+
+    def __init__(self, result: SearchResult, reason: str):
+        super().__init__(f"{len(result.specs)} features found: {reason}")
+        self.result = result
+
+
+def _finite(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Features enter the model finite and filled."""
+    return clean(df, protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0)
+
+
 def explore(
     df: DataFrame,
     key: str,
@@ -62,37 +81,44 @@ def explore(
     target: int = TARGET_FEATURES,
     top_n: int = TOP_N,
     per_round: int = 10,
-    max_rounds: int = 50,
+    max_rounds: int | None = None,
     params: BoostingParams = SEARCH_TREES,
     seed: int = 0,
     prepared: bool = False,
+    fit_rows: int = FIT_ROWS,
+    hold_out: float = HOLD_OUT,
 ) -> SearchResult:
     """Propose, fit, keep what ranks in the top n; later features may build on kept ones.
 
-    A round adds its candidates in one projection and fits one model for all
-    of them (``per_round=1`` gives every candidate a model of its own). Kept
-    columns are stored after each round, so the plan does not grow.
+    A round fits one model for all of its candidates (``per_round=1`` gives
+    every candidate a model of its own). It goes on until ``target`` features
+    are kept; if all combinations were tried before, or ``max_rounds`` are
+    over, it raises ``SearchIncomplete`` with what it has. Models are fitted on
+    at most ``fit_rows`` labelled rows, chosen by hash and stored once, a
+    hashed share of whose keys is held out; all features are projections of
+    them, so a round writes nothing. The kept features are computed for the
+    whole table at the end, in one projection.
     """
     rng = random.Random(seed)
-    table = df if prepared else prepare(df, key, label)
-    # features enter the model finite and filled
-    table = stored(clean(table, protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0))
+    table = stored(_finite(df if prepared else prepare(df, key, label), key, label))
+    labelled = table.filter(F.col(quoted(label)).isNotNull())
+    sample = stored(labelled.orderBy(F.xxhash64(*[F.col(quoted(c)) for c in table.columns])).limit(fit_rows))
     result = SearchResult([], table)
     seen: set[tuple] = set()
-    for round_ in range(max_rounds):
-        if len(result.specs) >= target:
-            break
-        inputs = [c for c in result.table.columns if c not in (key, label)]
+    round_ = 0
+    reason = ""
+    while len(result.specs) < target:
+        names = [s.name for s in result.specs]
+        inputs = [c for c in table.columns if c not in (key, label)] + names
         candidates = propose(inputs, per_round, rng, f"candidate_{round_}_", df_name, seen)
-        if not candidates:
+        if not candidates or max_rounds is not None and round_ >= max_rounds:
+            reason = "all combinations are tried" if not candidates else f"{round_} rounds are over"
             break
-        tried = clean(
-            apply_specs(result.table, candidates),
-            protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0,
-        )
+        tried = _finite(apply_specs(sample, [*result.specs, *candidates]), key, label)
+        flagged = with_hold_out(tried, hash_bucket([key], 1000, seed), hold_out, HELD, buckets=1000)
         features = [*inputs, *[c.name for c in candidates]]
-        model = train_boosted(tried, features, label, params)
-        importances = dict(zip(features, map(float, model.featureImportances.toArray())))
+        ranked = rank_features(flagged, features, label, params, HELD)
+        importances = {r["column"]: r["importance"] for r in ranked.collect()}  # one row per feature
         best = set(top_features(importances, top_n))
         kept: list[FeatureSpec] = []
         for c in candidates:
@@ -101,14 +127,11 @@ def explore(
             if accepted:
                 kept.append(replace(c, name=name))
             result.history.append((round_, name, c.function, importances[c.name], accepted))
-        if kept:
-            result.table = stored(
-                clean(
-                    apply_specs(result.table, kept),
-                    protect=[key, label], texts=(), numbers=(), text_fill=None, impute=0,
-                )
-            )
-            result.specs += kept
+        result.specs += kept
+        round_ += 1
+    result.table = stored(_finite(apply_specs(table, result.specs), key, label)) if result.specs else table
+    if len(result.specs) < target:
+        raise SearchIncomplete(result, reason)
     return result
 
 

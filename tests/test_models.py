@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entityloom.operators.ordering import top
 from entityloom.plans import scoring as M
-from entityloom.plans.search import explore, explore_tables, propose, top_features
+from entityloom.plans.search import SearchIncomplete, explore, explore_tables, propose, top_features
 
 TREES = M.SEARCH_TREES.with_(max_iter=5, max_depth=3, min_instances=5)
 
@@ -88,9 +88,9 @@ def test_top_features_ranks_used_ones():
 
 def test_search_finds_a_pair_feature(separable):
     found = explore(
-        separable.drop("held"), "id", "y", "df", target=2, top_n=2, per_round=8, max_rounds=3, params=TREES, seed=4
+        separable.drop("held"), "id", "y", "df", target=2, top_n=4, per_round=8, params=TREES, seed=4
     )
-    assert 1 <= len(found.specs) <= 2
+    assert len(found.specs) == 2
     assert [s.name for s in found.specs] == [f"f_{i}_df" for i in range(len(found.specs))]
     assert found.table.columns == ["id", "a", "b", "t", "y", *[s.name for s in found.specs]]
     assert found.table.count() == 600
@@ -102,7 +102,7 @@ def test_search_over_tables(spark, separable):
     child = separable.select("id", (F.col("a") * 2).alias("a"), F.col("b").alias("w")).filter("id % 2 = 0")
     base = separable.select("id", "a", "y")
     found = explore_tables(
-        base, {"child": child}, "id", "y", target=1, top_n=5, per_round=2, max_rounds=1, params=TREES
+        base, {"child": child}, "id", "y", target=1, top_n=5, per_round=2, params=TREES
     )
     assert list(found) == ["child"]
     assert found["child"].table.columns[:5] == ["id", "a", "y", "a_child", "w"]
@@ -121,3 +121,34 @@ def test_principal_components(spark):
     assert out.columns == ["id", "pc_1", "pc_2"]
     # the columns are proportional: one component holds everything
     assert out.agg(F.stddev("pc_2")).first()[0] == pytest.approx(0, abs=1e-9)
+
+
+def test_an_ended_search_raises_with_what_it_has(separable):
+    with pytest.raises(SearchIncomplete, match="1 rounds are over") as error:
+        explore(separable.drop("held"), "id", "y", "df", target=50, top_n=4, per_round=3, max_rounds=1, params=TREES)
+    assert len(error.value.result.specs) < 50 and error.value.result.table.count() == 600
+    with pytest.raises(SearchIncomplete, match="all combinations"):
+        explore(separable.select("id", "a", "b", "y"), "id", "y", "df", target=11, top_n=0, per_round=10, params=TREES.with_(max_iter=1))
+
+
+def test_boosting_goes_on_until_the_hold_out_tells(separable):
+    params = M.SEARCH_TREES.with_(max_depth=3, min_instances=5, first_rounds=4, patience=4, max_iter=64, positive_weight=1.0)
+    model = M.train_boosted(separable, ["a", "b"], "y", params, "held")
+    assert 1 < model.getNumTrees <= 64
+    losses = M.train_boosted(separable.filter("NOT held"), ["a", "b"], "y", params.with_(max_iter=model.getNumTrees + 2)).evaluateEachIteration(
+        M.assemble_vector(separable.filter("held"), ["a", "b"], [F.col("y").cast("double").alias("label"), F.lit(1.0).alias("weight")])
+    )
+    assert losses[model.getNumTrees - 1] <= min(losses) + 0.02
+    for preset in (M.LARGE_TREES, M.SMALL_TREES, M.SEARCH_TREES, M.ORDERED_TREES):
+        assert preset.max_iter >= 5000 and preset.patience >= 50
+    # a missing flag trains
+    some = separable.withColumn("held", F.when(F.col("id") < 100, F.col("held")))
+    assert M.train_boosted(some, ["a", "b"], "y", TREES, "held").getNumTrees >= 1
+    with pytest.raises(ValueError):
+        M.train_boosted(separable.withColumn("held", F.lit(False)), ["a", "b"], "y", TREES, "held")
+
+
+def test_principal_components_refuse_missing_cells(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 3.0)], "id long, a double, b double")
+    with pytest.raises(Exception, match="(?i)null|NaN"):
+        M.principal_components(df, ["a", "b"], 1, ["id"]).collect()

@@ -9,7 +9,7 @@ from entityloom.catalog import QUERIES
 from entityloom.operators import rollup as R
 
 SF = "/root/testdata/sf0.001"
-MODEL_QUERIES = {"gbt_score", "gbt_importance", "feature_search", "pca_features"}
+MODEL_QUERIES = {"gbt_score", "gbt_importance", "gbt_summary", "feature_search", "pca_features"}
 
 
 def plan(df) -> str:
@@ -80,3 +80,15 @@ def test_splitting_a_union_reads_one_side(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet").select(F.col("o_custkey").alias("c_custkey"))
     one = untag(union_tagged("part", a=customer, b=orders), "part", "b")
     assert "customer.parquet" not in plan(one)
+
+
+@pytest.mark.parametrize(("keys", "scans"), [(["o_custkey"], 3), (["o_custkey", "o_orderstatus"], 3)])
+def test_group_features_share_their_grouping(spark, keys, scans):
+    from entityloom.plans.replay import FeatureSpec, apply_specs
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet").withColumn("twice", F.col("o_totalprice") * 2)
+    specs = [FeatureSpec(f"f{i}", "group_std", (keys[i % len(keys)], ["o_totalprice", "twice"][i % 4 // 2])) for i in range(10)]
+    wide = apply_specs(orders, specs)
+    # the facts, the rows with a key, and a scan with a pushed filter for those without
+    assert len(re.findall(r"FileScan parquet", plan(wide).split("Initial Plan")[-1])) <= scans
+    assert wide.count() == orders.count()

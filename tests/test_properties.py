@@ -1,5 +1,6 @@
 """Laws that must hold for any data, and hot keys against ordinary ones."""
 
+import hashlib
 import math
 import random
 
@@ -182,8 +183,8 @@ def test_top_and_sample(spark):
     keys = spark.range(5000)
     sample = {r["id"] for r in sample_rows(keys, "id", 50).collect()}
     assert sample == {r["id"] for r in sample_rows(keys.repartition(7), "id", 50).collect()}
-    assert sample == set(sorted(range(5000), key=lambda k: (k * 7919 % 1009, k))[:50])
-    # no overflow on keys near the end of the range
+    assert sample == set(sorted(range(5000), key=lambda k: (hashlib.md5(str(k).encode()).hexdigest(), k))[:50])
+    assert len({k % 1009 for k in sample}) > 40
     assert sample_rows(spark.createDataFrame([(2**63 - 1,)], "id long"), "id", 1).count() == 1
 
 
@@ -225,6 +226,12 @@ def test_splits(spark):
     hashed = with_hold_out(df, hash_bucket(["k"], seed=1), 0.10)
     held = {r["k"] for r in hashed.filter("is_validation").collect()}
     assert 60 < len(held) < 140
+    fine = with_hold_out(df, hash_bucket(["k"], 1000), 0.004, buckets=1000)
+    assert fine.count() == 1000 and fine.filter("is_validation").count() < 20
+    with pytest.raises(ValueError):
+        with_hold_out(df, hash_bucket(["k"]), 0.004)
+    missing = with_hold_out(spark.createDataFrame([(None,)], "k long"), F.col("k"), 0.5)
+    assert missing.first()["is_validation"] is False
     again = with_hold_out(df.repartition(3), hash_bucket(["k"], seed=1), 0.10)
     assert held == {r["k"] for r in again.filter("is_validation").collect()}
 
