@@ -25,6 +25,9 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
+from itertools import accumulate, islice
+from operator import getitem
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +36,7 @@ from entityloom.llm.common import kept_with_text, map_batches, per_worker
 
 MAX_STATES = 200_000
 # Short pieces whose tokens are remembered; the memo is emptied when full.
-MEMO_PIECES = 200_000
+MEMO_PIECES = 250_000
 MEMO_LENGTH = 48
 _NEVER = 1 << 60
 _LOW = (1 << 32) - 1
@@ -64,6 +67,20 @@ def compile_ranks(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes]]:
     return last
 
 
+class _State(dict):
+    """A state of the transducer: from a byte to the next state, which is made when first asked for."""
+
+    __slots__ = ("_owner", "walks", "written")
+
+    def __init__(self, owner: Transducer, walks: tuple[int, ...], written: int):
+        super().__init__()
+        self._owner, self.walks, self.written = owner, walks, written
+
+    def __missing__(self, byte: int) -> _State:
+        state = self[byte] = self._owner.after(self.walks, byte)
+        return state
+
+
 class Transducer:
     """Encodes pieces of text. Made from the ranks and ``compile_ranks`` of them.
 
@@ -101,10 +118,8 @@ class Transducer:
 
     def _forget(self) -> None:
         # a walk is packed into one number: its node, and the token before it plus 1
-        self._states: list[tuple[int, ...]] = [(0,)]
-        self._written = [-1]
-        self._ids = {self._states[0]: 0}
-        self._next: dict[int, int] = {}
+        self._root = _State(self, (0,), -1)
+        self._states: dict[tuple[int, ...], _State] = {self._root.walks: self._root}
 
     def _chain(self, token: int, side: int) -> list[tuple[bytes, int]]:
         """The symbols at one border of a token, outermost merge first, each with the merge that ends it."""
@@ -124,7 +139,7 @@ class Transducer:
         key = left << 32 | right
         known = self._compatible.get(key)
         if known is None:
-            if len(self._compatible) > 3 * self._max_states:
+            if len(self._compatible) > self._max_states:
                 self._compatible.clear()
             known = self._compatible[key] = self._borders_hold(left, right)
         return known
@@ -139,31 +154,28 @@ class Transducer:
                     return False
         return True
 
-    def _step(self, state: int, byte: int) -> int:
-        """The state after one more byte, made when first needed."""
-        walks, written = [], -1
-        for walk in self._states[state]:
-            before = (walk & _LOW) - 1
+    def after(self, walks: tuple[int, ...], byte: int) -> _State:
+        """The state after one more byte."""
+        alive, written = [], -1
+        for walk in walks:
             node = self._child.get(walk >> 32 << 8 | byte, -1)
             if node < 0:
                 continue
+            before = walk & _LOW
             if node in self._parents:
-                walks.append(node << 32 | before + 1)
+                alive.append(node << 32 | before)
             token = self._token[node]
             # exactly one walk ends in a token that may follow the one before it
-            if written < 0 <= token and (before < 0 or self.compatible(before, token)):
+            if written < 0 <= token and (before == 0 or self.compatible(before - 1, token)):
                 written = token
         if written < 0:
             raise ValueError("the ranks are no order of merges over all bytes")
-        walks.append(written + 1)
-        target = tuple(walks)
-        number = self._ids.get(target)
-        if number is None:
-            number = self._ids[target] = len(self._states)
-            self._states.append(target)
-            self._written.append(written)
-        self._next[state << 8 | byte] = number
-        return number
+        alive.append(written + 1)
+        target = tuple(alive)
+        state = self._states.get(target)
+        if state is None:
+            state = self._states[target] = _State(self, target, written)
+        return state
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self._ranks.get(piece)
@@ -171,50 +183,51 @@ class Transducer:
             return [whole]
         if len(self._states) > self._max_states:
             self._forget()
-        out: list[int] = []
-        state, known, of_state = 0, self._next.get, self._written
         if len(piece) <= self.BLOCK:
-            ends = []
-            for byte in piece:
-                key = state << 8 | byte
-                state = known(key)
-                if state is None:
-                    state = self._step(key >> 8, byte)
-                ends.append(of_state[state])
-            return self._back(ends, len(ends), 0)
-        done, ends = 0, []  # ends: the last token of every prefix, from place ``done`` on
+            return self._back(list(accumulate(piece, getitem, initial=self._root)), len(piece))
+        out: list[int] = []
+        path = [self._root]  # the states from the end of what is emitted on
         for at in range(0, len(piece), self.BLOCK):
-            for byte in piece[at : at + self.BLOCK]:
-                key = state << 8 | byte
-                state = known(key)
-                if state is None:
-                    state = self._step(key >> 8, byte)
-                ends.append(of_state[state])
-            here = done + len(ends)
-            shared = None
-            for walk in self._states[state]:
+            path += islice(accumulate(piece[at : at + self.BLOCK], getitem, initial=path[-1]), 1, None)
+            here, shared = len(path) - 1, None
+            for walk in path[-1].walks:
                 places, place = set(), here - self._depth[walk >> 32]
-                while place > done:
+                while place > 0:
                     places.add(place)
-                    place -= self._length[ends[place - done - 1]]
+                    place -= self._length[path[place].written]
                 shared = places if shared is None else shared & places
-            agreed = max(shared, default=done)
-            out += self._back(ends, agreed - done, 0)
-            del ends[: agreed - done]
-            done = agreed
-        return out + self._back(ends, len(ends), 0)
-
-    def _back(self, ends: list[int], place: int, first: int) -> list[int]:
-        """The tokens of a prefix, followed back from its last one."""
+            agreed = max(shared, default=0)
+            out += self._back(path, agreed)
+            del path[:agreed]
+        return out + self._back(path, len(path) - 1)
+
+    def _back(self, path: list[_State], place: int) -> list[int]:
+        """The tokens up to a place, followed back from the last one."""
         tokens, length = [], self._length
-        while place > first:
-            token = ends[place - 1]
+        while place > 0:
+            token = path[place].written
             tokens.append(token)
             place -= length[token]
         tokens.reverse()
         return tokens
 
 
+class _Memo(dict):
+    """The ids of pieces as packed 32-bit numbers; a new piece is encoded when first asked for."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self._transducer = transducer
+
+    def __missing__(self, piece: str) -> bytes:
+        packed = array("i", self._transducer.encode(piece.encode())).tobytes()
+        if len(piece) <= MEMO_LENGTH:
+            if len(self) >= MEMO_PIECES:
+                self.clear()
+            self[piece] = packed
+        return packed
+
+
 class Encoder:
     """Encodes whole texts: ``pattern`` cuts them into pieces, the transducer encodes each."""
 
@@ -223,20 +236,14 @@ class Encoder:
 
         self._pieces = regex.compile(pattern)
         self._transducer = Transducer(ranks, last)
-        self._memo: dict[str, list[int]] = {}
+        self._packed = _Memo(self._transducer).__getitem__
+
+    def packed(self, text: str) -> bytes:
+        return b"".join(map(self._packed, self._pieces.findall(text)))
 
     def encode(self, text: str) -> array:
-        out, memo = array("i"), self._memo
-        extend, get = out.extend, memo.get
-        for piece in self._pieces.findall(text):
-            ids = get(piece)
-            if ids is None:
-                ids = self._transducer.encode(piece.encode())
-                if len(piece) <= MEMO_LENGTH:
-                    if len(memo) >= MEMO_PIECES:
-                        memo.clear()
-                    memo[piece] = ids
-            extend(ids)
+        out = array("i")
+        out.frombytes(self.packed(text))
         return out
 
 
@@ -278,9 +285,9 @@ class Decoder:
         self._bytes = {rank: token for token, rank in ranks.items()}
 
     def decode(self, ids: list[int]) -> str:
-        stream, out, of = Utf8Stream(), [], self._bytes
+        stream, out, of = Utf8Stream(), [], self._bytes.__getitem__
         for start in range(0, len(ids), self.BLOCK):
-            out.append(stream.feed(b"".join([of[i] for i in ids[start : start + self.BLOCK]])))
+            out.append(stream.feed(b"".join(map(of, ids[start : start + self.BLOCK]))))
         out.append(stream.end())
         return "".join(out)
 
@@ -310,11 +317,10 @@ class Codec:
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             encoder = per_worker(f"encoder {key}", lambda: Encoder(*shared.value))
-            flat, offsets = array("i"), array("i", [0])
-            for text in batch.column(1):
-                flat.extend(encoder.encode(text.as_py() or ""))
-                offsets.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+            texts = [encoder.packed(text.as_py() or "") for text in batch.column(1)]
+            offsets = np.cumsum([0, *[len(x) // 4 for x in texts]], dtype=np.int32)
+            flat = np.frombuffer(b"".join(texts), np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
             return pa.RecordBatch.from_arrays([batch.column(0), ids], ["kept", "ids"])
 
         kept = rows.schema["kept"].dataType.simpleString()
@@ -329,7 +335,7 @@ class Codec:
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             decoder = per_worker(f"decoder {key}", lambda: Decoder(shared.value))
-            texts = [decoder.decode(x.values.to_pylist() if x.is_valid else []) for x in batch.column(1)]
+            texts = [decoder.decode(np.asarray(x.values).tolist() if x.is_valid else []) for x in batch.column(1)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["kept", "decoded"])
 
         kept = packed.schema["kept"].dataType.simpleString()
