@@ -250,6 +250,21 @@ def category_share(spark, folder):
     return all_stable(R.category_share(orders, "o_custkey", values, ["o_totalprice"]))
 
 
+@query(
+    "category_share_long",
+    f"""
+    WITH cells AS (SELECT o_custkey, 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders
+                   UNION ALL SELECT o_custkey, 'o_orderpriority', coalesce(nullif(o_orderpriority, '1-URGENT'), '') FROM orders)
+    SELECT o_custkey, "column", value, count(*) AS n_rows, {st("count(*) / any_value(n)")} AS share
+    FROM cells JOIN (SELECT o_custkey, count(*)::DOUBLE AS n FROM orders GROUP BY o_custkey) USING (o_custkey)
+    GROUP BY o_custkey, "column", value
+    """,
+)
+def category_share_long(spark, folder):
+    orders = Tables(spark, folder).orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("1-URGENT")))
+    return all_stable(R.category_share_long(orders, "o_custkey", ["o_orderstatus", "o_orderpriority"]))
+
+
 @query(
     "reduce_to_key",
     f"""

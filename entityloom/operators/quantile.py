@@ -116,7 +116,7 @@ def _parts(df: DataFrame, cuts: dict[str, list]) -> dict[str, list[tuple[int, ob
 
 
 def _gathered(df: DataFrame, brackets: list[_Bracket]) -> dict[int, object]:
-    """The values at the ranks of brackets with at most GATHER_ROWS values."""
+    """The values at the ranks of brackets that hold few values, all of them in one row."""
     names = {span: f"span_{n}" for n, span in enumerate(_spans(brackets))}
     sorted_ = [
         F.expr(f"sort_array(collect_list({quoted(s[0])}) FILTER (WHERE {_within(s)})) AS {n}") for s, n in names.items()
@@ -127,8 +127,11 @@ def _gathered(df: DataFrame, brackets: list[_Bracket]) -> dict[int, object]:
 
 
 def _settle(df: DataFrame, brackets: list[_Bracket], gather_rows: int) -> dict[int, object]:
+    """Values at the ranks; at most ``gather_rows`` values of all brackets together are gathered in the end."""
     for _ in range(_MAX_PASSES):
-        open_ = [b for b in brackets if b.low != b.high and b.inside > gather_rows]
+        unsettled = [b for b in brackets if b.low != b.high]
+        share = gather_rows // max(1, len(_spans(unsettled)))
+        open_ = [b for b in unsettled if b.inside > share]
         if not open_:
             break
         parts = _parts(df, _proposals(df, open_))

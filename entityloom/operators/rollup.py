@@ -308,6 +308,21 @@ def category_share(
     return with_key(df, key).groupBy(key).agg(*aggregates)
 
 
+def category_share_long(df: DataFrame, key: str, columns: Sequence[str], missing: str = "") -> DataFrame:
+    """``key, column, value, n_rows, share``: the share of each category value per key.
+
+    One row per value that occurs, so columns may have any number of values
+    and nothing has to be fitted first. Missing text is a value of its own.
+    """
+    cells = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(quoted(c)), F.lit(missing)).alias("value")) for c in columns]
+    long = with_key(df, key).select(key, F.explode(F.array(*cells)).alias("cell")).select(key, "cell.*")
+    counted = long.groupBy(key, "column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    # every row has one value in each column: the values of one column add up to the rows of the key
+    totals = with_key(df, key).groupBy(key).agg(F.count(F.lit(1)).alias("__all"))
+    joined = attach_by_key(counted, totals, [key], "inner", measured=df)
+    return joined.select(key, "column", "value", "n_rows", (F.col("n_rows") / F.col("__all")).alias("share"))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

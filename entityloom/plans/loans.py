@@ -41,14 +41,17 @@ LOANS = EntitySchema(
     ),
 )
 PART = "part"
+# Values of a text column that may become columns, unless a plan is told another number.
+MAX_VALUES = 2000
 ID_PARTS = ("SK_ID_BUREAU", "SK_ID_PREV")
 
 
-def _encoded(df: DataFrame, encode: str, protect: Sequence[str]) -> DataFrame:
+def _encoded(df: DataFrame, encode: str, protect: Sequence[str], max_values: int) -> DataFrame:
+    """``max_values`` bounds the values of a text column that become columns; more are an error, so choose it wide enough."""
     if encode == "drop":
         return drop_text(df, protect)
     if encode == "one_hot":
-        return one_hot(df, fit_values(df, protect=protect), protect)
+        return one_hot(df, fit_values(df, protect=protect, max_values=max_values), protect)
     raise ValueError("encode must be 'one_hot' or 'drop'")
 
 
@@ -56,14 +59,14 @@ def _applications(tables: Mapping[str, DataFrame]) -> DataFrame:
     return stack_parts(tables["application_train"], tables["application_test"], PART)
 
 
-def flat_features(tables: Mapping[str, DataFrame], encode: str = "one_hot", stage: bool = False) -> DataFrame:
+def flat_features(tables: Mapping[str, DataFrame], encode: str = "one_hot", stage: bool = False, max_values: int = MAX_VALUES) -> DataFrame:
     """Ratios on every table, one block of means and extremes per child, one wide cleaned table."""
     key, protect = LOANS.key, [*LOANS.protected, PART]
     base = apply_specs(clean(_applications(tables), protect), sets.APPLICATION)
-    base = _encoded(base, encode, protect)
+    base = _encoded(base, encode, protect, max_values)
 
     def block(table: str, specs: Sequence[FeatureSpec], size: str, after: str | None) -> DataFrame:
-        ready = apply_specs(_encoded(clean(tables[table], protect), encode, protect), specs)
+        ready = apply_specs(_encoded(clean(tables[table], protect), encode, protect, max_values), specs)
         return feature_block(ready, key, size, numeric_columns(ready, protect), after)
 
     blocks = {
@@ -71,20 +74,20 @@ def flat_features(tables: Mapping[str, DataFrame], encode: str = "one_hot", stag
         "pos": block("POS_CASH_balance", sets.POINT_OF_SALE, "pos_rows", "mean"),
         "prev": block("previous_application", sets.PREVIOUS, "prev_rows", None),
         "inst": block("installments_payments", sets.INSTALMENTS, "inst_rows", None),
-        "bureau": _bureau_block(tables, encode, protect),
+        "bureau": _bureau_block(tables, encode, protect, max_values),
     }
     return assemble(base, blocks, key, [LOANS.label, PART], drop_parts=ID_PARTS, stage=stage)
 
 
-def _bureau_block(tables: Mapping[str, DataFrame], encode: str, protect: Sequence[str]) -> DataFrame:
+def _bureau_block(tables: Mapping[str, DataFrame], encode: str, protect: Sequence[str], max_values: int) -> DataFrame:
     bureau = clean(tables["bureau"], protect)
     active = flag_not_equal(F.col(sets.BUREAU_STATUS), sets.BUREAU_CLOSED)
     bureau = apply_specs(bureau.withColumn("credit_active", active), sets.BUREAU)
     if encode == "one_hot":
-        bureau = one_hot(bureau, fit_values(bureau, protect=protect), protect, numeric_fill=None)
+        bureau = one_hot(bureau, fit_values(bureau, protect=protect, max_values=max_values), protect, numeric_fill=None)
     else:
         bureau = drop_text(bureau, protect, numeric_fill=None)
-    monthly = _encoded(clean(tables["bureau_balance"], protect), encode, protect)
+    monthly = _encoded(clean(tables["bureau_balance"], protect), encode, protect, max_values)
     means = group_means(monthly, "SK_ID_BUREAU")
     joined = join_with_suffixes(bureau, means, ["SK_ID_BUREAU"], ("", "_balance"), "left")
     own = numeric_columns(bureau, protect)
@@ -92,7 +95,7 @@ def _bureau_block(tables: Mapping[str, DataFrame], encode: str, protect: Sequenc
     return feature_block(joined, LOANS.key, "bureau_rows", own, "zero", only_means=added)
 
 
-def two_level_features(tables: Mapping[str, DataFrame], functional: bool = False) -> DataFrame:
+def two_level_features(tables: Mapping[str, DataFrame], functional: bool = False, max_values: int = MAX_VALUES) -> DataFrame:
     """One-hot everywhere, statistics per loan, their row-weighted means per customer.
 
     ``functional`` tells that a loan belongs to one customer, which saves a
@@ -101,7 +104,7 @@ def two_level_features(tables: Mapping[str, DataFrame], functional: bool = False
     key, protect = LOANS.key, [*LOANS.protected, PART]
 
     def coded(df: DataFrame) -> DataFrame:
-        return one_hot(df, fit_values(df, protect=protect), protect)
+        return one_hot(df, fit_values(df, protect=protect, max_values=max_values), protect)
 
     bureau = expand_left(tables["bureau"], tables["bureau_balance"], "SK_ID_BUREAU", orphans=True)
     sources = {
@@ -136,12 +139,12 @@ def replayed_features(
     return folded.join(label_and_part, key, "left")
 
 
-def share_features(tables: Mapping[str, DataFrame]) -> DataFrame:
+def share_features(tables: Mapping[str, DataFrame], max_values: int = MAX_VALUES) -> DataFrame:
     """Category shares and means per customer of every table, left joined."""
     key = LOANS.key
 
     def reduced(df: DataFrame, by: str, drop: Sequence[str], suffix: str) -> DataFrame:
-        texts = fit_values(df, protect=[*LOANS.protected, PART])
+        texts = fit_values(df, protect=[*LOANS.protected, PART], max_values=max_values)
         # a missing cell is a value of its own
         values = {c: sorted({*v, ""}) for c, v in texts.items()}
         return category_share(df.drop(*drop), by, values, numeric_columns(df, LOANS.protected), f"{suffix}_rows")
@@ -205,16 +208,19 @@ def train_and_score(
     params: BoostingParams = SMALL_TREES,
     seed: int = 0,
     ordered: bool = False,
+    eligible: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Scores of the test rows, importances, and metrics on the hold-out.
 
+    ``eligible`` restricts the inputs to columns of these names.
+
     The hold-out is a hashed share of the customers, or with ``ordered`` those
     with the largest keys.
     """
     # training goes over the table many times
     train, test = finished_parts(stored(drop_text(wide, [PART], numeric_fill=None)), fill)
     key, label = LOANS.key, LOANS.label
-    inputs = numeric_columns(train, [key, label])
+    inputs = [c for c in numeric_columns(train, [key, label]) if eligible is None or c in set(eligible)]
     if ordered:
         flagged = with_ordered_hold_out(train, key, 1 - share)
     else:

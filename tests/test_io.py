@@ -135,3 +135,11 @@ def test_protected_columns():
 
     assert LOANS.protected == ("SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV", "TARGET")
     assert EntitySchema("k").protected == ("k",)
+
+
+def test_time_log(spark, tmp_path):
+    from entityloom.sources.metrics import scan_time_log
+
+    path = tmp_path / "time.tsv"
+    path.write_text("iter\tPassed\tRemaining\n0\t0.5\t500\n1\t1.25\t499.5\n")
+    assert [tuple(r) for r in scan_time_log(spark, str(path)).orderBy("iter").collect()] == [(0, 0.5, 500.0), (1, 1.25, 499.5)]

@@ -243,3 +243,19 @@ def test_union_and_apart_again(spark):
     assert sorted(map(tuple, both.collect())) == [(1, 0, "train"), (2, None, "test")]
     assert tuple(J.untag(both, "part", "test").first()) == (2, None)
     assert bag(J.in_keys(both, test, "k")) == bag(both.filter("k = 2"))
+
+
+def test_gathered_values_are_bounded_over_all_columns(spark, monkeypatch):
+    from entityloom.operators import quantile
+
+    gathered = []
+    plain = quantile._gathered
+    monkeypatch.setattr(quantile, "_gathered", lambda df, b: gathered.append(sum(x.inside for x in {y.span: y for y in b}.values())) or plain(df, b))
+    columns = [f"c{i}" for i in range(30)]
+    df = spark.range(2000).select(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(100_000)).alias(c) for i, c in enumerate(columns)]).cache()
+    got = quantile.order_statistics(df, {c: [500, 1999] for c in columns}, 300)
+    rows = df.collect()
+    for c in columns:
+        values = sorted(r[c] for r in rows)
+        assert got[c] == [values[500], values[1999]]
+    assert not gathered or max(gathered) <= 300
