@@ -100,10 +100,10 @@ def mixing_plan(
     shares = totals.filter("words > 0").withColumn("share", F.col("words") / F.lit(float(total or 1)))
     alpha = exponent(shares, max_repeats, target_entropy, budget / total if budget is not None and total else None)
     power = shares.select("source", "words", "rows", "share", F.pow("share", F.lit(alpha)).alias("power"))
-    sums = power.agg(F.sum("power").alias("z"), F.max("share").alias("top"))
-    weighed = power.crossJoin(F.broadcast(sums)).withColumn("weight", F.col("power") / F.col("z"))  # one row
+    z, top = power.agg(F.sum("power"), F.max("share")).first()
+    weighed = power.withColumn("weight", F.col("power") / F.lit(float(z or 1)))
     if budget is None:
-        exact = F.round(F.lit(float(total)) * F.pow("top", F.lit(1.0 - alpha)) * F.col("power")).cast("bigint")
+        exact = F.round(F.lit(float(total)) * F.lit(float(top or 1) ** (1.0 - alpha)) * F.col("power")).cast("bigint")
         target = F.greatest("words", exact)
     else:
         target = F.round(F.col("weight") * F.lit(float(budget))).cast("bigint")
