@@ -82,8 +82,3 @@ def as_text(c: Column, missing: str = "nan") -> Column:
 def as_number(c: Column) -> Column:
     """Number read from text; text that holds none gives missing."""
     return c.try_cast("double")
-
-
-def finite_or_null(c: Column) -> Column:
-    """The value where it is finite, missing for infinity and NaN (which sorts above infinity)."""
-    return F.when(F.abs(c) < INF, c)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.schema import is_numeric, is_text, quoted
+from entityloom.schema import is_numeric, quoted
 
 
 def keep(df: DataFrame, names: Sequence[str], strict: bool = True) -> DataFrame:
@@ -30,10 +30,6 @@ def drop_containing(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return drop_present(df, [c for c in df.columns if any(p in c for p in parts)])
 
 
-def only_text(df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
-    return df.select(*[F.col(quoted(f.name)) for f in df.schema if is_text(f.dataType) or f.name in also])
-
-
 def only_numeric(df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     return df.select(*[F.col(quoted(f.name)) for f in df.schema if is_numeric(f.dataType) or f.name in also])
 

@@ -61,11 +61,6 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
-def is_empty(df: DataFrame) -> bool:
-    """No rows or no columns."""
-    return not df.columns or df.isEmpty()
-
-
 def min_max_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns brought to [0, 1]; a constant column becomes 0."""
     ends = {f"{f}_{c}": f"{f}(CAST({quoted(c)} AS DOUBLE))" for c in columns for f in ("min", "max")}

@@ -25,7 +25,7 @@ from entityloom.plans import featuresets as sets
 from entityloom.plans.assemble import assemble, attach_blocks, split_parts, stack_parts
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_tables
 from entityloom.plans.scoring import SMALL_TREES, BoostingParams, auc, importance_table, log_loss, score, train_boosted
-from entityloom.schema import ChildTable, EntitySchema, numeric_columns, quoted, text_columns
+from entityloom.schema import ChildTable, EntitySchema, numeric_columns, text_columns
 from entityloom.session import stored
 
 LOANS = EntitySchema(
