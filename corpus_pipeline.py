@@ -67,7 +67,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The token ids of every document, and whether they decode to its text."""
     codec = Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rows = docs.select("doc_id", "lang", "source", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha"), "text")
-    decoded = codec.decode(codec.encode(rows, keep=("doc_id", "lang", "source", "sha")))
+    decoded = codec.round_trip(rows, keep=("doc_id", "lang", "source", "sha"))
     return decoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("sha")).alias("round_trip"),

@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.common import kept_with_text, map_batches, per_worker
 
-MAX_STATES = 200_000
+MAX_STATES = 150_000
 # Short pieces whose tokens are remembered; the memo is emptied when full.
-MEMO_PIECES = 250_000
+MEMO_PIECES = 150_000
 MEMO_LENGTH = 48
 _NEVER = 1 << 60
 _LOW = (1 << 32) - 1
@@ -292,6 +292,11 @@ class Decoder:
         return "".join(out)
 
 
+def _id_lists(packed: list[bytes]) -> pa.ListArray:
+    offsets = np.cumsum([0, *[len(x) // 4 for x in packed]], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32), pa.int32()))
+
+
 class Codec:
     """The two operators over one vocabulary.
 
@@ -318,16 +323,35 @@ class Codec:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             encoder = per_worker(f"encoder {key}", lambda: Encoder(*shared.value))
             texts = [encoder.packed(text.as_py() or "") for text in batch.column(1)]
-            offsets = np.cumsum([0, *[len(x) // 4 for x in texts]], dtype=np.int32)
-            flat = np.frombuffer(b"".join(texts), np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-            return pa.RecordBatch.from_arrays([batch.column(0), ids], ["kept", "ids"])
+            return pa.RecordBatch.from_arrays([batch.column(0), _id_lists(texts)], ["kept", "ids"])
 
         kept = rows.schema["kept"].dataType.simpleString()
         return map_batches(rows, run, f"kept {kept}, ids array<int>").select(
             *[F.col("kept")[c].alias(c) for c in keep], F.col("ids").alias(out)
         )
 
+    def round_trip(self, docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+        """``encode`` and ``decode`` of its ids in one pass: the ``keep`` columns, ``ids`` and ``decoded``.
+
+        One Python worker does both, where the two after each other take two.
+        """
+        shared, key = self._compiled, self._key
+        rows = kept_with_text(docs, keep, text_col)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            encoder = per_worker(f"encoder {key}", lambda: Encoder(*shared.value))
+            decoder = per_worker(f"decoder {key}", lambda: Decoder(shared.value[0]))
+            packed, decoded = [], []
+            for text in batch.column(1):
+                packed.append(encoder.packed(text.as_py() or ""))
+                decoded.append(decoder.decode(np.frombuffer(packed[-1], np.int32).tolist()))
+            return pa.RecordBatch.from_arrays([batch.column(0), _id_lists(packed), pa.array(decoded, pa.string())], ["kept", "ids", "decoded"])
+
+        kept = rows.schema["kept"].dataType.simpleString()
+        return map_batches(rows, run, f"kept {kept}, ids array<int>, decoded string").select(
+            *[F.col("kept")[c].alias(c) for c in keep], "ids", "decoded"
+        )
+
     def decode(self, rows: DataFrame, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
         """All columns and ``decoded``, the text of the ids; missing ids give an empty text."""
         shared, key = self._ranks, self._key

@@ -17,7 +17,10 @@ from entityloom.session import ensure_checkpoint_dir, stored
 __all__ = ["kept_with_text", "map_batches", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes", "text_or_empty"]
 
 # Bytes of text a Python worker holds as objects at once; longer texts come one by one.
-SLICE_BYTES = 8 * 1024 * 1024
+SLICE_BYTES = 4 * 1024 * 1024
+# Bytes of an Arrow batch on its way to a worker, where the session has no own setting.
+BATCH_BYTES = 8 * 1024 * 1024
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -52,7 +55,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``function`` on Arrow batches, none of which holds more than about ``SLICE_BYTES``."""
 
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_SETTING, "") == _BATCH_DEFAULT:
+        # texts of a batch are held by the JVM and by each worker at once; read when the plan runs
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -32,7 +32,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 @query
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    decoded = codec.decode(codec.encode(table(spark, sf_dir, "documents")))
+    decoded = codec.round_trip(table(spark, sf_dir, "documents"))
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

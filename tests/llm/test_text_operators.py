@@ -103,6 +103,8 @@ def test_round_trip_of_odd_rows(spark, odd_docs, no_docs, plain):
     for r in rows:
         assert r.tokens == plain.encode_ordinary(r.text or "") and r.again == (r.text or "")
     assert codec.decode(codec.encode(no_docs)).count() == 0
+    once = codec.round_trip(odd_docs, keep=("doc_id", "text")).collect()
+    assert sorted((str(r.text), r.ids, r.decoded) for r in once) == sorted((str(r.text), r.tokens, r.again) for r in rows)
 
 
 # -- licenses -------------------------------------------------------------------------------------------------------
