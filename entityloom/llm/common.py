@@ -57,7 +57,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
 
     spark = df.sparkSession
     ship_package(spark)
-    if spark.conf.get(_BATCH_SETTING, "") == _BATCH_DEFAULT:
+    if spark.conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
         # texts of a batch are held by the JVM and by each worker at once; read when the plan runs
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
