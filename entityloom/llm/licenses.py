@@ -47,7 +47,7 @@ GRANTS = [
     ("mpl-2.0", "mozilla", r"subject to the terms of the mozilla public license v ?2 0"),
     ("mpl-1.1", "mozilla", r"subject to the mozilla public license version 1 1"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("wtfpl", "wtfpl", r"do what the [a-z]+ you want to public license"),
+    ("wtfpl", "public", r"do what the [a-z]+ you want to public license"),
     ("zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
     ("bsl-1.0", "boost", r"boost software license version 1 0"),
     ("cc0-1.0", "dedicated", r"has dedicated the work to the public domain by waiving"),

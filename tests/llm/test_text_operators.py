@@ -146,6 +146,44 @@ def test_contained_detections_are_suppressed():
     assert kept("SPDX-License-Identifier: MIT") == ["mit"]
 
 
+def _samples(pattern):
+    """All texts of a rule's pattern, repeats taken as few and as many times as they may."""
+
+    def texts(parts):
+        out = [""]
+        for kind, value in parts:
+            kind = str(kind)
+            if kind == "LITERAL":
+                more = [chr(value)]
+            elif kind == "ANY":
+                more = ["x"]
+            elif kind == "IN":
+                more = [chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])]
+            elif kind == "BRANCH":
+                more = [t for part in value[1] for t in texts(part)]
+            elif kind == "SUBPATTERN":
+                more = texts(value[3])
+            else:
+                assert kind in ("MAX_REPEAT", "MIN_REPEAT"), kind
+                more = [t * n for n in {value[0], min(int(value[1]), 120)} for t in texts(value[2])]
+            out = [a + b for a in out for b in dict.fromkeys(more)]
+        return out
+
+    return texts(re._parser.parse(pattern))
+
+
+def test_every_rule_is_found_through_its_keyword():
+    rules = licenses.default_rules()
+    scanner = licenses.Scanner(rules)
+    for rule in rules:
+        samples = _samples(rule.pattern)
+        assert all(rule.keyword in s for s in samples), rule
+        for s in {samples[0], samples[-1], min(samples, key=len), max(samples, key=len)}:
+            assert rule.name in {d[3] for d in scanner.scan(s.encode())[1]}, (rule, s)
+    plain = "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\nVersion 2, December 2004\n0. You just DO WHAT THE FUCK YOU WANT TO."
+    assert "wtfpl" in {d[2] for d in scanner.scan(plain.encode())[1] if d[6]}
+
+
 def test_suppression_against_all_pairs():
     scanner = licenses.Scanner(licenses.default_rules())
     r = random.Random(2)
