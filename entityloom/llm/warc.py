@@ -32,6 +32,7 @@ MAGIC = b"\x1f\x8b\x08"
 RANGE_BYTES = 16 * 1024 * 1024
 FILE_BYTES = 1 << 30
 _BLOCK = 1 << 18
+# Inflated bytes that are looked at first; a longer header is read on.
 _HEADER_BYTES = 1 << 16
 # A hot payload's records are dealt to so many tasks before they meet its first record.
 _SALTS = 16
@@ -161,13 +162,26 @@ class _Member:
 
 
 def _start_of_record(file, start: int, size: int) -> tuple[_Member, bytes] | None:
-    """The member at a candidate place and the first bytes of it, if it begins with a WARC header."""
+    """The member at a candidate place and the first bytes of it, if it begins with a WARC header.
+
+    A header may have any length: what starts like one is read on until its
+    blank line or the end of the member.
+    """
     member = _Member(file, start, size)
     try:
-        head = member.read(_HEADER_BYTES)
+        head = bytearray(member.read(_HEADER_BYTES))
+        if not head.startswith(b"WARC/1."):
+            return None
+        searched = 0
+        while head.find(b"\r\n\r\n", searched) < 0:
+            searched = max(0, len(head) - 3)
+            more = member.read(_BLOCK)
+            if not more:
+                return None
+            head += more
     except zlib.error:
         return None
-    return (member, head) if head.startswith(b"WARC/1.") and b"\r\n\r\n" in head else None
+    return member, bytes(head)
 
 
 def _candidates(file, start: int, end: int, size: int) -> Iterator[int]:
@@ -259,7 +273,7 @@ def read_archive(files: DataFrame, range_bytes: int = RANGE_BYTES, with_payload:
                         if not with_payload:
                             row["payload"] = None
                         rows.append(row)
-                        held += len(record) if with_payload else 300
+                        held += len(record) if with_payload else 300 + len(row["target_uri"] or "")
                         if held > 8 << 20:
                             yield pa.RecordBatch.from_pylist(rows, _RECORD)
                             rows, held = [], 0

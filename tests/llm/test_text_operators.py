@@ -5,6 +5,7 @@ import io
 import random
 import re
 import zlib
+from urllib.parse import unquote
 
 import numpy as np
 import public_tokenizers
@@ -307,4 +308,17 @@ def test_archive_of_odd_pages(spark, tmp_path):
     assert empty.count() == 0 and warc.read_archive(empty).count() == 0
 
 
+def test_archive_of_very_long_urls(spark, tmp_path):
+    edge = warc._HEADER_BYTES
+    urls = ["u" * (edge - 600 + 7 * i) for i in range(100)] + ["http://a/" + "é" * 50_000, "漢" * 400_000, "v" * 3_000_000]
+    same = "<p>" + "same page " * 30
+    pages = [(i, u, same if i % 2 else f"page {i}") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    manifest = warc.write_archive(warc.mark_revisits(df.repartition(2)), f"file://{tmp_path}/w")
+    rows = warc.read_archive(manifest, range_bytes=5_000).collect()
+    assert len(rows) == manifest.agg({"records": "sum"}).first()[0] == len(pages)
+    assert {int(r.record_id): unquote(r.target_uri) for r in rows} == dict(enumerate(urls))
+    assert {int(r.record_id): r.payload_bytes for r in rows} == {i: len(h) for i, _, h in pages}
+
+
 LONG_PAGE = "<html>" + "".join(chr(33 + (i * i) % 90) for i in range(300_000))
