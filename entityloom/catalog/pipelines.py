@@ -213,13 +213,55 @@ def _means(columns: list[str], name: str) -> str:
 )
 def replay_all_tables(spark, folder):
     t = Tables(spark, folder)
+    # a base with text that lacks half of the entities
+    return _replayed(t, t.orders, t.customer.filter(HALF))
+
+
+def _replayed(t, orders, customers):
+    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
     children = {
-        "orders": t.orders.select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderstatus"),
+        "orders": orders.select(F.col("o_custkey").alias("c_custkey"), "o_totalprice", "o_orderstatus"),
         "events": t.events.select(F.col("user_id").alias("c_custkey"), "value", "event_type"),
         "lines": t.lineitem.select("l_orderkey", "l_quantity", "l_discount").transform(
-            lambda lines: attach_by_key(lines, _owner(t), ["l_orderkey"], "inner")
+            lambda lines: attach_by_key(lines, owner, ["l_orderkey"], "inner")
         ).drop("l_orderkey"),
     }
-    # a base with text that lacks half of the entities
-    base = t.customer.filter(HALF).select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
+    base = customers.select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment")
     return stable_columns(replay_tables(children, base, "c_custkey", TABLE_SPECS), *FOLDED)
+
+
+# the orders of some customers belong to entities that the customer table lacks, those of one to nobody
+OWNER = "CASE WHEN o_custkey <= 30 THEN -o_custkey ELSE nullif(o_custkey, 31) END"
+
+
+@query(
+    "replay_whole_tables",
+    f"""
+    WITH owned AS (SELECT * REPLACE ({OWNER} AS o_custkey) FROM orders),
+    o AS (
+      SELECT c_custkey, {_means(["o_totalprice", "o_orderstatus", "f_0_orders", "f_1_orders"], "orders")} FROM (
+        SELECT *, f_0_orders + o_orderstatus AS f_1_orders FROM (
+          SELECT o_custkey AS c_custkey, o_totalprice, dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS o_orderstatus,
+                 CASE WHEN coalesce(c_acctbal, 0) = 0 THEN o_totalprice ELSE o_totalprice / c_acctbal END AS f_0_orders
+          FROM owned LEFT JOIN customer ON c_custkey = o_custkey)) WHERE c_custkey IS NOT NULL GROUP BY c_custkey),
+    e AS (
+      SELECT c_custkey, {_means(["value", "event_type", "f_0_events"], "events")} FROM (
+        SELECT *, value * event_type AS f_0_events FROM (
+          SELECT user_id AS c_custkey, value, dense_rank() OVER (ORDER BY event_type) - 1 AS event_type FROM events))
+      WHERE c_custkey IS NOT NULL GROUP BY c_custkey),
+    l AS (
+      SELECT c_custkey, {_means(["l_quantity", "l_discount", "f_0_lines", "f_1_lines"], "lines")} FROM (
+        SELECT *, atan2(f_0_lines, c_nationkey) AS f_1_lines FROM (
+          SELECT o_custkey AS c_custkey, coalesce(c_nationkey, 0) AS c_nationkey, l_quantity, l_discount, l_quantity * l_discount AS f_0_lines
+          FROM lineitem JOIN owned ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey))
+      WHERE c_custkey IS NOT NULL GROUP BY c_custkey)
+    SELECT c_custkey, {", ".join(f"{st(f'coalesce({c}, 0)')} AS {c}" for c in FOLDED)}, coalesce(c_acctbal, 0) AS c_acctbal,
+           coalesce(c_nationkey, 0) AS c_nationkey, coalesce(segment, 0) AS c_mktsegment
+    FROM o FULL JOIN e USING (c_custkey) FULL JOIN l USING (c_custkey)
+         LEFT JOIN (SELECT *, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS segment FROM customer) USING (c_custkey)
+    """,
+)
+def replay_whole_tables(spark, folder):
+    """The whole customer table as base; child rows of unknown customers and of none."""
+    t = Tables(spark, folder)
+    return _replayed(t, t.orders.withColumn("o_custkey", F.expr(OWNER)), t.customer)

@@ -132,6 +132,28 @@ def rollup_general_orphans(spark, folder):
     return all_stable(R.rollup_general(lines, "l_orderkey", "o_custkey", "line", MEASURES, parents=parents))
 
 
+# lines of one order without a key, those of some others with a key that no order has
+LINE_OWNER = "CASE WHEN l_orderkey < 100 THEN -nullif(l_orderkey, 2) ELSE l_orderkey END"
+
+
+@query(
+    "rollup_general_unknown",
+    f"""
+    WITH lines AS (SELECT * REPLACE ({LINE_OWNER} AS l_orderkey) FROM lineitem)
+    SELECT n.l_orderkey, o_custkey, n_rows, {_output_sql("line")}
+    FROM (SELECT l_orderkey, count(*) AS n_rows FROM lines GROUP BY l_orderkey) n
+    LEFT JOIN (SELECT l_orderkey, {_stats_sql("line")} FROM lines WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey) s
+      ON s.l_orderkey = n.l_orderkey
+    LEFT JOIN orders ON o_orderkey = n.l_orderkey
+    """,
+)
+def rollup_general_unknown(spark, folder):
+    """Lines without an order key and of unknown orders, and all orders as parents."""
+    t = Tables(spark, folder)
+    lines = t.lineitem.withColumn("l_orderkey", F.expr(LINE_OWNER))
+    return all_stable(R.rollup_general(lines, "l_orderkey", "o_custkey", "line", MEASURES, parents=_parents(t)))
+
+
 @query(
     "rollup_general_shared",
     f"""
