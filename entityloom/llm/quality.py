@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityloom.llm.common import kept_with_text, map_batches, text_bytes, text_or_empty
@@ -242,6 +242,10 @@ def fit_quality(
     most ``fit_passages`` of each. Rows of ``labels`` without id or label are
     left out. Without any label, or with one class only, the model is that
     class's smoothed share.
+
+    Rows alike in id and text are one example. Different texts with one id are
+    examples of their own up to ``4 * max_labelled`` in all: the first text of
+    every chosen label, then the second ones, and so on, by the texts' hashes.
     """
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
@@ -251,7 +255,12 @@ def fit_quality(
         .limit(max_labelled)
     )
     # at most max_labelled rows of two numbers
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    met = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    hashed = met.withColumn("copy", F.sha2(F.col("text").cast("binary"), 256))
+    turn = F.row_number().over(Window.partitionBy("id", "label").orderBy("copy")).alias("turn")
+    examples = hashed.select("id", "label", "copy").distinct().select("*", turn)
+    taken = examples.orderBy("turn", F.xxhash64("id"), "id", "label").limit(4 * max_labelled).drop("turn")
+    rows = hashed.join(F.broadcast(taken), ["id", "label", "copy"]).dropDuplicates(["id", "label", "copy"]).select("id", "text", "label")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         features, bags = passages(text_bytes(batch.column("text")))
@@ -262,9 +271,8 @@ def fit_quality(
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(packed, pa.binary())], ["id", "label", "features"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    # rows repeated with one id stay: each is a labelled example
-    sample = map_batches(rows, run, f"id {id_type}, label double, features binary").limit(4 * max_labelled).toArrow()
-    order = sorted(range(sample.num_rows), key=lambda i: (sample["id"][i].as_py(), sample["features"][i].as_py()))
+    sample = map_batches(rows, run, f"id {id_type}, label double, features binary").toArrow()
+    order = sorted(range(sample.num_rows), key=lambda i: (sample["id"][i].as_py(), sample["features"][i].as_py(), sample["label"][i].as_py()))
     bags = [np.frombuffer(sample["features"][i].as_py(), np.float16).reshape(-1, N_FEATURES).astype(np.float64) for i in order]
     targets = np.array([float(sample["label"][i].as_py() >= 0.5) for i in order])
     return train(bags, targets)

@@ -256,6 +256,18 @@ def test_held_out_accuracy(spark):
     assert np.mean([r.predicted == 1 for r in rows if r.quality == 1]) > 0.98
 
 
+def test_copies_of_one_document_leave_all_labels(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda bags, labels: taken.append((len(bags), sorted(labels))))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:10]
+    labels = spark.createDataFrame([(i, int(i == ids[-1])) for i in ids], "doc_id long, quality int")
+    rows = [(ids[0], "the same text")] * 300 + [(i, f"text {i}") for i in ids]
+    many = [(ids[0], f"text {k} of one id") for k in range(300)] + [(i, f"text {i}") for i in ids]
+    for r in (rows, many):
+        quality.fit_quality(spark.createDataFrame(r, "doc_id long, text string").coalesce(1), labels, max_labelled=10)
+    assert taken == [(11, [0.0] * 10 + [1.0]), (40, [0.0] * 39 + [1.0])]
+
+
 def test_scores_of_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit_quality(odd_docs, none)
