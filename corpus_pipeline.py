@@ -20,8 +20,15 @@ from entityloom.llm.simhash_balls import near_groups, with_fingerprints
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose quality score is 0.7 or more; the model is learned from the labels of ``docs``."""
+    """The documents whose quality score is 0.7 or more; the model is learned from the labels of ``docs``.
+
+    Without a label of a bad document nothing tells which ones are bad, and all
+    documents stay. With labels of bad ones only, none stays.
+    """
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    # the smoothed share of no label is 0.5, that of good ones is above and that of bad ones below
+    if model.constant is not None and model.constant >= 0.5:
+        return docs
     scored = score_quality(docs, model, tuple(docs.columns), out="__score", predicted="__predicted")
     return scored.filter("__predicted = 1").select(*docs.columns)
 

@@ -1,5 +1,7 @@
 """The registered queries and the pipeline."""
 
+import zlib
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -52,3 +54,11 @@ def test_stages_take_odd_rows(spark, odd_docs, no_docs, tmp_path):
     assert [r for r in lines if r.doc_id == 5] == [] and [r.n_chars for r in lines if r.doc_id == 9] == [len(LONG + " end")]
     kept = corpus_pipeline.drop_near_copies(spark, odd_docs, str(tmp_path)).collect()
     assert sum(r.doc_id == 0 for r in kept) == 1 and sum(not (r.text or "").split() for r in kept) == 1
+
+
+def test_quality_keeps_all_without_bad_labels(spark, odd_docs, tmp_path):
+    cases = {"none": ([], True), "good": ([(1, 1)], True), "held": ([(i, 0) for i in range(16) if zlib.crc32(str(i).encode()) % 4 == 2], True), "bad": ([(1, 0)], False)}
+    for name, (labels, stay) in cases.items():
+        spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        out = corpus_pipeline.keep_quality(spark, odd_docs, f"{tmp_path}/{name}")
+        assert out.columns == odd_docs.columns and out.count() == (odd_docs.count() if stay else 0), name
