@@ -10,6 +10,7 @@ from entityloom.operators.clean import clean
 from entityloom.operators.columns import drop_containing
 from entityloom.operators.joins import union_tagged, untag
 from entityloom.operators.rollup import group_means
+from entityloom.schema import text_columns
 from entityloom.session import stored
 
 
@@ -42,15 +43,21 @@ def assemble(
 ) -> DataFrame:
     """Blocks attached, the result cleaned again, id columns dropped.
 
-    ``one_row`` averages entities that ``base`` lists twice; text then falls
-    away. ``stage`` stores the joined table before it is cleaned: the column
+    ``one_row`` averages entities that ``base`` lists twice; protected text
+    (the part) tells rows apart, other text falls away. ``stage`` stores the joined table before it is cleaned: the column
     means need a second look at it, and child tables are best read once.
     """
     wide = drop_containing(attach_blocks(base, blocks, key), drop_parts)
     if stage:
         wide = stored(wide)
     cleaned = clean(wide, protect=[key, *protect], impute=impute)
-    return group_means(cleaned, key) if one_row else cleaned
+    return averaged(cleaned, key, protect) if one_row else cleaned
+
+
+def averaged(df: DataFrame, key: str, protect: Sequence[str] = ()) -> DataFrame:
+    """One row per entity, and per value of protected text columns: the means of all numbers, a protected label included."""
+    texts = set(text_columns(df, []))
+    return group_means(df, [key, *[c for c in protect if c in texts]])
 
 
 def stack_parts(train: DataFrame, test: DataFrame, tag: str = "part") -> DataFrame:

@@ -22,7 +22,7 @@ from entityloom.operators.rollup import category_share, feature_block, group_mea
 from entityloom.operators.skew import expand_left
 from entityloom.operators.split import HOLD_OUT, hash_bucket, with_hold_out, with_ordered_hold_out
 from entityloom.plans import featuresets as sets
-from entityloom.plans.assemble import assemble, attach_blocks, split_parts, stack_parts
+from entityloom.plans.assemble import assemble, attach_blocks, averaged, split_parts, stack_parts
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_tables
 from entityloom.plans.scoring import SMALL_TREES, BoostingParams, auc, importance_table, log_loss, score, train_boosted
 from entityloom.schema import ChildTable, EntitySchema, numeric_columns, text_columns
@@ -59,8 +59,14 @@ def _applications(tables: Mapping[str, DataFrame]) -> DataFrame:
     return stack_parts(tables["application_train"], tables["application_test"], PART)
 
 
-def flat_features(tables: Mapping[str, DataFrame], encode: str = "one_hot", stage: bool = False, max_values: int = MAX_VALUES) -> DataFrame:
-    """Ratios on every table, one block of means and extremes per child, one wide cleaned table."""
+def flat_features(
+    tables: Mapping[str, DataFrame], encode: str = "one_hot", stage: bool = False, max_values: int = MAX_VALUES, one_row: bool = False
+) -> DataFrame:
+    """Ratios on every table, one block of means and extremes per child, one wide cleaned table.
+
+    ``one_row`` averages a customer whom a part of the applications lists
+    twice, the label too.
+    """
     key, protect = LOANS.key, [*LOANS.protected, PART]
     base = apply_specs(clean(_applications(tables), protect), sets.APPLICATION)
     base = _encoded(base, encode, protect, max_values)
@@ -76,7 +82,7 @@ def flat_features(tables: Mapping[str, DataFrame], encode: str = "one_hot", stag
         "inst": block("installments_payments", sets.INSTALMENTS, "inst_rows", None),
         "bureau": _bureau_block(tables, encode, protect, max_values),
     }
-    return assemble(base, blocks, key, [LOANS.label, PART], drop_parts=ID_PARTS, stage=stage)
+    return assemble(base, blocks, key, [LOANS.label, PART], one_row=one_row, drop_parts=ID_PARTS, stage=stage)
 
 
 def _bureau_block(tables: Mapping[str, DataFrame], encode: str, protect: Sequence[str], max_values: int) -> DataFrame:
@@ -95,11 +101,14 @@ def _bureau_block(tables: Mapping[str, DataFrame], encode: str, protect: Sequenc
     return feature_block(joined, LOANS.key, "bureau_rows", own, "zero", only_means=added)
 
 
-def two_level_features(tables: Mapping[str, DataFrame], functional: bool = False, max_values: int = MAX_VALUES) -> DataFrame:
+def two_level_features(
+    tables: Mapping[str, DataFrame], functional: bool = False, max_values: int = MAX_VALUES, one_row: bool = False
+) -> DataFrame:
     """One-hot everywhere, statistics per loan, their row-weighted means per customer.
 
     ``functional`` tells that a loan belongs to one customer, which saves a
-    shuffle and a join per table.
+    shuffle and a join per table. ``one_row`` averages a customer whom a part
+    of the applications lists twice, the label too.
     """
     key, protect = LOANS.key, [*LOANS.protected, PART]
 
@@ -117,7 +126,8 @@ def two_level_features(tables: Mapping[str, DataFrame], functional: bool = False
     blocks = {
         name: rollup_two_level(coded(df), loan, key, name, functional=functional) for name, (df, loan) in sources.items()
     }
-    return attach_blocks(coded(_applications(tables)), blocks, key)
+    wide = attach_blocks(coded(_applications(tables)), blocks, key)
+    return averaged(wide, key, [LOANS.label, PART]) if one_row else wide
 
 
 def replayed_features(

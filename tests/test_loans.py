@@ -138,6 +138,18 @@ def test_two_level_features(tables, functional):
             assert list(result.dropna().index) == list(expected.dropna().index)
 
 
+@pytest.mark.parametrize("plan", [loans.flat_features, loans.two_level_features])
+def test_customers_listed_twice_become_one_row(tables, plan):
+    train = tables["application_train"]
+    again = train.filter("SK_ID_CURR < 8").withColumn("AMT_CREDIT", F.lit(9.0))
+    twice = {**tables, "application_train": train.unionByName(again)}
+    many, once = to_pandas(plan(twice)), to_pandas(plan(twice, one_row=True))
+    assert not many["SK_ID_CURR"].is_unique and once["SK_ID_CURR"].is_unique and set(once.columns) == set(many.columns)
+    means = many.groupby(["SK_ID_CURR", loans.PART])["AMT_CREDIT"].mean()
+    got = once.set_index(["SK_ID_CURR", loans.PART])["AMT_CREDIT"]
+    assert len(got) == len(means) and ((got - means).abs().fillna(0) < 1e-9).all()
+
+
 def test_replayed_features(tables):
     specs = {
         "df_cc": [
