@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from entityloom.session import ensure_checkpoint_dir, stored
 
-__all__ = ["kept_with_text", "map_batches", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes", "text_or_empty"]
+__all__ = ["kept_with_text", "map_batches", "map_slices", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes", "text_or_empty"]
 
 # Bytes of text a Python worker holds as objects at once; longer texts come one by one.
 SLICE_BYTES = 4 * 1024 * 1024
@@ -52,8 +52,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``function`` on Arrow batches, none of which holds more than about ``SLICE_BYTES``."""
+def map_slices(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``function`` on the Arrow batches of a task, none of which holds more than about ``SLICE_BYTES``."""
 
     spark = df.sparkSession
     ship_package(spark)
@@ -61,15 +61,20 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
         # texts of a batch are held by the JVM and by each worker at once; read when the plan runs
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             step = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, SLICE_BYTES))
             for start in range(0, batch.num_rows, step):
-                yield function(batch.slice(start, step))
+                yield batch.slice(start, step)
+
+    return df.mapInArrow(lambda batches: function(slices(batches)), schema)
 
-    return df.mapInArrow(run, schema)
+
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``function`` on every slice that ``map_slices`` makes, alone."""
+    return map_slices(df, lambda batches: map(function, batches), schema)
 
 
 _MADE: dict[str, object] = {}

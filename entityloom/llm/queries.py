@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.llm.bpe import Codec
+from entityloom.llm.collocations import collocations
 from entityloom.llm.common import shared_folder, stored, table
 from entityloom.llm.embedding_dedup import near_vectors
 from entityloom.llm.fingerprints import as_hex, count_near, edited_fingerprints
 from entityloom.llm.licenses import license_summary, scan_licenses
 from entityloom.llm.line_dedup import without_repeated_lines
 from entityloom.llm.mixing import mixing_plan, with_copies, word_count
+from entityloom.llm.page_text import main_text
 from entityloom.llm.quality import fit_quality, held_out, score_quality
+from entityloom.llm.ranked_search import search
 from entityloom.llm.simhash_balls import near_groups, with_fingerprints
 from entityloom.llm.token_counts import count_tokens
 from entityloom.llm.warc import mark_revisits, read_archive, write_archive
@@ -188,3 +191,61 @@ reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, l.y FROM reac
 SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.x = v.vec_id)::BIGINT AS n_links, m.component_id, v.vec_id = m.component_id AS kept
 FROM v JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) m ON m.x = v.vec_id
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), longest=3, min_count=10, top=2000)
+
+
+SQL["op11_collocations"] = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+lists AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^ \\x09]+') AS w FROM pieces),
+places AS (SELECT p, lang, unnest(range(len(w))) AS i, unnest(w) AS w1 FROM lists),
+totals AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+runs AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM places WINDOW o AS (PARTITION BY p ORDER BY i)),
+phrases AS MATERIALIZED (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*)::HUGEINT AS f FROM runs GROUP BY ALL HAVING count(*) >= 10
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 AS phrase, count(*)::HUGEINT FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 AS phrase, count(*)::HUGEINT FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+split AS (SELECT *, string_split(phrase, ' ') AS w FROM phrases),
+halves AS (SELECT lang, phrase, f AS a, 1 AS cut, w[1] AS first, array_to_string(w[2:], ' ') AS rest FROM split WHERE k > 1
+           UNION ALL SELECT lang, phrase, f, 2, array_to_string(w[:2], ' '), w[3] FROM split WHERE k > 2),
+cuts AS (SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, (1000000 * c.a * c.a) // (l.f * r.f) AS score
+         FROM halves c JOIN phrases l ON l.lang = c.lang AND l.phrase = c.first JOIN phrases r ON r.lang = c.lang AND r.phrase = c.rest),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, first AS phrase, a FROM halves WHERE cut = 2
+           UNION ALL SELECT lang, rest, a FROM halves WHERE cut = 1 AND contains(rest, ' ')) GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+           FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.most IS NULL OR 100 * i.most < 50 * b.a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10).drop("q")
+
+
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+SQL["op13_ranked_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_TERMS} AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms FROM benchmark),
+asked AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+stats AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS words FROM docs WHERE len(terms) > 0),
+counted AS (SELECT d, term, count(*)::BIGINT AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counted, stats GROUP BY term, docs),
+sized AS (SELECT d, doc_id, (25 + (75 * len(terms)::BIGINT * docs) // words)::BIGINT AS m FROM docs, stats WHERE len(terms) > 0),
+scores AS (SELECT a.q, a.item_id, s.d, s.doc_id, sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * s.m)))::BIGINT AS score
+           FROM asked a JOIN weights w USING (term) JOIN counted c USING (term) JOIN sized s ON s.d = c.d GROUP BY ALL)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY q ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10
+"""
