@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.common import kept_with_text, map_batches, per_worker
 
-MAX_STATES = 150_000
-# Short pieces whose tokens are remembered; the memo is emptied when full.
-MEMO_PIECES = 150_000
+MAX_STATES = 300_000
+# Short pieces whose tokens are remembered, at most twice as many: when full, what was not asked for since the last time goes.
+MEMO_PIECES = 200_000
 MEMO_LENGTH = 48
 _NEVER = 1 << 60
 _LOW = (1 << 32) - 1
@@ -58,6 +58,17 @@ def _merge(piece: bytes, ranks: dict[bytes, int], below: int = _NEVER) -> list[b
     return parts
 
 
+def merging_parts(ranks: dict[bytes, int]) -> tuple[set[bytes], set[bytes]]:
+    """The tokens that some merge takes as its left part, and as its right part."""
+    lefts, rights = set(), set()
+    for token in ranks:
+        for cut in range(1, len(token)):
+            if token[:cut] in ranks and token[cut:] in ranks:
+                lefts.add(token[:cut])
+                rights.add(token[cut:])
+    return lefts, rights
+
+
 def compile_ranks(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes]]:
     """The last merge of each token that merging can reach."""
     last = {}
@@ -99,12 +110,12 @@ class Transducer:
         self._length = {rank: len(token) for token, rank in ranks.items()}
         self._child: dict[int, int] = {}
         self._token, self._depth = [-1], [0]
-        self._parents: set[int] = set()
+        parents: set[int] = set()
         for token, rank in ranks.items():
             if len(token) == 1 or token in last:
                 node = 0
                 for byte in token:
-                    self._parents.add(node)
+                    parents.add(node)
                     node = self._child.setdefault(node << 8 | byte, len(self._token))
                     if node == len(self._token):
                         self._token.append(-1)
@@ -112,6 +123,10 @@ class Transducer:
                 self._token[node] = rank
         for key, node in self._child.items():
             self._depth[node] = self._depth[key >> 8] + 1
+        self._parent = bytearray(len(self._token))
+        for node in parents:
+            self._parent[node] = 1
+        self._merging = merging_parts(ranks)
         self._chains: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
         self._compatible: dict[int, bool] = {}
         self._forget()
@@ -122,12 +137,13 @@ class Transducer:
         self._states: dict[tuple[int, ...], _State] = {self._root.walks: self._root}
 
     def _chain(self, token: int, side: int) -> list[tuple[bytes, int]]:
-        """The symbols at one border of a token, outermost merge first, each with the merge that ends it."""
+        """The symbols at one border of a token that can merge across it, outermost first, each with the merge that ends it."""
         chain = self._chains.get((token, side))
         if chain is None:
-            chain, until, symbol = [], _NEVER, self._bytes[token]
+            chain, until, symbol, merging = [], _NEVER, self._bytes[token], self._merging[1 - side]
             while True:
-                chain.append((symbol, until))
+                if symbol in merging:
+                    chain.append((symbol, until))
                 if symbol not in self._last:
                     break
                 until, symbol = self._ranks[symbol], self._last[symbol][side]
@@ -139,14 +155,18 @@ class Transducer:
         key = left << 32 | right
         known = self._compatible.get(key)
         if known is None:
-            if len(self._compatible) > self._max_states:
+            if len(self._compatible) > 4 * self._max_states:
                 self._compatible.clear()
             known = self._compatible[key] = self._borders_hold(left, right)
         return known
 
     def _borders_hold(self, left: int, right: int) -> bool:
-        rank_of, b = self._ranks.get, self._chain(right, 0)
-        for x, x_until in self._chain(left, 1):
+        # the right border of the left token against the left border of the right one
+        a, b = self._chain(left, 1), self._chain(right, 0)
+        if not a or not b:
+            return True
+        rank_of = self._ranks.get
+        for x, x_until in a:
             for y, y_until in b:
                 rank = rank_of(x + y)
                 # at equal rank the leftmost pair merges first
@@ -157,17 +177,23 @@ class Transducer:
     def after(self, walks: tuple[int, ...], byte: int) -> _State:
         """The state after one more byte."""
         alive, written = [], -1
+        child, tokens, parent, known = self._child, self._token, self._parent, self._compatible
         for walk in walks:
-            node = self._child.get(walk >> 32 << 8 | byte, -1)
-            if node < 0:
+            node = child.get(walk >> 32 << 8 | byte)
+            if node is None:
                 continue
             before = walk & _LOW
-            if node in self._parents:
+            if parent[node]:
                 alive.append(node << 32 | before)
-            token = self._token[node]
+            token = tokens[node]
             # exactly one walk ends in a token that may follow the one before it
-            if written < 0 <= token and (before == 0 or self.compatible(before - 1, token)):
-                written = token
+            if written < 0 <= token:
+                if before == 0:
+                    written = token
+                else:
+                    fits = known.get(before - 1 << 32 | token)
+                    if fits or fits is None and self.compatible(before - 1, token):
+                        written = token
         if written < 0:
             raise ValueError("the ranks are no order of merges over all bytes")
         alive.append(written + 1)
@@ -199,6 +225,11 @@ class Transducer:
             agreed = max(shared, default=0)
             out += self._back(path, agreed)
             del path[:agreed]
+            if len(self._states) > self._max_states:
+                # go on from the same walks among new states
+                walks, written = path[-1].walks, path[-1].written
+                self._forget()
+                path[-1] = self._states.setdefault(walks, _State(self, walks, written))
         return out + self._back(path, len(path) - 1)
 
     def _back(self, path: list[_State], place: int) -> list[int]:
@@ -217,12 +248,15 @@ class _Memo(dict):
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self._transducer = transducer
+        self._transducer, self._before = transducer, {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = array("i", self._transducer.encode(piece.encode())).tobytes()
+        packed = self._before.get(piece)
+        if packed is None:
+            packed = array("i", self._transducer.encode(piece.encode())).tobytes()
         if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO_PIECES:
+                self._before = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
