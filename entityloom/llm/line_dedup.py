@@ -10,9 +10,14 @@ order among classes is never needed, and so nothing is sorted. Level k + 1
 joins the classes at a place and ``2^k`` lines further; places whose run occurs
 once drop out, and the levels end where no run is repeated.
 
-A run of ``2^k`` lines with ``min_words`` words or more whose class has an
-earlier first place is deleted. Overlapping runs add up to the maximal repeated
-runs; a longer repeated run is always covered by two of half its length or more.
+The longest run at a place that occurs earlier, too, has from ``2^k`` to less
+than ``2^(k+1)`` lines for the largest k with an earlier copy. Its first and its
+last ``2^k`` lines are runs of level k that occur earlier; where both have
+``min_words`` words they cover it. For all other places (short or empty lines)
+the interval is refined: ``longest_runs`` halves the range of its length, from
+``2^(k-1)`` lines down to one, by the classes of those levels. So every maximal
+repeated run of ``min_words`` words or more loses its later copies, whatever its
+number of lines.
 
 Lines are compared by 128 bits of hash. Only hashes are moved until the end,
 where the runs to delete meet the texts.
@@ -29,20 +34,74 @@ from entityloom.operators.ordering import number_rows
 MIN_WORDS = 3
 # A place is the number of the document and, in the lower bits, of the line.
 _LINE_BITS = 27
-# The places of a hot line or run are dealt to so many tasks before they meet its first place.
-_SALTS = 16
+# A class of so many places is hot, or one with this share of them: at most 10,000 classes are.
+_HOT, _HOT_SHARE = 200_000, 10_000
 
 
 def _words(line: Column) -> Column:
     return F.size(F.array_remove(F.split(line, r"[ \t\n\x0B\f\r]+"), ""))
 
 
+def _meet(rows: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with their class; ``classes`` are stored, one row for each key, with their size ``n``.
+
+    The few hot classes are broadcast to their rows; all others are joined by an exchange.
+    """
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = classes.filter(F.col("n") >= max(_HOT, total // _HOT_SHARE))
+    if not hot.take(1):
+        return rows.join(classes.drop("n"), keys)
+    named = [c for c in classes.columns if c not in (*keys, "n")]
+    marked = rows.join(F.broadcast(hot.select(*keys, F.struct(*named).alias("__hot"))), keys, "left")
+    cold = marked.filter("__hot IS NULL").drop("__hot").join(classes.drop("n"), keys)
+    return cold.unionByName(marked.filter("__hot IS NOT NULL").select(*rows.columns, *[F.col("__hot")[c].alias(c) for c in named]))
+
+
 def _of_class(places: DataFrame, keys: list[str]) -> DataFrame:
     """``g, c, w``: each place whose keys occur again, with the first place of them."""
-    classes = stored(places.groupBy(*keys).agg(F.min("g").alias("c"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    salted = classes.select("*", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    mine = places.withColumn("salt", F.pmod(F.xxhash64("g"), F.lit(_SALTS)).cast("int"))
-    return stored(mine.join(salted, [*keys, "salt"]).select("g", "c", "w"))
+    classes = stored(places.groupBy(*keys).agg(F.min("g").alias("c"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return stored(_meet(places, classes, keys).select("g", "c", "w"))
+
+
+def longest_runs(levels: list[DataFrame], min_words: int) -> DataFrame | None:
+    """``g, n``: the longest runs that occur earlier, for places whose runs of a power of two may not cover them.
+
+    A row is a place ``g`` in the class ``c`` of its ``n`` lines, ``mine`` where ``n`` is
+    the longest length known to occur earlier than ``g``; the others answer for them.
+    """
+    earlier = [x.filter("c < g") for x in levels]
+    rows = None
+    for k in range(1, len(levels)):
+        asked = earlier[k]
+        if k + 1 < len(levels):
+            asked = asked.join(earlier[k + 1].select("g"), "g", "left_anti")
+        # the line behind; where it has no earlier copy the run ends
+        behind = earlier[0].select((F.col("g") - (1 << k)).alias("g"), F.col("w").alias("v"))
+        asked = stored(asked.join(behind, "g").filter((F.col("w") < min_words) | (F.col("v") < min_words)).select("g", "c"))
+        if asked.take(1):
+            classes = asked.groupBy("c").agg(F.lit(True).alias("asked"))
+            members = levels[k].join(classes, "c").drop("asked").join(asked.select("g", F.lit(True).alias("m")), "g", "left")
+            members = members.select("g", F.lit(1 << k).cast("bigint").alias("n"), "c", "w", F.col("m").isNotNull().alias("mine"))
+            rows = members if rows is None else rows.union(members)
+    if rows is None:
+        return None
+    rows = stored(rows)
+    for j in range(len(levels) - 2, -1, -1):
+        # each row's next 2^j lines, where they are repeated at all
+        further = levels[j].select(F.col("g").alias("h"), F.col("c").alias("y"), F.col("w").alias("v"))
+        longer = rows.filter(F.col("n") >= 2 << j).withColumn("h", F.col("g") + F.col("n")).join(further, "h")
+        longer = longer.select("g", "n", "c", "y", (F.col("w") + F.col("v")).alias("w"), "mine")
+        found = longer.groupBy("n", "c", "y").agg(F.min("g").alias("f"), F.max(F.when(F.col("mine"), F.col("g"))).alias("last"), F.count(F.lit(1)).alias("__n"))
+        # only where a place that asks has an earlier copy
+        found = stored(found.filter("last > f").select("n", "c", "y", "f", "__n").withColumnsRenamed({"n": "length", "__n": "n"}))
+        if not found.take(1):
+            continue
+        grown = _meet(longer.withColumnRenamed("n", "length"), found, ["length", "c", "y"])
+        grown = stored(grown.select("g", (F.col("length") + (1 << j)).alias("n"), F.col("f").alias("c"), "w", (F.col("mine") & (F.col("f") < F.col("g"))).alias("mine")))
+        moved = grown.filter("mine").select("g", F.lit(True).alias("moved"))
+        stay = rows.join(moved, "g", "left").withColumn("mine", F.col("mine") & F.col("moved").isNull()).drop("moved")
+        rows = stored(stay.union(grown.select(*stay.columns)))
+    return rows.filter(F.col("mine") & (F.col("w") >= min_words)).select("g", "n")
 
 
 def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -51,12 +110,16 @@ def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``a`` and ``b`` identify the line, ``w`` is its number of words.
     """
     level, length = _of_class(lines, ["a", "b"]), 1
-    found = []
+    levels, found = [], []
     while level.take(1):
+        levels.append(level)
         found.append(level.filter((F.col("c") < F.col("g")) & (F.col("w") >= min_words)).select("g", F.lit(length).cast("bigint").alias("n")))
         further = level.select((F.col("g") - length).alias("g"), F.col("c").alias("y"), F.col("w").alias("v"))
         pairs = level.join(further, "g").select("g", F.col("c").alias("x"), "y", (F.col("w") + F.col("v")).alias("w"))
         level, length = _of_class(pairs, ["x", "y"]), 2 * length
+    refined = longest_runs(levels, min_words)
+    if refined is not None:
+        found.append(refined)
     runs = lines.select("g", F.lit(1).cast("bigint").alias("n")).limit(0)
     for f in found:
         runs = runs.union(f)

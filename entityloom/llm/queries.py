@@ -156,22 +156,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "dedup.n_lines", "dedup.n_removed", F.sha2(F.coalesce("dedup.text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
-# windows of 1, 2, 4 ... 4096 lines; a longer one cannot repeat unless its halves do, and adds nothing below that length
-_WINDOWS = " UNION ALL ".join(
-    f"""SELECT doc_id, pos, {n} AS n, win FROM (SELECT doc_id, pos, last_pos, sum(words) OVER w AS words, string_agg(h, '') OVER w AS win FROM lines
-        WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)) WHERE pos + {n - 1} <= last_pos AND words >= 3"""
-    for n in (1 << k for k in range(13))
-)
-SQL["op5_line_dedup"] = f"""
-WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-lines AS (SELECT doc_id, unnest(range(len(ls))) AS pos, len(ls) - 1 AS last_pos, unnest(ls) AS line,
-          md5(unnest(ls)) AS h, len(regexp_extract_all(unnest(ls), '[^ \\t\\n\\x0B\\f\\r]+')) AS words FROM split),
-windows AS ({_WINDOWS}),
-later AS (SELECT doc_id, pos, n FROM windows QUALIFY row_number() OVER (PARTITION BY n, win ORDER BY doc_id, pos) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM later)
+# runs of every length, one line longer with each step, for as long as any is repeated
+SQL["op5_line_dedup"] = """
+WITH RECURSIVE split AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS d, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, d, unnest(range(len(ls))) AS pos, unnest(ls) AS line, md5(unnest(ls)) AS h,
+                 len(regexp_extract_all(unnest(ls), '[^ \\t\\n\\x0B\\f\\r]+')) AS words FROM split),
+runs AS (
+  SELECT 1 AS n, d, pos, words, min(d * 1000000000 + pos) OVER same AS first FROM lines WINDOW same AS (PARTITION BY h) QUALIFY count(*) OVER same > 1
+  UNION ALL
+  SELECT r.n + 1, r.d, r.pos, r.words + l.words, min(r.d * 1000000000 + r.pos) OVER same FROM runs r JOIN lines l ON l.d = r.d AND l.pos = r.pos + r.n
+  WINDOW same AS (PARTITION BY r.first, l.h) QUALIFY count(*) OVER same > 1),
+later AS (SELECT d, pos, max(n) AS n FROM runs WHERE first < d * 1000000000 + pos AND words >= 3 GROUP BY d, pos),
+gone AS (SELECT DISTINCT d, unnest(range(pos, pos + n)) AS pos FROM later)
 SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.pos)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '')) AS text_sha256
-FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id
+FROM lines l LEFT JOIN gone g ON l.d = g.d AND l.pos = g.pos GROUP BY l.d, l.doc_id
 """
 
 

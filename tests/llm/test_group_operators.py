@@ -197,11 +197,10 @@ def test_vectors_against_all_pairs(spark, monkeypatch, block):
 
 
 def _runs(docs, min_words):
-    """Deleted lines by looking at every run of every power of two."""
+    """Deleted lines by looking at every run of every length."""
     order = sorted(docs, key=lambda d: (d[0] is None, d[0] or 0))
     gone = {i: set() for i, _ in order}
-    n = 1
-    while n < 2048:
+    for n in range(1, 1 + max(len((t or "").split("\n")) for _, t in order)):
         seen = set()
         for i, text in order:
             lines = (text or "").split("\n")
@@ -211,7 +210,6 @@ def _runs(docs, min_words):
                 if run in seen and words >= min_words:
                     gone[i] |= set(range(p, p + n))
                 seen.add(run)
-        n *= 2
     return {i: ("\n".join(x for p, x in enumerate((t or "").split("\n")) if p not in gone[i]), len(gone[i])) for i, t in order}
 
 
@@ -226,6 +224,25 @@ def test_line_runs_against_all_windows(spark, min_words):
     assert {x.doc_id: ((x.dedup.text or ""), x.dedup.n_removed) for x in rows} == _runs(docs, min_words)
 
 
+def test_maximal_runs_of_short_lines(spark):
+    docs = [(i, f"own {i} start of it\nalpha\nbeta\ngamma\nown {i} end of it") for i in range(3)]
+    docs += [(10, "a\n\n\nb\n\n\nc x\n" * 3 + "q"), (11, "z\n\nb\n\n\nc x\n\nd"), (12, "one two three\n\n\nk"), (13, "one two three\n\n\nl")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {x.doc_id: (x.dedup.text, x.dedup.n_removed) for x in line_dedup.without_repeated_lines(df).collect()}
+    assert rows == _runs(docs, 3)
+    assert rows[1] == ("own 1 start of it\nown 1 end of it", 3) and rows[0][1] == 0 and rows[13] == ("l", 3)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hot_lines_meet_their_class_by_broadcast(spark, monkeypatch, seed):
+    monkeypatch.setattr(line_dedup, "_HOT", 5)
+    monkeypatch.setattr(line_dedup, "_HOT_SHARE", 1 << 60)
+    r = random.Random(seed)
+    docs = [(i, "\n".join(r.choice(["", "a", "b c", "", f"u{i}{j}"]) for j in range(r.randrange(1, 24)))) for i in range(30)]
+    rows = line_dedup.without_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {x.doc_id: ((x.dedup.text or ""), x.dedup.n_removed) for x in rows} == _runs(docs, 3)
+
+
 def test_line_runs_of_odd_rows(odd_docs, no_docs):
     rows = line_dedup.without_repeated_lines(odd_docs, out="dedup").collect()
     assert len(rows) == odd_docs.count()
