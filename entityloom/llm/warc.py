@@ -34,8 +34,6 @@ FILE_BYTES = 1 << 30
 _BLOCK = 1 << 18
 # Inflated bytes that are looked at first; a longer header is read on.
 _HEADER_BYTES = 1 << 16
-# A hot payload's records are dealt to so many tasks before they meet its first record.
-_SALTS = 16
 _URN = "urn:x-record:"
 
 
@@ -72,11 +70,9 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         "digest", F.sha2("payload", 256)
     )
     long = rows.filter(F.octet_length("payload") >= least_bytes)
-    firsts = stored(
-        long.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    )  # stored, so that adaptive execution can split what meets a hot digest
-    salted = firsts.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    joined = rows.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(_SALTS)).cast("int")).join(salted, ["digest", "salt"], "left")
+    found = stored(long.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # both sides come from storage, so adaptive execution can split what meets a hot digest
+    joined = rows.join(found.select("digest", "first"), "digest", "left")
     same = F.col("id").eqNullSafe(F.col("first")) | (F.octet_length("payload") < least_bytes)
     return joined.select("id", "url", "payload", "digest", F.when(~same, F.col("first")).alias("refers_to"))
 
@@ -136,6 +132,7 @@ class _Member:
     def __init__(self, file, start: int, size: int):
         self._file, self._place, self._size = file, start, size
         self._inflate = zlib.decompressobj(31)
+        self.truncated = False
 
     def read(self, least: int | None) -> bytes:
         """At least ``least`` bytes more, or all to the end of the member (also if fewer are left)."""
@@ -151,7 +148,8 @@ class _Member:
                 rest = self._inflate.unused_data
             self._place += len(data) - len(rest)
             if not data and not part and not self._inflate.eof:
-                raise zlib.error("the file ends inside a member")
+                self.truncated = True  # the file ends inside the member
+                break
             parts.append(part)
             got += len(part)
         return b"".join(parts)
@@ -199,8 +197,8 @@ def _candidates(file, start: int, end: int, size: int) -> Iterator[int]:
         place += len(data) - len(MAGIC) + 1
 
 
-def records_of_range(file, start: int, end: int, size: int) -> Iterator[bytes]:
-    """The inflated records that start in ``[start, end)``."""
+def records_of_range(file, start: int, end: int, size: int) -> Iterator[tuple[bytes, bool]]:
+    """The inflated records that start in ``[start, end)``, and whether the file ends or breaks inside them."""
     place = start
     while place < end:
         found = None
@@ -211,21 +209,53 @@ def records_of_range(file, start: int, end: int, size: int) -> Iterator[bytes]:
         if not found:
             return
         member, head = found
-        yield head + member.read(None)
-        place = member.end
+        try:
+            record = head + member.read(None)
+        except zlib.error:
+            # broken data: what was read first stands, and the next record is searched behind its beginning
+            yield head, True
+            place = candidate + len(MAGIC)
+            continue
+        yield record, member.truncated
+        place = max(member.end, candidate + len(MAGIC))
+
+
+def _text(raw: bytes) -> str:
+    """Header text: UTF-8, or else one character for each byte."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
+def _number(raw: bytes | str | None) -> int | None:
+    raw = raw.strip() if raw else raw
+    return int(raw) if raw and raw.isdigit() else None
 
 
-def parse_record(record: bytes) -> dict:
-    """The fields of one record; the digest is that of the payload if the record holds it."""
+def parse_record(record: bytes, truncated: bool = False) -> dict:
+    """The fields of one record; the digest is that of the payload if the record holds it.
+
+    The payload is the body of an HTTP message where the content type is
+    ``application/http``, and the whole block otherwise. A length that is missing
+    or no number counts as that of the bytes there are. Names of headers are
+    compared without case, and of repeated ones the last counts.
+    """
     head, _, rest = record.partition(b"\r\n\r\n")
     fields = {}
     for line in head.split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
-        fields[name.strip().lower().decode()] = value.strip().decode()
-    block = rest[: int(fields.get("content-length", 0))]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = next((int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
-    of_urn = lambda x: unquote(x.strip("<>").removeprefix(_URN)[1:]) if x and "=" in x else None
+        fields[_text(name.strip().lower())] = _text(value.strip())
+    length = _number(fields.get("content-length"))
+    block = rest if length is None else rest[:length]
+    is_http = fields.get("content-type", "").lower().replace(" ", "").startswith("application/http")
+    declared_length = None
+    if is_http:
+        http, _, payload = block.partition(b"\r\n\r\n")
+        declared_length = next((_number(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
+    else:
+        payload = block
+    of_urn = lambda x: unquote(x.strip("<>").removeprefix(_URN)[1:]) if x and x.strip("<>").startswith(_URN) and "=" in x else x.strip("<>") if x and not x.strip("<>").startswith(_URN) else None
     revisit = fields.get("warc-type") == "revisit"
     declared = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
     return {
@@ -233,20 +263,22 @@ def parse_record(record: bytes) -> dict:
         "record_type": fields.get("warc-type"),
         "target_uri": fields.get("warc-target-uri"),
         "payload": None if revisit else payload,
-        "payload_bytes": length if revisit or length is None else len(payload),
+        "payload_bytes": declared_length if revisit else len(payload),
         "payload_digest": declared if revisit else hashlib.sha256(payload).hexdigest(),
         "declared_digest": declared,
         "refers_to": of_urn(fields.get("warc-refers-to")),
+        "truncated": truncated or length is not None and len(rest) < length,
     }
 
 
 _RECORD = pa.schema(
     [("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("payload", pa.binary()),
-     ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("declared_digest", pa.string()), ("refers_to", pa.string())]
-)
+     ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("declared_digest", pa.string()), ("refers_to", pa.string()),
+     ("truncated", pa.bool_())]
+)
 _RECORD_SQL = (
     "record_id string, record_type string, target_uri string, payload binary, payload_bytes bigint, payload_digest string, "
-    "declared_digest string, refers_to string"
+    "declared_digest string, refers_to string, truncated boolean"
 )
 
 
@@ -256,11 +288,16 @@ def read_archive(files: DataFrame, range_bytes: int = RANGE_BYTES, with_payload:
     Every byte range of every file is a task's work of its own, so one large
     file is read by many tasks. ``with_payload=False`` leaves the payload out
     after its digest and length are taken. Files of 0 bytes give no rows;
-    bytes between members that are no record are passed over.
+    bytes between members that are no record are passed over. A record whose
+    header is whole, but not what follows, is a row with ``truncated``, its
+    digest and length those of the bytes there are; what ends inside its header
+    is no record. Records of any type and content are rows, see ``parse_record``.
     """
     ship_package(files.sparkSession)
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint")))
-    ranges = files.filter("bytes > 0").select("path", "bytes", starts.alias("start")).repartition("path", "start")
+    ranges = stored(files.filter("bytes > 0").select("path", "bytes", starts.alias("start")))
+    # ranges are tiny rows but much work: a task for each, where a number that is not named would be coalesced by bytes
+    ranges = ranges.repartition(max(1, ranges.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,8 +305,8 @@ def read_archive(files: DataFrame, range_bytes: int = RANGE_BYTES, with_payload:
                 store, place = _store(path)
                 rows, held = [], 0
                 with store.open_input_file(place) as file:
-                    for record in records_of_range(file, start, min(start + range_bytes, size), size):
-                        row = parse_record(record)
+                    for record, truncated in records_of_range(file, start, min(start + range_bytes, size), size):
+                        row = parse_record(record, truncated)
                         if not with_payload:
                             row["payload"] = None
                         rows.append(row)

@@ -293,7 +293,7 @@ def test_ranges_of_any_size_find_each_record_once(size):
     digests = [hashlib.sha256(p).hexdigest() for p in payloads]
     data = b"".join(warc.record_bytes(str(i), "http://x/é y\r\nz", p, d, i % 5 == 4, "3") for i, (p, d) in enumerate(zip(payloads, digests)))
     data = data[:0] + b"\x1f\x8b\x08 no member \x1f\x8b" + data
-    found = [warc.parse_record(x) for s in range(0, len(data), size) for x in warc.records_of_range(io.BytesIO(data), s, min(s + size, len(data)), len(data))]
+    found = [warc.parse_record(*x) for s in range(0, len(data), size) for x in warc.records_of_range(io.BytesIO(data), s, min(s + size, len(data)), len(data))]
     assert [f["record_id"] for f in found] == [str(i) for i in range(40)]
     assert [(f["payload_digest"], f["payload_bytes"]) for f in found] == [(d, len(p)) for d, p in zip(digests, payloads)]
     assert all((f["payload"] is None) == (f["record_type"] == "revisit") for f in found)
@@ -333,4 +333,35 @@ def test_archive_of_very_long_urls(spark, tmp_path):
     assert {int(r.record_id): r.payload_bytes for r in rows} == {i: len(h) for i, _, h in pages}
 
 
+def _gzip(data):
+    squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return squeeze.compress(data) + squeeze.flush()
+
+
+def test_foreign_truncated_and_odd_records(spark, tmp_path):
+    head = lambda kind, n, more="": f"WARC/1.0\r\nwarc-type: {kind}\r\nContent-Length: {n}\r\n{more}\r\n".encode()
+    bodies = {"warcinfo": b"software: x\r\n\r\nmore", "metadata": b"a: b\r\n\r\nc", "resource": b"\xff\xfe\x00raw", "request": b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"}
+    data = b"".join(_gzip(head(k, len(b)) + b + b"\r\n\r\n") for k, b in bodies.items())
+    data += _gzip(b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: http://\xe9/\r\nContent-Length: none\r\n\r\nabc")
+    whole = _gzip(head("resource", 200_000) + random.Random(1).randbytes(200_000) + b"\r\n\r\n")
+    short = _gzip(head("resource", 400) + random.Random(2).randbytes(400) + b"\r\n\r\n")
+    for name, last in {"long": whole, "short": short}.items():
+        (tmp_path / f"{name}.warc.gz").write_bytes(data + last[: len(last) - 100])
+    for range_bytes in (1 << 24, 150):
+        rows = warc.read_archive(warc.archive_files(spark, f"file://{tmp_path}"), range_bytes=range_bytes).collect()
+        assert len(rows) == 12 and sum(r.truncated for r in rows) == 2
+        got = {r.record_type: bytes(r.payload) for r in rows if not r.truncated and r.target_uri is None}
+        assert got == bodies
+        assert {bytes(r.payload) for r in rows if r.target_uri == "http://é/"} == {b"abc"}
+        assert all(r.payload_digest == hashlib.sha256(bytes(r.payload)).hexdigest() for r in rows)
+
+
+def test_a_reading_task_for_each_range(spark, tmp_path):
+    df = spark.range(60).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 400) AS html")
+    manifest = warc.write_archive(warc.mark_revisits(df.coalesce(1)), f"file://{tmp_path}/w")
+    size = manifest.first()["bytes"]
+    rows = warc.read_archive(manifest, range_bytes=size // 7 + 1)
+    assert rows.count() == 60 and rows.rdd.getNumPartitions() == 7
+
+
 LONG_PAGE = "<html>" + "".join(chr(33 + (i * i) % 90) for i in range(300_000))
