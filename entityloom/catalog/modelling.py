@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from entityloom.catalog.base import Tables, all_stable, query, st, stable_columns
 from entityloom.catalog.pipelines import customer_table
 from entityloom.operators.split import hash_bucket, with_hold_out
+from entityloom.plans import boosting as B
 from entityloom.plans import scoring as M
 from entityloom.plans.search import explore
 from entityloom.schema import numeric_columns
@@ -84,6 +85,81 @@ def _trained(spark, folder):
     return flagged, inputs, M.train_boosted(flagged, inputs, "target", TREES, "is_validation")
 
 
+ROUND_SCORES = ["l_discount", "l_discount + l_tax", "l_discount + l_tax + l_quantity / 100"]
+_RETURNED = "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END"
+
+
+@query(
+    "auc_rounds",
+    " UNION ALL ".join(
+        f"SELECT {i} AS round, * FROM ({_auc_sql(f'SELECT {_RETURNED} AS target, {p} AS p FROM lineitem')})" for i, p in enumerate(ROUND_SCORES)
+    ),
+)
+def auc_rounds(spark, folder):
+    """The AUC of every prefix of a sum of scores, as boosting looks at its rounds."""
+    lines = Tables(spark, folder).lineitem
+    scored = lines.select(F.expr(_RETURNED).alias("target"), F.array(*[F.expr(p) for p in ROUND_SCORES]).alias("scores"))
+    return stable_columns(B.auc_by_round(scored, "scores", "target"), "auc")
+
+
+# borders between the bins of the screened columns, and the columns as SQL
+SCREEN_BORDERS = {
+    "quantity": [10.0, 20.0, 30.0, 40.0],
+    "price": [10_000.0, 20_000.0, 40_000.0, 60_000.0],
+    "discount": [0.015, 0.035, 0.055, 0.085],
+    "late": [0.0, 20.0, 40.0, 80.0],
+}
+SCREEN_COLUMNS = {
+    "quantity": "l_quantity",
+    "price": "l_extendedprice",
+    "discount": "nullif(l_discount, 0)",
+    "late": "CAST(year(l_shipdate) * 12 + month(l_shipdate) - 23900 AS DOUBLE)",
+}
+SCREEN_PARAMS = B.LeafParams(min_rows=5)
+
+
+def _gain(low: str, g: str = "sum(p - y)", h: str = "sum(p * (1 - p))") -> str:
+    term = lambda where: f"coalesce(pow({g} FILTER (WHERE {where}), 2) / ({h} FILTER (WHERE {where})), 0)"
+    return (
+        f"CASE WHEN least(count(*) FILTER (WHERE {low}), count(*) FILTER (WHERE NOT ({low}))) >= 5 "
+        f"THEN {term(low)} + {term(f'NOT ({low})')} - pow({g}, 2) / {h} ELSE 0 END"
+    )
+
+
+_SCREENED = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {_gain(f'coalesce({c} <= {b}, {missing})')} AS gain FROM rows"
+    for c, borders in SCREEN_BORDERS.items()
+    for b in ("-1e300", *borders, "1e300")
+    for missing in ("false", "true")
+)
+
+
+@query(
+    "screen_candidates",
+    f"""
+    WITH lines AS (SELECT {", ".join(f"{e} AS {c}" for c, e in SCREEN_COLUMNS.items())}, CAST({_RETURNED} AS DOUBLE) AS y FROM lineitem),
+    rows AS (SELECT *, (SELECT avg(y) FROM lines) AS p FROM lines)
+    SELECT "column", {st("round(greatest(max(gain), 0), 4)")} AS gain FROM ({_SCREENED}) GROUP BY ALL
+    """,
+)
+def screen_candidates(spark, folder):
+    """The gain of each column's own best split of returned lines, missing values on the better side."""
+    lines = Tables(spark, folder).lineitem
+    rows = lines.select(*[F.expr(e).alias(c) for c, e in SCREEN_COLUMNS.items()], F.expr(_RETURNED).alias("y"))
+    found = B.screened(rows, list(SCREEN_COLUMNS), "y", params=SCREEN_PARAMS, borders=SCREEN_BORDERS)
+    return stable_columns(found.withColumn("gain", F.round("gain", 4)), "gain")
+
+
+@query("leafwise_score")
+def leafwise_score(spark, folder):
+    """Scores of leaf-wise trees on the wide customer table, stopped by the AUC of the hold-out."""
+    wide = customer_table(spark, folder).drop("c_acctbal", "o_totalprice_over_c_acctbal")
+    flagged = stored(with_hold_out(wide, hash_bucket(["c_custkey"], 1000), 0.10, buckets=1000))
+    inputs = numeric_columns(wide, ["c_custkey", "target"])
+    params = B.SEARCH_LEAVES.with_(num_leaves=15, min_rows=20, max_rounds=6, block=3)
+    return B.score_leafwise(B.train_leafwise(flagged, inputs, "target", params, "is_validation"), flagged, "c_custkey")
+
+
 @query("gbt_score")
 def gbt_score(spark, folder):
     wide, inputs, model = _trained(spark, folder)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark import SparkContext
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -66,9 +67,8 @@ def train_boosted(
     round that does not improve, so it never gets the flag: the model is fitted
     without the hold-out, its loss there is taken after every round, and while
     the best round is among the last ``patience`` ones, twice as many rounds
-    are fitted. Equal seeds and rows give equal first rounds, so the last fit
-    of exactly the best number of rounds is a prefix of the one judged. Without
-    a hold-out all ``max_iter`` rounds are kept.
+    are fitted. The model is then cut to the best round, without another fit.
+    Without a hold-out all ``max_iter`` rounds are kept.
     """
     ensure_checkpoint_dir(df.sparkSession)
     keep = [F.col(label).cast("double").alias("label")]
@@ -105,7 +105,25 @@ def train_boosted(
         if rounds - best >= params.patience or rounds >= params.max_iter:
             break
         rounds = min(2 * rounds, params.max_iter)
-    return model if best == len(losses) else trainer.setMaxIter(best).fit(learned)
+    return first_rounds(model, best)
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first trees only; nothing is fitted."""
+    if rounds >= model.getNumTrees:
+        return model
+    whole = model._java_obj
+    jvm = SparkContext._active_spark_context._jvm
+    gateway = SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    all_trees, all_weights = whole.trees(), whole.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    kind = jvm.org.apache.spark.ml.classification.GBTClassificationModel
+    cut = kind(whole.uid(), trees, weights, whole.numFeatures(), whole.numClasses())
+    whole.copyValues(cut, whole.extractParamMap())
+    return GBTClassificationModel(cut)
 
 
 def score(

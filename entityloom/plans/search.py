@@ -13,6 +13,7 @@ from entityloom.functions.registry import SEARCH_FUNCTIONS
 from entityloom.operators.clean import clean
 from entityloom.operators.skew import expand_left
 from entityloom.operators.split import HOLD_OUT, hash_bucket, with_hold_out
+from entityloom.plans.boosting import LeafParams, screened
 from entityloom.plans.replay import FeatureSpec, apply_specs, prepare
 from entityloom.plans.scoring import SEARCH_TREES, BoostingParams, rank_features
 from entityloom.schema import quoted
@@ -87,10 +88,16 @@ def explore(
     prepared: bool = False,
     fit_rows: int = FIT_ROWS,
     hold_out: float = HOLD_OUT,
+    judge: str = "model",
 ) -> SearchResult:
     """Propose, fit, keep what ranks in the top n; later features may build on kept ones.
 
-    A round fits one model for all of its candidates (``per_round=1`` gives
+    With ``judge="gain"`` no model is fitted: every candidate is judged alone, by
+    the gain of its own best split (``boosting.screened``, one aggregation for the
+    round), and kept if fewer than ``top_n`` of the round's inputs have a larger one.
+    So alike candidates do not hide each other, whatever their number.
+
+    Else a round fits one model for all of its candidates (``per_round=1`` gives
     every candidate a model of its own). It goes on until ``target`` features
     are kept; if all combinations were tried before, or ``max_rounds`` are
     over, it raises ``SearchIncomplete`` with what it has. Models are fitted on
@@ -99,6 +106,8 @@ def explore(
     them, so a round writes nothing. The kept features are computed for the
     whole table at the end, in one projection.
     """
+    if judge not in ("model", "gain"):
+        raise ValueError("candidates are judged by model or by gain")
     rng = random.Random(seed)
     table = stored(_finite(df if prepared else prepare(df, key, label), key, label))
     labelled = table.filter(F.col(quoted(label)).isNotNull())
@@ -115,11 +124,17 @@ def explore(
             reason = "all combinations are tried" if not candidates else f"{round_} rounds are over"
             break
         tried = _finite(apply_specs(sample, [*result.specs, *candidates]), key, label)
-        flagged = with_hold_out(tried, hash_bucket([key], 1000, seed), hold_out, HELD, buckets=1000)
-        features = [*inputs, *[c.name for c in candidates]]
-        ranked = rank_features(flagged, features, label, params, HELD)
-        importances = {r["column"]: r["importance"] for r in ranked.collect()}  # one row per feature
-        best = set(top_features(importances, top_n))
+        proposed = [c.name for c in candidates]
+        if judge == "gain":
+            leaves = LeafParams(min_rows=params.min_instances, positive_weight=params.positive_weight)
+            found = screened(tried, [*inputs, *proposed], label, params=leaves)
+            importances = {r["column"]: r["gain"] for r in found.collect()}  # one row per feature
+            best = {c for c in proposed if importances[c] > 0 and sum(importances[i] > importances[c] for i in inputs) < top_n}
+        else:
+            flagged = with_hold_out(tried, hash_bucket([key], 1000, seed), hold_out, HELD, buckets=1000)
+            ranked = rank_features(flagged, [*inputs, *proposed], label, params, HELD)
+            importances = {r["column"]: r["importance"] for r in ranked.collect()}  # one row per feature
+            best = set(top_features(importances, top_n))
         kept: list[FeatureSpec] = []
         for c in candidates:
             accepted = c.name in best and len(result.specs) + len(kept) < target

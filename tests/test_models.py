@@ -40,6 +40,24 @@ def test_training_is_reproducible_and_sound(separable):
     assert M.log_loss(judged, "score", "y").first()["logloss"] < 0.69
 
 
+def test_the_first_rounds_are_a_model_without_another_fit(separable):
+    whole = M.train_boosted(separable, ["a", "b"], "y", TREES)
+    cut = M.first_rounds(whole, 2)
+    assert whole.getNumTrees == 5 and cut.getNumTrees == 2 and M.first_rounds(whole, 9) is whole
+    fitted = M.train_boosted(separable, ["a", "b"], "y", TREES.with_(max_iter=2))
+    rows = M.score(cut, separable, ["a", "b"], "id").join(M.score(fitted, separable, ["a", "b"], "id").withColumnRenamed("score", "other"), "id")
+    assert rows.filter("abs(score - other) > 1e-12").count() == 0 and rows.count() == 600
+
+
+def test_search_by_gain_keeps_alike_candidates(separable):
+    found = explore(separable.drop("held"), "id", "y", "t", target=3, top_n=3, per_round=30, params=TREES, judge="gain")
+    assert len(found.specs) == 3 and found.table.count() == 600
+    gains = {name: gain for _, name, _, gain, accepted in found.history if accepted}
+    assert all(g > 0 for g in gains.values())
+    with pytest.raises(ValueError):
+        explore(separable, "id", "y", "t", judge="other")
+
+
 def test_unlabelled_rows_do_not_train(separable):
     half = separable.withColumn("y", F.when(F.col("id") < 300, F.col("y")))
     model = M.train_boosted(half, ["a", "b"], "y", TREES)
