@@ -9,7 +9,7 @@ carries what the markup says of it: it stands in an element that frames pages
 
 **Pairs.** Pages are numbered in the order of host and URL path. The neighbours
 on both sides, ``NEAR`` each, are looked at from the longest common beginning of
-the path on; the first of the same host that is no copy of the page is its
+the path on; the first of the same host that has lines and is no copy of the page is its
 partner. The lines of both are aligned by a longest common subsequence, and the
 shared lines go. Only hashes of lines are moved for that.
 
@@ -301,6 +301,8 @@ def _shared_with_partner(mine: tuple, others: list[tuple]) -> list[int]:
     total = sum(sizes)
     ranked = sorted((o for o in others if o[0] == host), key=lambda o: -_common_beginning(path, o[1]))
     for _, _, theirs, _ in ranked:
+        if not theirs:
+            continue
         found = common_lines(lines, theirs)
         if sum(sizes[i] for i in found) < COPY_SHARE * total:
             return found

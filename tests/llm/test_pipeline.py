@@ -13,11 +13,11 @@ from tests.llm.conftest import LONG, SF
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries()) and set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["op3_source_mix", "op7_fingerprints"])
+@pytest.mark.parametrize("name", ["op3_source_mix", "op5_line_dedup", "op7_fingerprints"])
 def test_native_plans_hold_no_python(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
