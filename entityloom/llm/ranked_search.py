@@ -70,15 +70,19 @@ def impact(tf, norm):
     return SCALE * tf // (TF_FACTOR * tf + LENGTH_FACTOR * norm)
 
 
-def _coordinate(term: bytes) -> int:
-    return crc32(term) % WIDTH
+def _coordinate(term: bytes, width: int) -> int:
+    return crc32(term) % width
 
 
 class _Coordinates(dict):
+    def __init__(self, width: int):
+        super().__init__()
+        self._width = width
+
     def __missing__(self, term: bytes) -> int:
         if len(self) > 500_000:
             self.clear()
-        self[term] = found = _coordinate(term)
+        self[term] = found = _coordinate(term, self._width)
         return found
 
 
@@ -87,7 +91,7 @@ def row_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col), text_or_empty(text_col))
 
 
-def sketch_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", watched: tuple[bytes, ...] = ()) -> DataFrame:
+def sketch_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", watched: tuple[bytes, ...] = (), width: int = WIDTH) -> DataFrame:
     """``key, n, at, most, holds``: the sketch of every row.
 
     ``n`` is the number of words, ``at`` and ``most`` are the coordinates in use
@@ -97,8 +101,8 @@ def sketch_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(watched)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, numbers = _Coordinates(), shared.value
-        cells = np.zeros(WIDTH, np.int64)
+        places, numbers = _Coordinates(width), shared.value
+        cells = np.zeros(width, np.int64)
         for batch in batches:
             ns, ats, mosts, holds = [], [], [], []
             for text in text_bytes(batch.column("text")):
@@ -122,11 +126,11 @@ def sketch_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class _Batch:
     """The queries of a batch as numbers: for each its words (with repeats counted) and their weights."""
 
-    def __init__(self, queries: list[tuple[int, list[int], list[int]]], terms: list[bytes], documents: int, n_terms: int):
+    def __init__(self, queries: list[tuple[int, list[int], list[int]]], terms: list[bytes], documents: int, n_terms: int, width: int):
         self.queries, self.terms, self.documents, self.n_terms = queries, terms, documents, n_terms
         self.places = {t: i for i, t in enumerate(terms)}
-        self.coordinate = np.array([_coordinate(t) for t in terms], np.int64)
-        self.row_of = np.full(WIDTH, -1, np.int64)
+        self.coordinate = np.array([_coordinate(t, width) for t in terms], np.int64)
+        self.row_of = np.full(width, -1, np.int64)
         used = np.unique(self.coordinate)
         self.row_of[used] = np.arange(len(used))
         self.rows = len(used)
@@ -238,6 +242,7 @@ def search(
     item_text: str = "text",
     batch_queries: int = BATCH_QUERIES,
     first_round: int = FIRST_ROUND,
+    width: int = WIDTH,
 ) -> DataFrame:
     """The ``k`` rows of ``docs`` with the highest score above 0 for every row of ``queries``.
 
@@ -249,6 +254,8 @@ def search(
     answered in batches of ``batch_queries``, one pass over the texts and two over
     the sketches each; the words of a batch are all that goes to the driver.
     """
+    if not 0 < width <= 1 << 16:
+        raise ValueError("coordinates are stored as 16-bit numbers")
     spark = docs.sparkSession
     numbered, total = _query_batches(queries, item_id, item_text)
     answers = []
@@ -257,7 +264,7 @@ def search(
         words = {r["q"]: Counter(terms_of(r["text"].encode())) for r in texts}
         terms = sorted({t for w in words.values() for t in w})
         if terms:
-            answers.append(_answer(spark, docs, words, terms, k, doc_id, doc_text, first_round))
+            answers.append(_answer(spark, docs, words, terms, k, doc_id, doc_text, first_round, width))
     id_type, item_type = docs.schema[doc_id].dataType.simpleString(), queries.schema[item_id].dataType.simpleString()
     if not answers:
         return spark.createDataFrame([], f"q bigint, `{item_id}` {item_type}, rank int, `{doc_id}` {id_type}, score bigint")
@@ -269,9 +276,9 @@ def search(
     )
 
 
-def _answer(spark: SparkSession, docs: DataFrame, words: dict[int, Counter], terms: list[bytes], k: int, doc_id: str, doc_text: str, first_round: int) -> DataFrame:
+def _answer(spark: SparkSession, docs: DataFrame, words: dict[int, Counter], terms: list[bytes], k: int, doc_id: str, doc_text: str, first_round: int, width: int) -> DataFrame:
     """``q, id, score, rank`` of one batch of queries."""
-    index = stored(sketch_index(docs, doc_id, doc_text, tuple(terms)))
+    index = stored(sketch_index(docs, doc_id, doc_text, tuple(terms), width))
     documents, n_terms = index.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     holding = [0] * len(terms)
     for r in index.select(F.explode("holds").alias("t")).groupBy("t").count().toLocalIterator():  # one row for each word of the batch
@@ -284,7 +291,7 @@ def _answer(spark: SparkSession, docs: DataFrame, words: dict[int, Counter], ter
         useful = [t for t in tf if holding[place[t]] and of_term[place[t]]]
         if useful:
             asked.append((number, [place[t] for t in useful], [tf[t] * of_term[place[t]] for t in useful]))
-    shared = spark.sparkContext.broadcast(_Batch(asked, terms, documents, max(n_terms, 1)))
+    shared = spark.sparkContext.broadcast(_Batch(asked, terms, documents, max(n_terms, 1), width))
     firsts = _best(docs, _candidates(index, shared, {}, first_round), shared, doc_id, doc_text, k)
     # the score of the k-th is a floor for all that follow; with fewer, every score above 0 counts
     floors = {r["q"]: r["score"] for r in firsts.filter(F.col("rank") == k).select("q", "score").toLocalIterator()}

@@ -143,15 +143,15 @@ def _plain_search(docs, items, k):
 
 
 @pytest.mark.parametrize("width, first, batch", [(1 << 14, 32, 512), (4, 1, 3)])
-def test_search_against_scoring_all(spark, monkeypatch, odd_docs, no_docs, width, first, batch):
-    monkeypatch.setattr(ranked_search, "WIDTH", width)  # four coordinates: bounds of little use, the same answer
+def test_search_against_scoring_all(spark, odd_docs, no_docs, width, first, batch):
+    # four coordinates: bounds of little use, the same answer
     r = random.Random(8)
     words = ["Alpha", "beta", "naïve", "漢字", "x1", "_", "w3", "w4", "words", "one"]
     more = [(100 + i, " ".join(r.choice(words) for _ in range(r.randrange(1, 12)))) for i in range(40)]
     docs = odd_docs.select("doc_id", "text", *CLASHES).unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     items = [(1, "alpha BETA beta"), (2, "w3 w4 one"), (3, None), (4, "-- !"), (5, "unknownword"), (None, "naïve 漢字"), (1, "alpha BETA beta")]
     queries = spark.createDataFrame([(*i, 0) for i in items], "item_id long, text string, rank int")
-    rows = ranked_search.search(docs, queries, k=5, first_round=first, batch_queries=batch).collect()
+    rows = ranked_search.search(docs, queries, k=5, first_round=first, batch_queries=batch, width=width).collect()
     plain = [(x.doc_id, x.text) for x in docs.select("doc_id", "text").collect()]
     assert Counter((x.item_id, x["rank"], x.doc_id, x.score) for x in rows) == _plain_search(plain, items, 5)
     if first == 32:
