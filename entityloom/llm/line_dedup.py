@@ -47,10 +47,11 @@ def _meet(rows: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
 
     The few hot classes are broadcast to their rows; all others are joined by an exchange.
     """
-    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = classes.filter(F.col("n") >= max(_HOT, total // _HOT_SHARE))
-    if not hot.take(1):
+    total, largest = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    limit = max(_HOT, total // _HOT_SHARE)
+    if largest < limit:
         return rows.join(classes.drop("n"), keys)
+    hot = classes.filter(F.col("n") >= limit)
     named = [c for c in classes.columns if c not in (*keys, "n")]
     marked = rows.join(F.broadcast(hot.select(*keys, F.struct(*named).alias("__hot"))), keys, "left")
     cold = marked.filter("__hot IS NULL").drop("__hot").join(classes.drop("n"), keys)
