@@ -59,13 +59,33 @@ def test_collocations_against_counting_all(spark, monkeypatch, small, no_docs):
 
 def test_two_phrases_with_one_hash_stay_apart():
     import numpy as np
+    import pyarrow as pa
 
     held = collocations._Phrases()
-    texts = [b"a b", b"c d", b"a b", b"e f"]
+
+    def texts_at(*texts):
+        return pa.array(texts, pa.large_string()).take
+
+    def told(others):
+        return [(t, n) for texts, counts in others for t, n in zip(texts.to_pylist(), counts.tolist())]
+
     key = np.array([7, 7, 7, 9], np.uint64)
-    assert held.add(key, np.array([1, 2, 1, 3], np.uint64), texts.__getitem__) == [b"c d"]
-    assert held.add(key[:2], np.array([2, 2], np.uint64), [b"c d", b"c d"].__getitem__) == [b"c d", b"c d"]
-    assert list(zip(held.texts, held.counts.tolist())) == [(b"a b", 2), (b"e f", 1)]
+    others = held.add(key, np.array([1, 2, 1, 3], np.uint64), lambda i: texts_at("a b", "c d", "a b", "e f")(pa.array(i)))
+    assert told(others) == [("c d", 1)]
+    others = held.add(key[:2], np.array([2, 2], np.uint64), lambda i: texts_at("c d", "c d")(pa.array(i)))
+    assert told(others) == [("c d", 2)]
+    held.add(np.array([8], np.uint64), np.array([5], np.uint64), lambda i: texts_at("g h")(pa.array(i)))
+    texts, counts = held.all()
+    assert list(zip(texts.to_pylist(), counts.tolist())) == [("a b", 2), ("e f", 1), ("g h", 1)]
+
+
+def test_words_of_many_texts_are_those_of_each():
+    texts = ["", "  ", "A b,c\x0cd", "É\u00a0x\u2003y \x1cq", "a.b\t.", "\n", "z"]
+    plain = [re.findall(r"[^\x20\x09]+", re.sub(r"[.,;:!?\x0A-\x0D]", " . ", _lower(t))) for t in texts]
+    said = collocations.words_of([t.encode() for t in texts]).to_pylist()
+    assert [w for w in said if w != "."] == [w for words in plain for w in words if w != "."]
+    pieces = " ".join(said).split(".")
+    assert [p.strip(" ") for p in pieces if p.strip(" ")] == ["a b", "c", "d", "É\u00a0x\u2003y \x1cq", "a", "b", "z"]
 
 
 # -- pages ----------------------------------------------------------------------------------------------------------
