@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from entityloom.catalog.base import Tables, all_stable, query, st, stable_columns
+from entityloom.operators import factors as X
 from entityloom.operators import joins as J
 from entityloom.operators.columns import shared_columns
 from entityloom.operators.rollup import group_stats
@@ -211,3 +212,52 @@ def join_many_to_many(spark, folder):
     ]
     sums = ["chain_sum_o_totalprice", "chain_sum_l_quantity", "chain_sum_value"]
     return stable_columns(J.chain_totals(chain, "k"), *sums)
+
+
+def _chain_sql(columns: list[str], pairs: list[tuple[str, str]]) -> str:
+    out = []
+    for c in columns:
+        out += [f"CAST(count({c}) AS DOUBLE) AS {c}_count", f"{st(f'sum({c})')} AS {c}_sum", f"{st(f'avg({c})')} AS {c}_mean"]
+        out += [f"{st(f'stddev_samp({c})')} AS {c}_std", f"CAST(min({c}) AS DOUBLE) AS {c}_min", f"CAST(max({c}) AS DOUBLE) AS {c}_max"]
+    for a, b in pairs:
+        out += [f"{st(f'avg(CAST({a} AS DOUBLE) * {b})')} AS {a}_{b}_product_mean", f"{st(f'covar_samp({a}, {b})')} AS {a}_{b}_covariance"]
+    return ", ".join(out)
+
+
+_CHAIN_COLUMNS = ["c_acctbal", "o_totalprice", "l_quantity", "l_extendedprice", "value"]
+_CHAIN_PAIRS = [("c_acctbal", "o_totalprice"), ("l_quantity", "l_extendedprice"), ("c_acctbal", "value")]
+
+
+@query(
+    "join_chain_statistics",
+    f"""
+    SELECT c_nationkey, CAST(count(*) AS DOUBLE) AS n_rows, {_chain_sql(_CHAIN_COLUMNS, _CHAIN_PAIRS)}
+    FROM customer
+    JOIN orders ON o_custkey = c_custkey
+    JOIN (SELECT o_custkey AS line_custkey, l_quantity, l_extendedprice FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+      ON line_custkey = c_custkey
+    JOIN events ON user_id = c_custkey
+    GROUP BY c_nationkey
+    """,
+)
+def join_chain_statistics(spark, folder):
+    """Customers x their orders x their lines x their events by nation, from sums per customer."""
+    t = Tables(spark, folder)
+    orders = t.orders.withColumnRenamed("o_custkey", "c_custkey")
+    events = t.events.withColumnRenamed("user_id", "c_custkey")
+    lines = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
+    measured = [["c_acctbal"], ["o_totalprice"], ["l_quantity", "l_extendedprice"], ["value"]]
+    centres = {}
+    for df, columns in zip((t.customer, orders, lines, events), measured):
+        centres |= X.column_centres(df, columns)
+    per_order = X.factor(lines, ["o_orderkey"], measured[2], [("l_quantity", "l_extendedprice")], centres)
+    owners = X.factor(orders, ["o_orderkey", "c_custkey"])
+    chain = [
+        X.factor(t.customer, ["c_nationkey", "c_custkey"], measured[0], centres=centres),
+        X.factor(orders, ["c_custkey"], measured[1], centres=centres),
+        X.marginal(X.multiply(owners, per_order), ["c_custkey"]),
+        X.factor(events, ["c_custkey"], measured[3], centres=centres),
+    ]
+    whole = X.multiply_all(chain, [("c_acctbal", "o_totalprice"), ("c_acctbal", "value")])
+    out = X.statistics(X.marginal(whole, ["c_nationkey"]))
+    return stable_columns(out, *[c for c in out.columns if c.endswith(("_sum", "_mean", "_std", "_covariance"))])
