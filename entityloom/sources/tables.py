@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityloom.operators.clean import nan_to_null
@@ -60,3 +62,31 @@ def scan_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[
 def scan_first(df: DataFrame, key: str, n: int) -> DataFrame:
     """At most n rows, always the same ones: those with the smallest keys."""
     return df.orderBy(key).limit(n)
+
+
+def scan_prefix(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows of a Parquet scan in file order: files by path, rows as they lie in them.
+
+    Files are counted in order, twice as many each time, until they hold n
+    rows; a count reads footers and no column. All files but the last are
+    taken whole and the last one up to its row position, so there is neither a
+    sort nor a shuffle, and files behind the prefix are not read. ``df`` is a
+    scan with its ``_metadata``; fewer than n rows are all rows, n = 0 is none.
+    """
+    if n < 0:
+        raise ValueError("a prefix has 0 rows or more")
+    # an address without a host is written with three slashes in the list and with one in the metadata
+    files = sorted({re.sub(r"^([A-Za-z0-9+.\-]+):///", r"\1:/", f) for f in df.inputFiles()})
+    path, whole, rest, step = F.col("_metadata.file_path"), [], n, 1
+    while files and rest:
+        some, files = files[:step], files[step:]
+        counted = df.filter(path.isin(some)).groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+        rows = {r["path"]: r["rows"] for r in counted.collect()}
+        for at, name in enumerate(some):
+            if rows.get(name, 0) >= rest:
+                # the condition on the path alone keeps the other files out of the scan
+                return df.filter(path.isin([*whole, name]) & ((path != name) | (F.col("_metadata.row_index") < rest)))
+            rest -= rows.get(name, 0)
+            whole.append(name)
+        step *= 2
+    return df.limit(0) if n == 0 else df
