@@ -12,6 +12,7 @@ from entityloom.operators.skew import attach_by_key
 from entityloom.plans.assemble import assemble, attach_blocks
 from entityloom.plans.replay import FeatureSpec, apply_specs, replay_block, replay_tables
 from entityloom.sources.specs import spec_table, specs_of
+from entityloom.sources.stages import Stages
 
 STATS = ("count", "average", "min", "max")
 LINE_SPECS = (
@@ -263,3 +264,25 @@ def replay_whole_tables(spark, folder):
     """The whole customer table as base; child rows of unknown customers and of none."""
     t = Tables(spark, folder)
     return _replayed(t, t.orders.withColumn("o_custkey", F.expr(OWNER)), t.customer)
+
+
+@query(
+    "staged_blocks",
+    f"""
+    SELECT o_custkey, {st("avg(price)")} AS price, CAST(sum(n_lines) AS BIGINT) AS n_lines, max(o_totalprice) AS dearest
+    FROM orders LEFT JOIN (SELECT l_orderkey, avg(l_extendedprice) AS price, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey)
+      ON l_orderkey = o_orderkey
+    WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+    """,
+)
+def staged_blocks(spark, folder):
+    """Lines per order, joined and rolled up per customer; each of the three is a stage that another run picks up."""
+    t, stages = Tables(spark, folder), Stages(spark)
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.avg("l_extendedprice").alias("price"), F.count(F.lit(1)).alias("n_lines")
+    )
+    lines = stages.stage("lines_per_order", lines)
+    orders = stages.stage("orders_with_lines", t.orders.select("o_orderkey", "o_custkey", "o_totalprice").join(lines, "o_orderkey", "left"))
+    rolled = orders.filter("o_custkey IS NOT NULL").groupBy("o_custkey")
+    rolled = rolled.agg(F.avg("price").alias("price"), F.sum("n_lines").alias("n_lines"), F.max("o_totalprice").alias("dearest"))
+    return stable_columns(stages.stage("customers", rolled), "price")

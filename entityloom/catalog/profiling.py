@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from entityloom.catalog.base import Tables, all_stable, query, st, stable_columns
 from entityloom.operators import ordering as O
 from entityloom.operators import profile as P
+from entityloom.operators import sketches as K
 from entityloom.operators.rollup import group_stats
 from entityloom.operators.split import arithmetic_bucket, with_hold_out, with_ordered_hold_out
+from entityloom.sources.tables import scan_prefix
 
 PROFILED = ["c_mktsegment", "c_nationkey", "n_orders"]
 
@@ -155,3 +157,26 @@ def split_ordered(spark, folder):
     return with_ordered_hold_out(orders, "o_orderkey").withColumn("is_validation", F.col("is_validation").cast("int"))
 
 
+
+
+@query("scan_prefix", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem LIMIT 50000")
+def file_prefix(spark, folder):
+    """The first 50,000 lines as they lie in the file."""
+    return scan_prefix(Tables(spark, folder).lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), 50_000)
+
+
+MERGED = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linenumber"]
+
+
+def _merged_sql(c: str) -> str:
+    number, text = (c, "NULL") if c != "l_returnflag" else ("NULL", c)
+    return f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_present, count(DISTINCT {c}) AS n_distinct,
+        CAST(min({number}) AS DOUBLE) AS low, CAST(max({number}) AS DOUBLE) AS high, CAST(min({text}) AS VARCHAR) AS low_text,
+        CAST(max({text}) AS VARCHAR) AS high_text, {st(f"avg(CAST({number} AS DOUBLE))")} AS mean FROM lineitem"""
+
+
+@query("profile_merged", " UNION ALL ".join(map(_merged_sql, MERGED)))
+def profile_merged(spark, folder):
+    """Profiles by line status, merged into that of all lines; few enough values for exact distinct counts."""
+    parts = K.profile(Tables(spark, folder).lineitem, MERGED, by=["l_linestatus"])
+    return stable_columns(K.read_profile(K.merge_profiles(parts)).drop("kind", "quantiles"), "mean")
