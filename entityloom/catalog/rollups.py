@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from entityloom.catalog.base import Tables, all_stable, query, st, stable_columns
 from entityloom.operators import rollup as R
+from entityloom.operators import sparse as SP
 from entityloom.operators.encode import fit_values
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -297,3 +298,24 @@ def category_share_long(spark, folder):
 def reduce_to_key(spark, folder):
     orders = Tables(spark, folder).orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
     return all_stable(R.reduce_to_key(orders, "o_custkey", ["o_custkey", "o_totalprice"], carry=["o_orderstatus"]))
+
+
+@query(
+    "sparse_share",
+    f"""
+    WITH cells AS (
+      SELECT l_suppkey, 'l_partkey' AS c, coalesce(CAST(l_partkey AS VARCHAR), '') AS v FROM lineitem
+      UNION ALL SELECT l_suppkey, 'l_returnflag', coalesce(l_returnflag, '') FROM lineitem),
+    slots AS (SELECT c, v, CAST(row_number() OVER (ORDER BY c, v) - 1 AS INTEGER) AS slot FROM (SELECT DISTINCT c, v FROM cells)),
+    sizes AS (SELECT l_suppkey, count(*) AS n_rows FROM lineitem GROUP BY l_suppkey)
+    SELECT l_suppkey, any_value(n_rows) AS n_rows, slot, {st("count(*) / any_value(n_rows)")} AS share
+    FROM cells JOIN slots USING (c, v) JOIN sizes USING (l_suppkey) WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey, slot
+    """,
+)
+def sparse_share(spark, folder):
+    """Shares of every part and return flag among a supplier's lines, as slots of a sparse vector."""
+    lines = Tables(spark, folder).lineitem.select("l_suppkey", "l_partkey", "l_returnflag")
+    slots = SP.fit_slots(lines, columns=["l_partkey", "l_returnflag"])
+    vectors = SP.sparse_shares(lines, "l_suppkey", slots)
+    long = vectors.select("l_suppkey", "n_rows", F.explode(F.arrays_zip("indices", "shares")).alias("s"))
+    return stable_columns(long.select("l_suppkey", "n_rows", F.col("s.indices").alias("slot"), F.col("s.shares").alias("share")), "share")

@@ -60,6 +60,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_path(spark: SparkSession) -> str:
+    """A new folder name in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame written as Parquet into the shared checkpoint folder and read back.
 
@@ -67,7 +73,6 @@ def stored(df: DataFrame) -> DataFrame:
     rows is not kept.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/stage-{uuid.uuid4().hex}"
+    path = stage_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
