@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from entityloom.session import ensure_checkpoint_dir, stored
 
-__all__ = ["kept_with_text", "map_batches", "map_slices", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes", "text_or_empty"]
+__all__ = ["drop_stored", "kept_with_text", "map_batches", "map_slices", "per_worker", "shared_folder", "ship_package", "stored", "table", "text_bytes", "text_or_empty"]
 
 # Bytes of text a Python worker holds as objects at once; longer texts come one by one.
 SLICE_BYTES = 4 * 1024 * 1024
@@ -52,6 +52,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete the folders of tables that ``stored`` made and that nothing reads any more.
+
+    Only folders inside the checkpoint folder go; a plan that still reads one of them would fail.
+    """
+    spark = frames[0].sparkSession
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    root = java(spark.sparkContext.getCheckpointDir())
+    root = root.getFileSystem(settings).makeQualified(root)
+    for frame in frames:
+        for folder in {os.path.dirname(f) for f in frame.inputFiles()}:
+            path = java(folder)
+            files = path.getFileSystem(settings)
+            path = files.makeQualified(path)
+            if path.getName().startswith("stage-") and path.getParent().equals(root):
+                files.delete(path, True)
+
+
 def map_slices(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``function`` on the Arrow batches of a task, none of which holds more than about ``SLICE_BYTES``."""
 

@@ -1,11 +1,14 @@
 """Connected components of a graph given as edges of two longs, by alternating stars.
 
-The large-star step ties every larger neighbour of a node to the node's
-smallest neighbour, the small-star step ties its smaller neighbours and itself
-to the smallest; both keep the components. They repeat until nothing changes,
-which takes a number of rounds about logarithmic in the longest path. Every
-round is two groupings with partial aggregation and two joins, and ends as a
-table in the shared folder; no component is ever gathered.
+Edges lead from their larger to their smaller end. The large-star step ties
+every larger neighbour of a node to the node's smallest neighbour, the
+small-star step ties its smaller neighbours and itself to the smallest; both
+keep the components. They repeat until nothing changes, which takes a number of
+rounds about logarithmic in the longest path. Both steps only ask for a node's
+smallest smaller neighbour: one grouping with partial aggregation, stored. It is
+joined to the edges, stored too, so nothing groups on either side of the join
+and adaptive execution splits the rows of a node that holds much of the graph.
+No component is ever gathered. A round's tables are deleted after the next.
 """
 
 from __future__ import annotations
@@ -14,25 +17,24 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import stored
+from entityloom.llm.common import drop_stored, stored
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _smallest(edges: DataFrame) -> DataFrame:
+    """``node, least`` of every node with a smaller neighbour."""
+    return stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")))
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """``edges`` (a, b): every node's neighbours tied to the smallest of them."""
-    if large:
-        around = _both_ways(edges)
-    else:
-        around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    smallest = around.groupBy("a").agg(F.min("b").alias("least_b")).select("a", F.least("a", "least_b").alias("least"))
-    tied = around.join(smallest, "a")
-    if large:
-        return tied.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-    inner = tied.filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return inner.union(smallest.filter("a <> least").select("a", F.col("least").alias("b"))).distinct()
+def _large_star(edges: DataFrame, smallest: DataFrame) -> DataFrame:
+    """The larger end of each edge tied to the smallest neighbour of the smaller end, or to it where it has none."""
+    tied = edges.join(smallest, F.col("b") == F.col("node"), "left")
+    return tied.select("a", F.coalesce("least", "b").alias("b")).distinct()
+
+
+def _small_star(edges: DataFrame, smallest: DataFrame) -> DataFrame:
+    """The smaller neighbours of each node, and the node, tied to the smallest of them."""
+    tied = edges.join(smallest, F.col("a") == F.col("node")).filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return tied.union(smallest.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -51,7 +53,12 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(clean.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before, after = None, _signature(now)
     while after[0] and before != after:
-        now = stored(_star(stored(_star(now, True)), False))
+        smallest = _smallest(now)
+        large = stored(_large_star(now, smallest))
+        drop_stored(now, smallest)
+        smallest = _smallest(large)
+        now = stored(_small_star(large, smallest))
+        drop_stored(large, smallest)
         before, after = after, _signature(now)
     # every remaining edge ties a node to its root
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

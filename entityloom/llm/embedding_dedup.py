@@ -35,6 +35,11 @@ from entityloom.llm.components import components, join_trees
 RECALL = 0.995
 BLOCK_VECTORS = 2048
 _COUNTED = 32
+# Cells are looked at together until they hold that many bytes of vectors; cells of more vectors than _SMALL
+# are multiplied as matrices, the pairs of smaller ones are listed in slices.
+_CHUNK_BYTES = 4 * 1024 * 1024
+_SLICE_PAIRS = 100_000
+_SMALL = 96
 # An interval in standard deviations of the difference of a pair at the threshold; with it the shares of
 # near and unrelated pairs of unit vectors that fall into one interval.
 _INTERVAL = 6.3
@@ -79,39 +84,92 @@ class Projections:
         return (unit_vectors @ self._counted).astype(np.float32)
 
 
-def _unit(packed: list[bytes]) -> np.ndarray:
-    vectors = np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float64)
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _links(units: np.ndarray, weights: np.ndarray, part: np.ndarray, table: int, p: Projections, threshold: float):
-    """Per vector the number of links first met in this table, and the root of its tree.
+def _pairs_listed(units: np.ndarray, projected: np.ndarray, stop: np.ndarray, p: Projections, threshold: float):
+    """Slices of the linked pairs of rows; a row's partners are the rows behind it, up to its ``stop``."""
+    partners = stop - np.arange(len(units)) - 1
+    upto = np.cumsum(partners)
+    allowed = _COUNTED - p.least_count
+    half = _COUNTED // 2
+    begin = 0
+    while begin < len(units):
+        end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + _SLICE_PAIRS, "right")))
+        rows = np.arange(begin, end)
+        a = np.repeat(rows, partners[begin:end])
+        b = a + 1 + np.arange(len(a)) - np.repeat(upto[begin:end] - partners[begin:end] - (upto[begin - 1] if begin else 0), partners[begin:end])
+        begin = end
+        missed = (np.abs(projected[a, :half] - projected[b, :half]) > p.window).sum(axis=1)
+        left = missed <= allowed  # who missed too often in the first half cannot pass
+        a, b, missed = a[left], b[left], missed[left]
+        missed += (np.abs(projected[a, half:] - projected[b, half:]) > p.window).sum(axis=1)
+        a, b = a[missed <= allowed], b[missed <= allowed]
+        step = max(1, 4_000_000 // units.shape[1])
+        for at in range(0, len(a), step):
+            x, y = a[at : at + step], b[at : at + step]
+            near = np.einsum("ij,ij->i", units[x], units[y]) >= threshold
+            yield x[near], y[near]
 
-    ``part`` tells the two blocks of a divided cell apart: only pairs of
-    different blocks are looked at, or all pairs if there is but one block.
-    """
+
+def _pairs_multiplied(units: np.ndarray, projected: np.ndarray, p: Projections, threshold: float):
+    """Slices of the linked pairs of rows of one large cell."""
     n = len(units)
-    two = part.min() != part.max()
-    projected = p.counted(units)
-    earlier = p.cells(units)[:, :table]
-    links, root = np.zeros(n, np.int64), np.arange(n)
     step = max(1, 500_000 // (n * _COUNTED))
     for at in range(0, n, step):
         rows = np.arange(at, min(at + step, n))
-        within = np.abs(projected[rows, None, :] - projected[None, :, :]) <= p.window
-        passed = within.sum(axis=2) >= p.least_count
-        passed &= np.arange(n)[None, :] > rows[:, None]
-        if two:
-            passed &= part[rows, None] != part[None, :]
-        if not passed.any():
+        missed = (np.abs(projected[rows, None, :] - projected[None, at + 1 :, :]) > p.window).sum(axis=2)
+        passed = (missed <= _COUNTED - p.least_count) & (np.arange(at + 1, n)[None, :] > rows[:, None])
+        if passed.any():
+            a, b = np.nonzero(passed & (units[rows] @ units[at + 1 :].T >= threshold))
+            yield rows[a], at + 1 + b
+
+
+def _links(vectors: np.ndarray, table: np.ndarray, borders: np.ndarray, weight: np.ndarray, part: np.ndarray, two: np.ndarray, p: Projections, threshold: float):
+    """Per row the number of links first met in its table, and the root of its tree.
+
+    Rows are vectors of cells, one cell between two ``borders`` and each of one
+    ``table``. Where ``two`` says that a cell is divided, ``part`` tells its two
+    blocks apart and only pairs of different blocks count.
+    """
+    units = _unit(vectors)
+    projected = p.counted(units)
+    n = len(units)
+    links, root = np.zeros(n, np.int64), np.arange(n)
+    cells, known = np.zeros((n, p.tables), np.int64), np.zeros(n, bool)  # filled for rows with links
+    large = np.flatnonzero(np.diff(borders) > _SMALL)
+    stop = np.repeat(borders[1:], np.diff(borders))
+    for cell in large:
+        own = np.arange(borders[cell], borders[cell + 1])
+        stop[own] = own + 1  # not listed
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield from _pairs_listed(units, projected, stop, p, threshold)
+        for lo, hi in zip(borders[large], borders[large + 1]):
+            for a, b in _pairs_multiplied(units[lo:hi], projected[lo:hi], p, threshold):
+                yield a + lo, b + lo
+
+    for a, b in found():
+        apart = ~two[a] | (part[a] != part[b])
+        a, b = a[apart], b[apart]
+        if not len(a):
             continue
-        a, b = np.nonzero(passed & (units[rows] @ units.T >= threshold))
-        a = rows[a]
         root = join_trees(root, a, b)
-        new = ~(earlier[a] == earlier[b]).any(axis=1)
-        np.add.at(links, a[new], weights[b[new]])
-        np.add.at(links, b[new], weights[a[new]])
+        asked = np.unique(np.concatenate((a, b)))
+        asked = asked[~known[asked]]
+        known[asked] = True
+        for at in range(0, len(asked), 512):
+            cells[asked[at : at + 512]] = p.cells(units[asked[at : at + 512]])
+        new = np.ones(len(a), bool)
+        for at in range(0, len(a), 65_536):
+            now = slice(at, at + 65_536)
+            met = (cells[a[now]] == cells[b[now]]) & (np.arange(p.tables)[None, :] < table[a[now], None])
+            new[now] = ~met.any(axis=1)
+        np.add.at(links, a[new], weight[b[new]])
+        np.add.at(links, b[new], weight[a[new]])
     return links, root
 
 
@@ -132,6 +190,8 @@ def near_vectors(
     spark = vectors.sparkSession
     ship_package(spark)
     id_type = vectors.schema[id_col].dataType.simpleString()
+    # single precision travels as it came
+    width = np.dtype("<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8")
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     fit = F.coalesce(
         (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0),
@@ -154,8 +214,8 @@ def near_vectors(
                 of_size = np.flatnonzero(sizes == dimension)
                 for at in range(0, len(of_size), 512):
                     own = of_size[at : at + 512]
-                    raw = [flat[begins[i] : begins[i] + dimension].tobytes() for i in own]
-                    cells = p.cells(_unit(raw))
+                    values = flat[begins[own][:, None] + np.arange(dimension)]
+                    cells = p.cells(_unit(values))
                     take = np.repeat(own, p.tables)
                     columns = {
                         "dimension": pa.array(np.full(len(take), dimension), pa.int32()),
@@ -163,6 +223,7 @@ def near_vectors(
                         "cell": pa.array(cells.ravel(), pa.int64()),
                     }
                     if full:
+                        raw = [x.tobytes() for x in values.astype(width)]
                         columns |= {"node": node.take(pa.array(take)), "weight": weight.take(pa.array(take)), "packed": pa.array(raw, pa.binary()).take(pa.array(np.repeat(np.arange(len(own)), p.tables)))}
                     yield pa.RecordBatch.from_pydict(columns)
 
@@ -181,40 +242,54 @@ def near_vectors(
     spread = pairs.select(*group, "node", "weight", "packed", "part").repartition(*[F.col(c) for c in group])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Groups of a sorted partition, one after the other."""
+        """Whole cells of a sorted partition, many at once."""
         made: dict[int, Projections] = {}
-        held: list[dict[str, np.ndarray | list]] = []
-        now = None
-
-        def finish() -> pa.RecordBatch | None:
-            packed = [x for h in held for x in h["packed"]]
-            node = np.concatenate([h["node"] for h in held])
-            if len(node) < 2:
-                return None
-            dimension, table = now[0], now[1]
+        held: list[tuple[np.ndarray, ...]] = []  # keys, node, weight, part, vectors of one dimension
+
+        def finish(whole: bool) -> Iterator[pa.RecordBatch]:
+            keys, node, weight, part, values = (np.concatenate(x) for x in zip(*held))
+            borders = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1), [True])))
+            held.clear()
+            if not whole:  # more of the last cell may follow
+                rest = borders[-2]
+                held.append((keys[rest:], node[rest:], weight[rest:], part[rest:], values[rest:]))
+                borders = borders[:-1]
+            n_rows = borders[-1]
+            if not n_rows:
+                return
+            dimension = int(keys[0, 0])
             p = made.setdefault(dimension, Projections(dimension, threshold, n, recall))
-            weight, part = np.concatenate([h["weight"] for h in held]), np.concatenate([h["part"] for h in held])
-            links, root = _links(_unit(packed), weight, part, table, p, threshold)
-            involved = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
-            if not len(involved):
-                return None
-            return pa.RecordBatch.from_pydict(
-                {"a": pa.array(node[involved], pa.int64()), "b": pa.array(node[root[involved]], pa.int64()), "links": pa.array(links[involved], pa.int64())}
-            )
+            keys, node, weight, part = keys[:n_rows], node[:n_rows], weight[:n_rows], part[:n_rows]
+            links, root = _links(values[:n_rows], keys[:, 1], borders, weight, part, keys[:, 3] != keys[:, 4], p, threshold)
+            involved = np.flatnonzero((links > 0) | (root != np.arange(n_rows)))
+            if len(involved):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(node[involved]), "b": pa.array(node[root[involved]]), "links": pa.array(links[involved])})
 
+        size = due = 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             keys = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in group], axis=1)
-            borders = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1), [True])))
-            for a, b in zip(borders[:-1], borders[1:]):
-                if now is not None and tuple(keys[a].tolist()) != now:
-                    if (out := finish()) is not None:
-                        yield out
-                    held = []
-                now = tuple(keys[a].tolist())
-                cut = batch.slice(a, b - a)
-                held.append({c: np.asarray(cut.column(c)) for c in ("node", "weight", "part")} | {"packed": cut.column("packed").to_pylist()})
-        if held and (out := finish()) is not None:
-            yield out
+            node, weight, part = (np.asarray(batch.column(c)).astype(np.int64) for c in ("node", "weight", "part"))
+            packed = batch.column("packed").cast(pa.large_binary())
+            offsets = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
+            values = np.frombuffer(packed.buffers()[2], width, (offsets[-1] - offsets[0]) // width.itemsize, offsets[0])
+            starts = (offsets - offsets[0]) // width.itemsize
+            turns = np.flatnonzero(np.concatenate(([True], keys[1:, 0] != keys[:-1, 0], [True])))
+            for a, b in zip(turns[:-1], turns[1:]):
+                if held and held[-1][0][0, 0] != keys[a, 0]:
+                    yield from finish(True)
+                    size = due = 0
+                cut = values[starts[a] : starts[b]].reshape(b - a, -1).copy()
+                held.append((keys[a:b], node[a:b], weight[a:b], part[a:b], cut))
+                size += cut.nbytes
+                if size >= max(_CHUNK_BYTES, due):
+                    yield from finish(False)
+                    # a cell that goes on is put together again only once it has doubled
+                    size = held[0][4].nbytes
+                    due = 2 * size
+        if held:
+            yield from finish(True)
 
     met = stored(spread.sortWithinPartitions(*group).mapInArrow(meet, "a bigint, b bigint, links bigint"))
     links = met.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
@@ -225,7 +300,7 @@ def near_vectors(
         )
     )
     known = stored(known)
-    smallest = known.groupBy("root").agg(F.min("least").alias("component"))
+    smallest = stored(known.groupBy("root").agg(F.min("least").alias("component")))
     facts = stored(known.join(smallest, "root").select("v", (F.col("weight") - 1 + F.col("links")).alias("n_links"), "component"))
     # both sides come straight from storage, so adaptive execution can split a vector with many copies
     result = rows.filter("v IS NOT NULL").join(facts, "v").select("id", "n_links", F.coalesce("component", "id").alias("component_id"))

@@ -195,7 +195,8 @@ def near_groups(fingerprinted: DataFrame, radius: int = 4, id_col: str = "doc_id
     smallest = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("id").alias("least"))
     linked = smallest.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     linked = stored(linked)
-    of_root = linked.groupBy("root").agg(F.min("least").alias("component"))
+    # both sides of the joins come straight from storage, so adaptive execution can split a large component
+    of_root = stored(linked.groupBy("root").agg(F.min("least").alias("component")))
     of_print = stored(linked.join(of_root, "root").select(F.col("fp").alias("print"), "component"))
     joined = rows.join(of_print, F.col("fp") == F.col("print"), "left")
     own = F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component"))

@@ -1,6 +1,7 @@
 """Near-duplicates, fingerprints, line runs and mixing against plain versions."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,7 +12,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from entityloom.llm import embedding_dedup, fingerprints, line_dedup, mixing, simhash_balls
-from entityloom.llm.components import components
+from entityloom.llm.common import stored
+from entityloom.llm.components import _large_star, _small_star, _smallest, components
 from tests.llm.conftest import LONG, TEXTS
 
 
@@ -46,6 +48,37 @@ def test_components(spark, seed):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_hub_is_split_by_adaptive_execution(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        low, high = F.col("id") + 1, F.lit(10**9)
+        for hub in (F.lit(0), high):
+            edges = stored(spark.range(0, 100_000, 1, 8).select(F.greatest(low, hub).alias("a"), F.least(low, hub).alias("b")))
+            star = (_large_star if hub is not high else _small_star)(edges, _smallest(edges))
+            star.collect()
+            assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+        chain = spark.range(0, 2000).selectExpr("id + 1 AS a", "id AS b")
+        assert components(chain.union(spark.range(1, 50_000).selectExpr("1000", "id + 5000"))).agg(F.max("root"), F.count("*")).first() == (0, 52_000)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_spent_rounds_are_deleted(spark):
+    folder = spark.sparkContext.getCheckpointDir() or stored(spark.range(1)).inputFiles()[0].rsplit("/", 2)[0]
+    stages = lambda: {x for x in os.listdir(folder.removeprefix("file:")) if x.startswith("stage-")}
+    edges = stored(spark.range(0, 60).selectExpr("id + 1 AS a", "id AS b"))
+    before = stages()
+    out = components(edges)
+    assert len(stages() - before) == 1 and before <= stages() and out.count() == 61
+
+
 # -- ball hashing ---------------------------------------------------------------------------------------------------
 
 
@@ -159,9 +192,12 @@ def test_block_tables_find_all_within_the_radius(spark):
 # -- embeddings -----------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [40, 2048])
-def test_vectors_against_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "chunk", "small"), [(40, 3000, 8), (2048, 1 << 22, 4), (2048, 1 << 22, 96), (2048, 1, 1 << 20)])
+def test_vectors_against_all_pairs(spark, monkeypatch, block, chunk, small):
     monkeypatch.setattr(embedding_dedup, "BLOCK_VECTORS", block)
+    monkeypatch.setattr(embedding_dedup, "_CHUNK_BYTES", chunk)
+    monkeypatch.setattr(embedding_dedup, "_SMALL", small)
+    monkeypatch.setattr(embedding_dedup, "_SLICE_PAIRS", 500)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 24))
     near = [c + rng.normal(scale=0.18, size=24) for c in centres for _ in range(30)]
