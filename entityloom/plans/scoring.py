@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityloom.operators.ordering import running_sums
-from entityloom.session import ensure_checkpoint_dir, stored
+from entityloom.session import ensure_checkpoint_dir, largest_task, stored
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,11 @@ SEARCH_TREES = BoostingParams(0.1, 5, 10_000, 50, subsampling_rate=0.8, min_inst
 ORDERED_TREES = BoostingParams(0.01, 10, 10_000, 100, subsampling_rate=0.8, min_instances=100, positive_weight=1.0)
 
 
+# The trainer keeps a task's rows in memory; a row takes ROW_BYTES (measured) there and four bytes for each input.
+TASK_BYTES = 128 << 20
+ROW_BYTES = 232
+
+
 def assemble_vector(df: DataFrame, features: Sequence[str], keep: Sequence[str], output: str = "features") -> DataFrame:
     """The model inputs as one vector, with the columns to keep beside it."""
     assembler = VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="keep")
@@ -68,7 +73,8 @@ def train_boosted(
     without the hold-out, its loss there is taken after every round, and while
     the best round is among the last ``patience`` ones, twice as many rounds
     are fitted. The model is then cut to the best round, without another fit.
-    Without a hold-out all ``max_iter`` rounds are kept.
+    Without a hold-out all ``max_iter`` rounds are kept. No task of a fit gets
+    more rows than take ``TASK_BYTES`` in the trainer.
     """
     ensure_checkpoint_dir(df.sparkSession)
     keep = [F.col(label).cast("double").alias("label")]
@@ -90,10 +96,13 @@ def train_boosted(
         checkpointInterval=10,
         maxMemoryInMB=1024,
     )
+    most = max(1, TASK_BYTES // (ROW_BYTES + 4 * len(features)))
     if not validation:
+        if largest_task(rows) > most:
+            rows = stored(rows, rows_per_task=most)
         return trainer.setMaxIter(params.max_iter).fit(rows)
     # read once for every round of every fit
-    rows = stored(rows)
+    rows = stored(rows, rows_per_task=most)
     learned, held = rows.filter("NOT validation"), rows.filter("validation")
     if not held.take(1):
         raise ValueError("the hold-out has no labelled row")

@@ -64,6 +64,31 @@ def test_unlabelled_rows_do_not_train(separable):
     assert M.score(model, half, ["a", "b"], "id").count() == 600
 
 
+@pytest.mark.parametrize("validation", ["held", None])
+def test_a_task_of_the_trainer_has_a_bounded_number_of_rows(spark, separable, monkeypatch, validation):
+    seen, fit = [], M.GBTClassifier.fit
+
+    def watched(self, rows, *args):
+        sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+        seen.append(([r["count"] for r in sizes], rows.select("label", "weight", "features").collect()))
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(M.GBTClassifier, "fit", watched)
+    # many copies of some rows, few files
+    copies = separable.filter("id < 5").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("i")
+    rows = separable.unionByName(copies).coalesce(1)
+    M.train_boosted(rows, ["a", "b"], "y", TREES, validation)
+    few, whole = seen[-1]
+    assert len(few) == 1
+    monkeypatch.setattr(M, "TASK_BYTES", 50 * 240, raising=False)
+    model = M.train_boosted(rows, ["a", "b"], "y", TREES, validation)
+    many, dealt = seen[-1]
+    assert sum(many) == sum(few) == len(whole) and max(many) <= 50
+    key = lambda r: (r["label"], r["weight"], *r["features"])
+    assert sorted(map(key, dealt)) == sorted(map(key, whole))
+    assert M.auc(M.score(model, rows, ["a", "b"], "id", keep=["y"]), "score", "y").first()["auc"] > 0.9
+
+
 def test_auc_counts_pairs(spark):
     rng = random.Random(2)
     data = [(rng.randrange(10) / 10, rng.randrange(2)) for _ in range(200)] + [(0.5, None)]
