@@ -3,8 +3,11 @@
 import math
 import random
 import re
+import weakref
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +82,48 @@ def test_two_phrases_with_one_hash_stay_apart():
     assert list(zip(texts.to_pylist(), counts.tolist())) == [("a b", 2), ("e f", 1), ("g h", 1)]
 
 
+def test_phrases_of_all_lengths_and_languages_are_bounded_together(monkeypatch):
+    r = random.Random(5)
+    rows = [(lang, " ".join(f"w{r.randrange(60)}" for _ in range(40))) for lang in ("a", "b", "c", "d") for _ in range(30)]
+    most, alive, add = [], weakref.WeakSet(), collocations._Phrases.add
+
+    def noted(self, *args):
+        others = add(self, *args)
+        alive.add(self)
+        most.append(sum(len(p.keys) for p in alive))
+        return others
+
+    monkeypatch.setattr(collocations._Phrases, "add", noted)
+    monkeypatch.setattr(collocations, "HELD_PHRASES", 1500)
+
+    class Value:
+        value = collocations._Bitmap(np.full(8, 255, np.uint8))
+
+    class Made(Exception):
+        pass
+
+    found = []
+
+    def grab(df, function, *args):
+        found.append(function)
+        raise Made
+
+    # the pass over the texts as a task runs it, each row a batch
+    monkeypatch.setattr(collocations, "_texts", lambda *args: None)
+    monkeypatch.setattr(collocations, "map_slices", grab)
+    with pytest.raises(Made):
+        collocations._exact(None, "lang", "text", [Value, Value, Value])
+    batches = (pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([text])], ["lang", "text"]) for lang, text in rows)
+    counts = Counter()
+    for out in found[0](batches):
+        for lang, phrase, size, n in zip(*(out.column(i).to_pylist() for i in range(4))):
+            counts[lang, phrase, size] += n
+    plain = Counter((lang, " ".join(w[i : i + k]), k) for lang, text in rows for w in [text.split()] for k in (2, 3) for i in range(len(w) - k + 1))
+    assert counts == plain
+    # a batch may go beyond the bound by its own phrases
+    assert max(most) <= 1500 + 39 + 38
+
+
 def test_words_of_many_texts_are_those_of_each():
     texts = ["", "  ", "A b,c\x0cd", "É\u00a0x\u2003y \x1cq", "a.b\t.", "\n", "z"]
     plain = [re.findall(r"[^\x20\x09]+", re.sub(r"[.,;:!?\x0A-\x0D]", " . ", _lower(t))) for t in texts]
