@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityloom.operators.ordering import running_sums
+from entityloom.plans import cells
 from entityloom.session import ensure_checkpoint_dir, largest_task, stored
 
 
@@ -74,7 +75,9 @@ def train_boosted(
     the best round is among the last ``patience`` ones, twice as many rounds
     are fitted. The model is then cut to the best round, without another fit.
     Without a hold-out all ``max_iter`` rounds are kept. No task of a fit gets
-    more rows than take ``TASK_BYTES`` in the trainer.
+    more rows than take ``TASK_BYTES`` in the trainer. Where the bins of few
+    inputs have fewer combinations than there are rows, the rows are counted by
+    their bins (``cells``) and no longer kept one by one.
     """
     ensure_checkpoint_dir(df.sparkSession)
     keep = [F.col(label).cast("double").alias("label")]
@@ -96,6 +99,10 @@ def train_boosted(
         checkpointInterval=10,
         maxMemoryInMB=1024,
     )
+    if cells.fits(df, features, label, params.max_bins):
+        return cells.train_on_cells(
+            df, features, label, trainer.setMaxIter(params.max_iter), params.positive_weight, validation, params.first_rounds, params.patience
+        )
     most = max(1, TASK_BYTES // (ROW_BYTES + 4 * len(features)))
     if not validation:
         if largest_task(rows) > most:

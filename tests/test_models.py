@@ -89,6 +89,57 @@ def test_a_task_of_the_trainer_has_a_bounded_number_of_rows(spark, separable, mo
     assert M.auc(M.score(model, rows, ["a", "b"], "id", keep=["y"]), "score", "y").first()["auc"] > 0.9
 
 
+def test_rows_counted_by_their_bins_train_as_rows_do(spark, separable, monkeypatch):
+    # an input of one value; every row takes part in every round, so that both draw the same
+    rows = separable.withColumn("c", F.lit(3.0))
+    inputs, params = ["a", "b", "c"], TREES.with_(max_iter=12, first_rounds=4, patience=3, subsampling_rate=1.0)
+    for validation in ("held", None):
+        plain = M.train_boosted(rows, inputs, "y", params, validation)
+        with monkeypatch.context() as patch:
+            patch.setattr(M.cells, "CELLS", 32**3 - 1)
+            assert not M.cells.fits(rows, inputs, "y", 32)
+            patch.setattr(M.cells, "CELLS", 32**3)
+            assert not M.cells.fits(rows, inputs, "y", 32)
+            patch.setattr(M.cells, "fits", lambda *args: True)
+            patch.setattr(M.GBTClassifier, "fit", None)
+            counted = M.train_boosted(rows, inputs, "y", params, validation)
+        assert counted.getNumTrees == plain.getNumTrees > 1 and counted.treeWeights == plain.treeWeights
+        for a, b in zip(counted.trees, plain.trees):
+            assert a.toDebugString.split("\n")[1:] and a.numNodes == b.numNodes and a.depth == b.depth
+        assert counted.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=1e-6)
+        both = M.score(counted, rows, inputs, "id").join(M.score(plain, rows, inputs, "id").withColumnRenamed("score", "other"), "id")
+        assert both.count() == 600 and both.filter("abs(score - other) > 1e-9").count() == 0
+
+
+def test_many_rows_over_few_inputs_are_not_kept_one_by_one(spark, separable, monkeypatch):
+    monkeypatch.setattr(M.cells, "CELLS", 33 * 32)
+    many = separable.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("i")
+    fitted = []
+    monkeypatch.setattr(M.GBTClassifier, "fit", lambda *args: fitted.append(args))
+    model = M.train_boosted(many, ["a", "b"], "y", TREES, "held")
+    assert not fitted and model.getNumTrees > 1
+    scores = M.score(model, separable, ["a", "b"], "id", keep=["y"])
+    assert scores.count() == 600 and M.auc(scores, "score", "y").first()["auc"] > 0.9
+    again = M.score(M.train_boosted(many.repartition(3), ["a", "b"], "y", TREES, "held"), separable, ["a", "b"], "id").withColumnRenamed("score", "other")
+    assert again.count() == 600
+    with pytest.raises(ValueError):
+        M.train_boosted(many.withColumn("held", F.lit(False)), ["a", "b"], "y", TREES, "held")
+    assert M.cells.fits(many, ["a", "b"], "y", 32) and not M.cells.fits(many.withColumn("y", F.col("id") % 3), ["a", "b"], "y", 32)
+    for odd in (None, float("nan"), float("-inf")):
+        assert not M.cells.fits(many.withColumn("a", F.when(F.col("id") == 7, F.lit(odd)).otherwise(F.col("a"))), ["a", "b"], "y", 32)
+    assert M.cells.fits(many.withColumn("a", F.when(F.col("id") != 7, F.col("a"))).withColumn("y", F.when(F.col("id") != 7, F.col("y"))), ["a", "b"], "y", 32)
+
+
+def test_thresholds_are_next_to_equal_shares():
+    import numpy as np
+
+    few = M.cells.thresholds_of(np.array([1.0, 3.0, 2.0, np.nan, 3.0]), np.ones(5), 31)
+    assert few.tolist() == [1.5, 2.5]
+    many = M.cells.thresholds_of(np.arange(100.0), np.ones(100), 3)
+    assert many.tolist() == [24.5, 49.5, 74.5]
+    assert M.cells.thresholds_of(np.array([np.nan]), np.ones(1), 3).tolist() == []
+
+
 def test_auc_counts_pairs(spark):
     rng = random.Random(2)
     data = [(rng.randrange(10) / 10, rng.randrange(2)) for _ in range(200)] + [(0.5, None)]
