@@ -175,11 +175,16 @@ def statistics(f: Factor) -> DataFrame:
     def spread(n: Column, s: Column, t: Column, st: Column) -> Column:
         return F.when(n > 1, (st - s * t / F.when(n > 0, n)) / F.when(n > 1, n - 1))
 
+    def one_value(c: str) -> Column:
+        # then nothing varies, whatever rounding leaves of the sums
+        low, high = _col("min", c), _col("max", c)
+        return (low == high) & (F.abs(low) < F.lit(float("inf")))
+
     out = [F.col(quoted(k)) for k in f.keys] + [F.col(ROWS).alias("n_rows")]
     for c in f.columns:
         n, s, q, off = _col("count", c), _col("sum", c), _col("squares", c), F.lit(f.centres[c])
         mean = s / F.when(n > 0, n) + off
-        deviation = F.sqrt(F.greatest(spread(n, s, s, q), F.lit(0.0)))
+        deviation = F.when(one_value(c), F.lit(0.0)).otherwise(F.sqrt(F.greatest(spread(n, s, s, q), F.lit(0.0))))
         out += [n.alias(f"{c}_count"), (s + n * off).alias(f"{c}_sum"), mean.alias(f"{c}_mean")]
         # the greatest of a missing value and 0 would be 0
         out += [F.when(n > 1, deviation).alias(f"{c}_std"), _col("min", c).alias(f"{c}_min"), _col("max", c).alias(f"{c}_max")]
@@ -188,5 +193,6 @@ def statistics(f: Factor) -> DataFrame:
         x, y = F.lit(f.centres[a]), F.lit(f.centres[b])
         total = p + y * s + x * t + n * x * y
         out.append((total / F.when(n > 0, n)).alias(f"{a}_{b}_product_mean"))
-        out.append(spread(n, s, t, p).alias(f"{a}_{b}_covariance"))
+        nothing = F.when((n > 1) & (one_value(a) | one_value(b)), F.lit(0.0))
+        out.append(nothing.otherwise(spread(n, s, t, p)).alias(f"{a}_{b}_covariance"))
     return f.rows.select(*out)

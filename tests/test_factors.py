@@ -80,6 +80,17 @@ def test_centres_keep_the_digits_of_a_deviation(spark):
     assert math.isclose(row["x_std"], plain.std(), rel_tol=1e-12) and math.isclose(row["x_mean"], plain.mean(), rel_tol=1e-15)
 
 
+def test_a_column_of_one_value_does_not_vary(spark):
+    # three times a tenth is not what its sum is
+    left = spark.createDataFrame([(1, 7504.1), (2, 0.3), (2, 0.5)], "k int, a double")
+    right = spark.createDataFrame([(k, i * 0.7) for k in (1, 2) for i in range(1001)], "k int, b double")
+    centres = {"a": 0.1, "b": 0.2}
+    whole = X.multiply(X.factor(left, ["k"], ["a"], centres=centres), X.factor(right, ["k"], ["b"], centres=centres), [("a", "b")])
+    rows = {r["k"]: r for r in X.statistics(whole).collect()}
+    assert rows[1]["a_std"] == 0 and rows[1]["a_b_covariance"] == 0 and rows[1]["b_std"] > 0
+    assert rows[2]["a_std"] == pytest.approx(0.1, rel=1e-3) and rows[2]["a_b_covariance"] == pytest.approx(0, abs=1e-9)
+
+
 def test_empty_tables_and_all_rows(spark):
     none = spark.createDataFrame([], "k int, x double")
     some = spark.createDataFrame([(1, 2.0), (1, None), (2, 5.0), (None, 9.0)], "k int, y double")
